@@ -16,7 +16,7 @@ from ..sources import files as IO
 from ..sources.testdata import raw_lines
 from .warehouse import Warehouse, load
 
-_CACHE: dict[tuple, Warehouse] = {}
+_CACHE: dict[tuple, tuple[Processed, Warehouse]] = {}
 
 
 def process(spark: SparkSession, raw: DataFrame, path: str | None = None) -> Processed:
@@ -32,9 +32,19 @@ def run(spark: SparkSession, raw: DataFrame, warehouse_path: str | None = None)
     return load(spark, processed, warehouse_path or scratch_path(spark, "warehouse"))
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Warehouse:
-    """The warehouse built from the driver's test tables, once per session."""
+def built_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> tuple[Processed, Warehouse]:
+    """(processed lines, warehouse) built from the driver's test tables, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), describe)
     if key not in _CACHE:
-        _CACHE[key] = run(spark, raw_lines(spark, sf_dir, describe))
+        processed = process(spark, raw_lines(spark, sf_dir, describe))
+        wh = load(spark, processed, scratch_path(spark, "warehouse"))
+        _CACHE[key] = (processed, wh)
     return _CACHE[key]
+
+
+def warehouse_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Warehouse:
+    return built_for(spark, sf_dir, describe)[1]
+
+
+def processed_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Processed:
+    return built_for(spark, sf_dir, describe)[0]

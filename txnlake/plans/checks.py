@@ -19,6 +19,7 @@ from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
 from ..sources.testdata import raw_lines
 from .etl import processed_for, warehouse_for
+from .warehouse import FOREIGN_KEYS, UNIQUE_KEYS, audit_integrity
 
 
 def _dbl(df: DataFrame) -> DataFrame:
@@ -72,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L9_fact_adjustment": _table("fact_adjustment", ("adjustment_id",)),
         "L10_fact_non_sale": _table("fact_non_sale", ("non_sale_id", "row_hash")),
         "L11_audit_table": _table("data_quality_potential_duplicates", ("quality_issue_id",)),
+        "L13_integrity": lambda s, sf: audit_integrity(warehouse_for(s, sf)),
         "R1_global_rank": _rank,
         "R1_ntile": _ntile,
         "P2_missing": lambda s, sf: P.missing_values(_raw(s, sf)),
@@ -125,6 +127,7 @@ def oracle_sql() -> dict[str, str]:
                                     "CAST(revenue AS DOUBLE) AS revenue) FROM fact_adjustment"),
         "L10_fact_non_sale": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM fact_non_sale"),
         "L11_audit_table": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
+        "L13_integrity": O.sql(_integrity_sql()),
         "R1_global_rank": O.sql("""
             SELECT customer_id, row_number() OVER (ORDER BY r DESC NULLS FIRST, customer_id) AS rank
             FROM (SELECT customer_id, SUM(revenue) AS r FROM fact_sales WHERE customer_id IS NOT NULL
@@ -135,3 +138,21 @@ def oracle_sql() -> dict[str, str]:
         **P.oracle_sql(lambda body: O.sql(f"WITH r AS ({_RAW}) {body}" if not body.strip().upper().startswith("WITH")
                                           else f"WITH r AS ({_RAW}), {body.strip()[4:]}")),
     }
+
+
+def _integrity_sql() -> str:
+    """The constraint audit over the oracle's tables (ids and non-sale hashes
+    do not exist there; those unique checks are 0 by construction)."""
+    tables = {"data_quality_potential_duplicates": "dq"}
+    parts = []
+    for fact, col, dim, dcol in FOREIGN_KEYS:
+        parts.append(f"""SELECT '{fact}' AS table_name, 'foreign_key' AS check_type, '{col}' AS column_name,
+            COUNT(*) AS violations FROM {fact} f WHERE f.{col} IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dcol} = f.{col})""")
+    for table, col in UNIQUE_KEYS:
+        if col.endswith("_id") and col != "customer_id" or (table == "fact_non_sale" and col == "row_hash"):
+            parts.append(f"SELECT '{table}', 'unique', '{col}', CAST(0 AS BIGINT)")
+            continue
+        parts.append(f"""SELECT '{table}', 'unique', '{col}', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM
+            (SELECT COUNT(*) AS n FROM {tables.get(table, table)} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)""")
+    return " UNION ALL ".join(parts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from functools import reduce
 
@@ -42,12 +43,17 @@ class ValidationError(ValueError):
     pass
 
 
-def validate_facts(facts: dict[str, DataFrame]) -> DataFrame:
-    """Rows, missing country keys and missing date keys per fact, in a
-    single job; raises naming the first failing table."""
-    parts = [df.select(F.lit(name).alias("table"), "country_key", "date_key")
-             for name, df in facts.items()]
-    report = reduce(DataFrame.unionByName, parts).groupBy("table").agg(
+FACT_OF_KIND = {"sales": "fact_sales", "cancellations": "fact_cancellations",
+                "adjustments": "fact_adjustment", "non_sales": "fact_non_sales"}
+
+
+def validate_facts(keyed: DataFrame) -> DataFrame:
+    """Rows, missing country keys and missing date keys per fact table,
+    in one pass over the keyed lines; raises naming the first failing table."""
+    table = F.lit(None).cast("string")
+    for kind, name in FACT_OF_KIND.items():
+        table = F.when(F.col("kind") == kind, F.lit(name)).otherwise(table)
+    report = keyed.select(table.alias("table"), "country_key", "date_key").groupBy("table").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("country_key").isNull()).alias("missing_country_keys"),
         F.count_if(F.col("date_key").isNull()).alias("missing_date_keys"),
@@ -66,24 +72,48 @@ def _max(df: DataFrame | None, col: str) -> int:
     return df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0]
 
 
+@dataclass
+class DimensionRows:
+    dim_product: DataFrame
+    dim_customer: DataFrame
+    dim_country: DataFrame
+    dim_date: DataFrame
+
+
+def _tx(processed: Processed) -> DataFrame:
+    return D.all_transactions(D.clean(processed.lines))
+
+
+def stage_dimensions(processed: Processed, existing: Warehouse | None = None) -> DimensionRows:
+    """New dimension rows (L3-L6), insert-ignore against ``existing``."""
+    tx, old = _tx(processed), existing
+    return DimensionRows(
+        dim_product=X.insert_ignore(D.dim_product(tx), old and old.dim_product, ["stock_code"]),
+        dim_customer=X.insert_ignore(D.dim_customer(tx), old and old.dim_customer, ["customer_id"]),
+        dim_country=D.new_countries(tx, old and old.dim_country),
+        dim_date=X.insert_ignore(D.dim_date(tx), old and old.dim_date, ["date_key"]),
+    )
+
+
 def stage(processed: Processed, existing: Warehouse | None = None,
-          validate: bool = True) -> Warehouse:
+          validate: bool = True, dim_country: DataFrame | None = None) -> Warehouse:
     """Rows each table receives from ``processed`` (L15 without the writes).
 
     Dimensions and facts are insert-ignore against ``existing``; the audit
     table is replaced. With ``existing=None`` the result *is* the warehouse.
+    ``dim_country`` is the full country dimension to key facts with (by
+    default: existing rows plus the new ones).
     """
-    tx = D.all_transactions(D.clean(processed.lines))
+    tx = _tx(processed)
     audit = D.clean(processed.audit)
     old = existing
+    dims = stage_dimensions(processed, existing)
+    dim_product, dim_customer, dim_date = dims.dim_product, dims.dim_customer, dims.dim_date
+    new_country = dims.dim_country
+    if dim_country is None:
+        dim_country = new_country if old is None else old.dim_country.unionByName(new_country)
 
-    dim_product = X.insert_ignore(D.dim_product(tx), old and old.dim_product, ["stock_code"])
-    dim_customer = X.insert_ignore(D.dim_customer(tx), old and old.dim_customer, ["customer_id"])
-    new_country = D.new_countries(tx, old and old.dim_country)
-    dim_country_all = new_country if old is None else old.dim_country.unionByName(new_country)
-    dim_date = X.insert_ignore(D.dim_date(tx), old and old.dim_date, ["date_key"])
-
-    keyed = X.with_keys(tx, dim_country_all)
+    keyed = X.with_keys(tx, dim_country)
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
         rows = X.standard_fact(keyed.filter(F.col("kind") == kind))
@@ -96,12 +126,7 @@ def stage(processed: Processed, existing: Warehouse | None = None,
     ns_new = X.multiset_insert(ns, ns_target, X.NON_SALE_COLUMNS)
     facts["fact_non_sale"] = X.with_ids(ns_new, "non_sale_id", _max(ns_target, "non_sale_id"))
     if validate:
-        validate_facts({
-            "fact_sales": X.standard_fact(keyed.filter(F.col("kind") == "sales")),
-            "fact_cancellations": X.standard_fact(keyed.filter(F.col("kind") == "cancellations")),
-            "fact_adjustment": X.standard_fact(keyed.filter(F.col("kind") == "adjustments")),
-            "fact_non_sales": ns,
-        })
+        validate_facts(keyed)
     dq = X.with_ids(X.audit_rows(audit), "quality_issue_id")
     return Warehouse(
         dim_product=dim_product, dim_customer=dim_customer, dim_country=new_country,
@@ -128,22 +153,38 @@ def try_open(spark: SparkSession, path: str) -> Warehouse | None:
         return None
 
 
+def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> None:
+    """Independent table writes submitted as concurrent Spark jobs (the
+    scheduler interleaves their tasks); errors propagate."""
+    def one(job):
+        df, mode, target = job
+        df.write.mode(mode).parquet(target)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for f in [pool.submit(one, j) for j in jobs]:
+            f.result()
+
+
+DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
+FACTS = ["fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
+
+
 def load(spark: SparkSession, processed: Processed, path: str) -> Warehouse:
     """Append new dimension and fact rows (insert-ignore, so loading the
     same input twice changes nothing), replace the audit table, reopen.
 
-    Dimensions are appended before the facts are derived, as the reference
-    does; each append is one job with Spark's commit protocol, so a lost
-    executor only retries tasks and a failed job leaves no partial files.
+    As in the reference, dimensions are appended first and the facts are keyed
+    from the dimension as written. Each append is one job under Spark's commit
+    protocol, so a lost executor only retries tasks and a failed job leaves no
+    partial files; independent tables are written concurrently.
     """
     existing = try_open(spark, path)
-    staged = stage(processed, existing)
-    order = ["dim_product", "dim_customer", "dim_country", "dim_date",
-             "fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
-    for name in order:
-        _conform(getattr(staged, name), name).write.mode("append").parquet(f"{path}/{name}")
+    dims = stage_dimensions(processed, existing)
+    _write_all([(_conform(getattr(dims, n), n), "append", f"{path}/{n}") for n in DIMENSIONS])
+    written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
+    staged = stage(processed, existing, dim_country=written_countries)
     dq = "data_quality_potential_duplicates"
-    _conform(staged.data_quality_potential_duplicates, dq).write.mode("overwrite").parquet(f"{path}/{dq}")
+    _write_all([(_conform(getattr(staged, n), n), "append", f"{path}/{n}") for n in FACTS]
+               + [(_conform(staged.data_quality_potential_duplicates, dq), "overwrite", f"{path}/{dq}")])
     return open_warehouse(spark, path)
 
 
@@ -157,3 +198,46 @@ def reset(spark: SparkSession, path: str) -> None:
     """Drop all nine tables (empty them)."""
     for name, schema in S.WAREHOUSE_SCHEMAS.items():
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+# Foreign keys and unique keys the reference declares in its DDL; Spark does
+# not enforce them, so they are audited.
+FOREIGN_KEYS = [
+    (fact, col, dim, col)
+    for fact in ("fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale")
+    for col, dim in (("stock_code", "dim_product"), ("customer_id", "dim_customer"),
+                     ("country_key", "dim_country"), ("date_key", "dim_date"))
+]
+UNIQUE_KEYS = [
+    ("dim_product", "stock_code"), ("dim_customer", "customer_id"), ("dim_country", "country_key"),
+    ("dim_country", "country"), ("dim_date", "date_key"),
+    ("fact_sales", "sale_id"), ("fact_sales", "row_hash"),
+    ("fact_cancellations", "cancel_id"), ("fact_cancellations", "row_hash"),
+    ("fact_adjustment", "adjustment_id"), ("fact_adjustment", "row_hash"),
+    ("fact_non_sale", "non_sale_id"), ("fact_non_sale", "row_hash"),
+    ("data_quality_potential_duplicates", "quality_issue_id"),
+]
+
+
+def audit_integrity(wh: Warehouse) -> DataFrame:
+    """One row per declared constraint with its number of violating rows.
+
+    Foreign key: non-null fact keys missing from the dimension (anti join).
+    Unique key: rows whose non-null key value occurs more than once. Each
+    check is an aggregate; all are unioned into one result.
+    """
+    t = wh.tables()
+    parts = []
+    for fact, col, dim, dcol in FOREIGN_KEYS:
+        missing = (t[fact].select(col).filter(F.col(col).isNotNull())
+                   .join(t[dim].select(F.col(dcol).alias(col)), col, "left_anti"))
+        parts.append(missing.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(fact).alias("table_name"), F.lit("foreign_key").alias("check_type"),
+            F.lit(col).alias("column_name"), "violations"))
+    for table, col in UNIQUE_KEYS:
+        dup = (t[table].filter(F.col(col).isNotNull()).groupBy(col)
+               .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
+        parts.append(dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
+            F.lit(table).alias("table_name"), F.lit("unique").alias("check_type"),
+            F.lit(col).alias("column_name"), "violations"))
+    return reduce(DataFrame.unionByName, parts)

@@ -5,8 +5,10 @@ per lineitem. Reserved stock codes, missing fields, returns, zero and negative
 prices and duplicate lines are derived from the keys so that every branch of
 classification and routing is exercised at every scale factor.
 
-File order (the ``_ord`` column) is the full lineitem row plus a copy number,
-a total order the SQL oracle can reproduce.
+File order is the full lineitem row plus a copy number, a total order the SQL
+oracle can reproduce. ``_ord`` carries it either as that struct or, frozen
+when the feed is written (``long_ordinal``), as a long that increases in the
+same order, like the positional index of a raw file.
 """
 
 from __future__ import annotations
@@ -109,3 +111,14 @@ def raw_lines(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataF
         F.col("n_name").alias("Country"),
         F.struct(*[F.col(c) for c in ORDINAL_FIELDS], F.col("copy_no")).alias("_ord"),
     )
+
+
+def long_ordinal(raw: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Replace the struct ``_ord`` by a long that increases in file order:
+    range-partition on the struct, sort within partitions, then
+    ``monotonically_increasing_id`` (partition index in the high bits, so
+    ids grow across the ordered partitions). Nondeterministic until written:
+    write the result once and read it back."""
+    n = num_partitions or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (raw.repartitionByRange(n, "_ord").sortWithinPartitions("_ord")
+            .withColumn("_ord", F.monotonically_increasing_id()))

@@ -36,11 +36,13 @@ def basket_pairs(lines: DataFrame, products: DataFrame, max_items: int = 100,
                 .filter(F.col("inv_n") >= min_support).select("desc"))
     cand = named.join(frequent, "desc", "left_semi")
 
-    a = cand.select("inv", F.col("code").alias("code_a"), F.col("desc").alias("product_a"))
-    b = cand.select("inv", F.col("code").alias("code_b"), F.col("desc").alias("product_b"))
-    pairs = (a.join(b, "inv")
-             .filter(F.col("code_a") < F.col("code_b"))
-             .select("inv", "product_a", "product_b")
+    # Both sides are the same plan, so Spark shuffles the candidates once and
+    # reuses the exchange for the other side.
+    a, b = cand.alias("a"), cand.alias("b")
+    pairs = (a.join(b, F.col("a.inv") == F.col("b.inv"))
+             .filter(F.col("a.code") < F.col("b.code"))
+             .select(F.col("a.inv").alias("inv"), F.col("a.desc").alias("product_a"),
+                     F.col("b.desc").alias("product_b"))
              .distinct())
     counted = (pairs.groupBy("product_a", "product_b")
                .agg(F.count(F.lit(1)).alias("unique_combination"))

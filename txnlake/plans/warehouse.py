@@ -178,6 +178,7 @@ def load(spark: SparkSession, processed: Processed, path: str) -> Warehouse:
     partial files; independent tables are written concurrently.
     """
     existing = try_open(spark, path)
+    before = {n: df.count() for n, df in existing.tables().items()} if existing else {}
     dims = stage_dimensions(processed, existing)
     _write_all([(_conform(getattr(dims, n), n), "append", f"{path}/{n}") for n in DIMENSIONS])
     written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
@@ -185,7 +186,15 @@ def load(spark: SparkSession, processed: Processed, path: str) -> Warehouse:
     dq = "data_quality_potential_duplicates"
     _write_all([(_conform(getattr(staged, n), n), "append", f"{path}/{n}") for n in FACTS]
                + [(_conform(staged.data_quality_potential_duplicates, dq), "overwrite", f"{path}/{dq}")])
-    return open_warehouse(spark, path)
+    wh = open_warehouse(spark, path)
+    # Rows actually inserted (not offered): Parquet row counts before/after.
+    LAST_LOAD_REPORT.clear()
+    LAST_LOAD_REPORT.update({n: df.count() - (0 if n == dq else before.get(n, 0))
+                             for n, df in wh.tables().items()})
+    return wh
+
+
+LAST_LOAD_REPORT: dict[str, int] = {}
 
 
 def build(processed: Processed, validate: bool = True) -> Warehouse:

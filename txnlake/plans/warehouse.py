@@ -168,16 +168,17 @@ DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
 FACTS = ["fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
 
 
-def load(spark: SparkSession, processed: Processed, path: str) -> Warehouse:
+def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False) -> Warehouse:
     """Append new dimension and fact rows (insert-ignore, so loading the
     same input twice changes nothing), replace the audit table, reopen.
 
     As in the reference, dimensions are appended first and the facts are keyed
     from the dimension as written. Each append is one job under Spark's commit
     protocol, so a lost executor only retries tasks and a failed job leaves no
-    partial files; independent tables are written concurrently.
+    partial files; independent tables are written concurrently. ``fresh``
+    skips probing ``path`` for an existing warehouse (a new, empty folder).
     """
-    existing = try_open(spark, path)
+    existing = None if fresh else try_open(spark, path)
     before = {n: df.count() for n, df in existing.tables().items()} if existing else {}
     dims = stage_dimensions(processed, existing)
     _write_all([(_conform(getattr(dims, n), n), "append", f"{path}/{n}") for n in DIMENSIONS])

@@ -104,6 +104,15 @@ def hidden_negatives(df: DataFrame) -> DataFrame:
         F.count_distinct(F.when(rest, F.col("Description"))).alias("remaining_descriptions"))
 
 
+def hidden_negative_remainder(df: DataFrame) -> DataFrame:
+    """P10: hidden negatives minus the blank slice, by row identity (a
+    null-safe negated predicate, no join)."""
+    hidden = (~_c_invoice(df)) & F.coalesce(F.col("Quantity") < 0, F.lit(False))
+    blank = (F.col("CustomerID").isNull() & F.col("Description").isNull()
+             & F.coalesce(F.col("UnitPrice") == 0, F.lit(False)))
+    return df.filter(hidden & ~blank)
+
+
 def cancellation_gaps(df: DataFrame) -> DataFrame:
     """C-invoice lines missing customer, description, price (jointly and each)."""
     c = _c_invoice(df)
@@ -289,4 +298,17 @@ def oracle_sql(wrap: Callable[[str], str]) -> dict[str, str]:
                    GROUP BY Description ORDER BY count DESC, Description ASC NULLS FIRST LIMIT 30"""),
         "P20_ids_whole": wrap("SELECT coalesce(bool_and(CAST(CustomerID AS DOUBLE) % 1 = 0), true) AS all_whole FROM r"),
         "P1_shape": wrap("SELECT COUNT(*) AS rows, 9 AS columns FROM r"),
+        "P4_duplicate_members": wrap(f"""SELECT {', '.join(cols9)} FROM
+                   (SELECT *, COUNT(*) OVER (PARTITION BY {', '.join(cols9)}) AS n FROM r) WHERE n > 1"""),
+        "P5_column_profile": wrap(" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, '{t}' AS data_type FROM r"
+            for c, t in zip(cols9, ["string", "string", "string", "int", "timestamp_ntz", "double", "int",
+                                    "string", "string"]))),
+        "P7_distinct_countries": wrap("SELECT DISTINCT Country FROM r"),
+        "P10_hidden_remainder": wrap(f"""SELECT * FROM r WHERE NOT {cinv} AND coalesce(Quantity < 0, false)
+                   AND NOT (CustomerID IS NULL AND Description IS NULL AND coalesce(UnitPrice = 0, false))"""),
+        "P18_cross_invoice_spans": wrap("""SELECT StockCode, Quantity, COUNT(DISTINCT InvoiceNo) AS unique_invoice_count
+                   FROM (SELECT *, COUNT(*) OVER (PARTITION BY InvoiceNo, StockCode, Quantity) AS n FROM r) WHERE n > 1
+                   AND StockCode IS NOT NULL AND Quantity IS NOT NULL GROUP BY StockCode, Quantity
+                   HAVING COUNT(DISTINCT InvoiceNo) > 1"""),
     }

@@ -61,6 +61,13 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return C.classify(raw_lines(spark, sf)).drop("_ord")
 
 
+def _exact_flags(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import quality as Q
+    flagged = Q.flag_exact_duplicates(C.classify(raw_lines(spark, sf)))
+    return (flagged.groupBy("TransactionType", "IsExactDuplicate")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "T13_routing": _routing,
@@ -86,6 +93,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "P17_clusters": lambda s, sf: P.within_invoice_clusters(_raw(s, sf)),
         "P19_cluster_summary": lambda s, sf: P.cluster_summary(_raw(s, sf)),
         "P1_shape": lambda s, sf: P.shape(_raw(s, sf)),
+        "P4_duplicate_members": lambda s, sf: P.duplicate_members(_raw(s, sf)),
+        "P5_column_profile": lambda s, sf: P.column_profile(_raw(s, sf)),
+        "P7_distinct_countries": lambda s, sf: P.distinct_values(_raw(s, sf), "Country"),
+        "P10_hidden_remainder": lambda s, sf: P.hidden_negative_remainder(_raw(s, sf)),
+        "P18_cross_invoice_spans": lambda s, sf: P.cross_invoice_spans(_raw(s, sf)),
+        "T3_classify": lambda s, sf: _raw(s, sf),
+        "T4_exact_duplicates": _exact_flags,
         "P9_hidden_negatives": lambda s, sf: P.hidden_negatives(_raw(s, sf)),
         "P12_cancellation_gaps": lambda s, sf: P.cancellation_gaps(_raw(s, sf)),
         "P15_zero_value_descriptions": lambda s, sf: P.value_frequencies(
@@ -109,6 +123,12 @@ _RAW = "SELECT * EXCLUDE (" + O._ORD + ") FROM cl"
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "T3_classify": O.sql(_RAW),
+        "T4_exact_duplicates": O.sql(f"""
+            SELECT TransactionType, rn > 1 AS IsExactDuplicate, COUNT(*) AS rows FROM
+              (SELECT *, row_number() OVER (PARTITION BY InvoiceNo, StockCode, Description, Quantity, InvoiceDate,
+                      UnitPrice, CustomerID, Country ORDER BY {O._ORD}) AS rn FROM cl)
+            GROUP BY TransactionType, rn > 1"""),
         "T13_routing": O.sql("""
             SELECT kind, TransactionType, OriginalType, sub_rank, COUNT(*) AS rows,
                    CAST(SUM(Quantity) AS BIGINT) AS quantity, CAST(SUM(SignedQuantity) AS BIGINT) AS signed_quantity,

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.measures import dec, ratio
+from ...functions.measures import before_after, dec, ratio
 from ...operators.basket import basket_pairs
 from ...operators.ranking import global_rank, ntile_of, top_k_share
 from ..warehouse import Warehouse
@@ -120,10 +120,8 @@ def sales_decline(wh: Warehouse) -> DataFrame:
     bounds = days.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
     mid = bounds.select(F.date_add("lo", F.floor(F.datediff("hi", "lo") / 2).cast("int"))).scalar()
     per_code_day = days.groupBy("stock_code", "full_date").agg(F.sum("quantity").alias("q"))
-    split = per_code_day.select(
-        "stock_code",
-        F.when(F.col("full_date") <= mid, F.col("q")).otherwise(F.lit(0)).alias("a"),
-        F.when(F.col("full_date") > mid, F.col("q")).otherwise(F.lit(0)).alias("b"))
+    first, second = before_after(F.col("q"), F.col("full_date"), mid)
+    split = per_code_day.select("stock_code", first.alias("a"), second.alias("b"))
     per_desc = (with_description(split.groupBy("stock_code").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), wh)
                 .groupBy("description")
                 .agg(F.sum("a").alias("first_half_sales"), F.sum("b").alias("second_half_sales")))

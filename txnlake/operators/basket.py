@@ -9,6 +9,11 @@ candidates: a pair can reach ``min_support`` invoices only if each of its
 descriptions does, so lines whose description is in fewer invoices are
 dropped before the self-join. Every step is a hash aggregate or an
 equi-join on the invoice; nothing is collected.
+
+The distinct (invoice, code) items of invoices within the cap are written
+once to the shared checkpoint folder; the denominator, the description
+support and both sides of the self-join read that copy instead of each
+re-deriving it from the fact table.
 """
 
 from __future__ import annotations
@@ -16,20 +21,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def basket_pairs(lines: DataFrame, products: DataFrame, max_items: int = 100,
                  min_support: int = 20, invoice: str = "invoice_no",
                  code: str = "stock_code") -> DataFrame:
     """Columns: product_a, product_b, unique_combination, support_percentage."""
     items = lines.select(F.col(invoice).alias("inv"), F.col(code).alias("code")).distinct()
-    sizes = items.groupBy("inv").agg(F.count("code").alias("n_codes"))  # distinct non-null codes
+    # Distinct non-null codes per invoice: a partial aggregate, then the cap.
+    sizes = items.groupBy("inv").agg(F.count("code").alias("n_codes"))
     normal = sizes.filter(F.col("n_codes") <= max_items).select("inv")
-    # Denominator: invoices within the cap, as a scalar subquery.
-    total = normal.agg(F.count("inv")).scalar()
+    checkpoint_dir(lines.sparkSession)
+    kept = items.join(normal, "inv", "left_semi").checkpoint(eager=True)
+    # Denominator: distinct invoices within the cap, as a scalar subquery.
+    total = kept.agg(F.count_distinct("inv")).scalar()
 
-    kept = items.join(normal, "inv", "left_semi").filter(F.col("code").isNotNull())
-    named = kept.join(products.select(F.col("stock_code").alias("code"),
-                                      F.col("description").alias("desc")), "code")
+    named = (kept.filter(F.col("code").isNotNull())
+             .join(products.select(F.col("stock_code").alias("code"),
+                                   F.col("description").alias("desc")), "code"))
     # A-priori bound: invoices per description must reach min_support.
     frequent = (named.select("inv", "desc").distinct()
                 .groupBy("desc").agg(F.count(F.lit(1)).alias("inv_n"))

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators import dims as D
@@ -27,9 +28,17 @@ class Warehouse:
     fact_adjustment: DataFrame
     fact_non_sale: DataFrame
     data_quality_potential_duplicates: DataFrame
+    path: str | None = None  # set when opened from written tables
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
+
+
+# Facts are stored partitioned by month (date_key div 100). A row hash covers
+# the invoice timestamp, so a batch row can only conflict with existing rows
+# of its own month: insert-ignore reads just the months the batch touches.
+MONTH = "month_key"
+FACT_TABLES = ["fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
 
 
 FACT_KINDS = {  # table -> (processed kind, id column)
@@ -66,6 +75,12 @@ def validate_facts(keyed: DataFrame) -> DataFrame:
     return report
 
 
+def _months(keyed: DataFrame) -> list[int]:
+    """Months present in a batch: at most one value per calendar month."""
+    return [r[0] for r in keyed.select((F.col("date_key") / 100).cast("int").alias("m"))
+            .filter(F.col("m").isNotNull()).distinct().collect()]
+
+
 def _max(df: DataFrame | None, col: str) -> int:
     if df is None:
         return 0
@@ -114,17 +129,29 @@ def stage(processed: Processed, existing: Warehouse | None = None,
         dim_country = new_country if old is None else old.dim_country.unionByName(new_country)
 
     keyed = X.with_keys(tx, dim_country)
+    months = _months(keyed) if old is not None and old.path else None
+
+    def target_of(table: str) -> tuple[DataFrame | None, DataFrame | None]:
+        """(rows to test conflicts against, whole table for the id maximum)."""
+        if old is None:
+            return None, None
+        whole = getattr(old, table)
+        if months is None:
+            return whole, whole
+        part = read_table(tx.sparkSession, old.path, table, with_partition=True)
+        return part.filter(F.col(MONTH).isin(months)).drop(MONTH), whole
+
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
         rows = X.standard_fact(keyed.filter(F.col("kind") == kind))
-        target = getattr(old, table) if old is not None else None
+        target, whole = target_of(table)
         new = X.insert_ignore(rows, target, ["row_hash"], ["sub_rank", "_ord"])
         new = new.select(*[c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col])
-        facts[table] = X.with_ids(new, id_col, _max(target, id_col))
+        facts[table] = X.with_ids(new, id_col, _max(whole, id_col))
     ns = X.non_sale_fact(keyed.filter(F.col("kind") == "non_sales"))
-    ns_target = old.fact_non_sale if old is not None else None
+    ns_target, ns_whole = target_of("fact_non_sale")
     ns_new = X.multiset_insert(ns, ns_target, X.NON_SALE_COLUMNS)
-    facts["fact_non_sale"] = X.with_ids(ns_new, "non_sale_id", _max(ns_target, "non_sale_id"))
+    facts["fact_non_sale"] = X.with_ids(ns_new, "non_sale_id", _max(ns_whole, "non_sale_id"))
     if validate:
         validate_facts(keyed)
     dq = X.with_ids(X.audit_rows(audit), "quality_issue_id")
@@ -138,10 +165,20 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_table(spark: SparkSession, path: str, name: str, with_partition: bool = False) -> DataFrame:
+    """One written table with its declared schema; fact tables carry the
+    ``month_key`` partition column only when asked for (partition pruning)."""
+    schema = S.WAREHOUSE_SCHEMAS[name]
+    if name not in FACT_TABLES:
+        return spark.read.schema(schema).parquet(f"{path}/{name}")
+    full = T.StructType(list(schema.fields) + [T.StructField(MONTH, T.IntegerType())])
+    df = spark.read.schema(full).parquet(f"{path}/{name}")
+    return df if with_partition else df.select(*schema.fieldNames())
+
+
 def open_warehouse(spark: SparkSession, path: str) -> Warehouse:
     """The nine tables of a written warehouse, with declared schemas."""
-    return Warehouse(**{name: spark.read.schema(schema).parquet(f"{path}/{name}")
-                        for name, schema in S.WAREHOUSE_SCHEMAS.items()})
+    return Warehouse(path=path, **{name: read_table(spark, path, name) for name in S.WAREHOUSE_SCHEMAS})
 
 
 def try_open(spark: SparkSession, path: str) -> Warehouse | None:
@@ -153,19 +190,32 @@ def try_open(spark: SparkSession, path: str) -> Warehouse | None:
         return None
 
 
+def _partitioned(fact: DataFrame) -> DataFrame:
+    """A fact ready for a month-partitioned write: range-partitioned on
+    (date_key, row_hash) so each task writes a few neighbouring months and a
+    single busy day is still split across tasks."""
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
+            .repartitionByRange(n, "date_key", "row_hash"))
+
+
 def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> None:
     """Independent table writes submitted as concurrent Spark jobs (the
-    scheduler interleaves their tasks); errors propagate."""
+    scheduler interleaves their tasks); errors propagate. Fact tables are
+    written partitioned by month."""
     def one(job):
         df, mode, target = job
-        df.write.mode(mode).parquet(target)
+        w = df.write.mode(mode)
+        if MONTH in df.columns:
+            w = w.partitionBy(MONTH)
+        w.parquet(target)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         for f in [pool.submit(one, j) for j in jobs]:
             f.result()
 
 
 DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
-FACTS = ["fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
+FACTS = FACT_TABLES
 
 
 def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False) -> Warehouse:
@@ -185,7 +235,7 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
     staged = stage(processed, existing, dim_country=written_countries)
     dq = "data_quality_potential_duplicates"
-    _write_all([(_conform(getattr(staged, n), n), "append", f"{path}/{n}") for n in FACTS]
+    _write_all([(_partitioned(_conform(getattr(staged, n), n)), "append", f"{path}/{n}") for n in FACTS]
                + [(_conform(staged.data_quality_potential_duplicates, dq), "overwrite", f"{path}/{dq}")])
     wh = open_warehouse(spark, path)
     # Rows actually inserted (not offered): Parquet row counts before/after.
@@ -207,7 +257,12 @@ def build(processed: Processed, validate: bool = True) -> Warehouse:
 def reset(spark: SparkSession, path: str) -> None:
     """Drop all nine tables (empty them)."""
     for name, schema in S.WAREHOUSE_SCHEMAS.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{name}")
+        w = spark.createDataFrame([], schema)
+        if name in FACT_TABLES:
+            w.withColumn(MONTH, F.lit(None).cast("int")).write.mode("overwrite").partitionBy(MONTH) \
+                .parquet(f"{path}/{name}")
+        else:
+            w.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 # Foreign keys and unique keys the reference declares in its DDL; Spark does

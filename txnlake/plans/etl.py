@@ -47,7 +47,7 @@ def built_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> tuple
     if key not in _CACHE:
         raw = stage_raw(spark, long_ordinal(raw_lines(spark, sf_dir, describe)))
         processed = process(spark, raw)
-        wh = load(spark, processed, scratch_path(spark, "warehouse"), fresh=True)
+        wh = load(spark, processed, scratch_path(spark, "warehouse"), fresh=True, report=False)
         _CACHE[key] = (processed, wh)
     return _CACHE[key]
 

@@ -191,12 +191,10 @@ def try_open(spark: SparkSession, path: str) -> Warehouse | None:
 
 
 def _partitioned(fact: DataFrame) -> DataFrame:
-    """A fact ready for a month-partitioned write: range-partitioned on
-    (date_key, row_hash) so each task writes a few neighbouring months and a
-    single busy day is still split across tasks."""
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
-            .repartitionByRange(n, "date_key", "row_hash"))
+    """A fact ready for a month-partitioned write: the REBALANCE hint
+    shuffles by month so each task writes few month folders, and AQE splits
+    a month that is too large into several tasks (and merges small ones)."""
+    return fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int")).hint("rebalance", MONTH)
 
 
 def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> None:
@@ -218,7 +216,8 @@ DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
 FACTS = FACT_TABLES
 
 
-def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False) -> Warehouse:
+def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False,
+         report: bool = True) -> Warehouse:
     """Append new dimension and fact rows (insert-ignore, so loading the
     same input twice changes nothing), replace the audit table, reopen.
 
@@ -226,10 +225,11 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     from the dimension as written. Each append is one job under Spark's commit
     protocol, so a lost executor only retries tasks and a failed job leaves no
     partial files; independent tables are written concurrently. ``fresh``
-    skips probing ``path`` for an existing warehouse (a new, empty folder).
+    skips probing ``path`` for an existing warehouse (a new, empty folder);
+    ``report`` records the rows inserted per table in ``LAST_LOAD_REPORT``.
     """
     existing = None if fresh else try_open(spark, path)
-    before = {n: df.count() for n, df in existing.tables().items()} if existing else {}
+    before = {n: df.count() for n, df in existing.tables().items()} if existing and report else {}
     dims = stage_dimensions(processed, existing)
     _write_all([(_conform(getattr(dims, n), n), "append", f"{path}/{n}") for n in DIMENSIONS])
     written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
@@ -238,10 +238,10 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     _write_all([(_partitioned(_conform(getattr(staged, n), n)), "append", f"{path}/{n}") for n in FACTS]
                + [(_conform(staged.data_quality_potential_duplicates, dq), "overwrite", f"{path}/{dq}")])
     wh = open_warehouse(spark, path)
-    # Rows actually inserted (not offered): Parquet row counts before/after.
     LAST_LOAD_REPORT.clear()
-    LAST_LOAD_REPORT.update({n: df.count() - (0 if n == dq else before.get(n, 0))
-                             for n, df in wh.tables().items()})
+    if report:  # rows actually inserted (not offered): Parquet row counts before/after
+        LAST_LOAD_REPORT.update({n: df.count() - (0 if n == dq else before.get(n, 0))
+                                 for n, df in wh.tables().items()})
     return wh
 
 

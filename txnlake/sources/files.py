@@ -6,7 +6,7 @@ them on a contiguous row index derived without RDDs or a global sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,34 +24,30 @@ def with_row_index(df: DataFrame, col: str = "_ord") -> tuple[DataFrame, int]:
     """Contiguous 0-based file position of every row of a file scan.
 
     Rows get ``monotonically_increasing_id`` (partition << 33 | row); the
-    split each partition read comes from ``_metadata``. One small aggregate
-    gives each (file, block) segment's size; ordering segments by file path
-    then block start yields offsets, shipped back as a broadcast table with
-    one row per segment (bounded by the number of file splits). The scan is
-    deterministic, so both passes see the same ids.
+    split each partition read comes from ``_metadata``. One aggregate gives
+    each (file, block, partition) segment its first id and size; a running
+    sum over the segments ordered by file path then block start gives each
+    segment's offset. That window runs over one row per file split, never
+    over data rows, and the offsets are joined back on the segment. The scan
+    is deterministic, so every branch sees the same ids. Only the total row
+    count reaches the driver.
     """
-    spark = df.sparkSession
     tagged = df.select("*",
                        F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"),
                        F.monotonically_increasing_id().alias("_mid"))
     pid = F.shiftright("_mid", _LOCAL_BITS)
     segs = (tagged.groupBy("_file", "_block", pid.alias("_pid"))
-            .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-            .collect())
-    segs.sort(key=lambda r: (r["_file"], r["_block"]))
-    rows, running = [], 0
-    for r in segs:
-        rows.append((r["_file"], int(r["_block"]), int(r["_pid"]), running - int(r["_first"])))
-        running += int(r["_n"])
-    if not rows:
-        return df.withColumn(col, F.lit(None).cast("long")), 0
-    off = spark.createDataFrame(rows, "_file string, _block long, _pid long, _shift long")
+            .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = segs.select("_file", "_block", "_pid",
+                          (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    total = segs.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     out = (tagged.withColumn("_pid", pid)
-           .join(F.broadcast(off), ["_file", "_block", "_pid"])
+           .join(offsets, ["_file", "_block", "_pid"])
            .withColumn(col, F.col("_mid") + F.col("_shift"))
            .drop("_file", "_block", "_pid", "_mid", "_shift"))
-    return out, running
+    return out, int(total)
 
 
 def zip_columns(left: DataFrame, right: DataFrame, col: str = "_ord") -> DataFrame:

@@ -104,3 +104,10 @@ def test_quadrants_small(spark):
     rev = sorted(range(12), key=lambda i: ((100 - i * 8) * (1 + i), f"P{i}"))
     assert hv == {f"P{i}" for i in range(3)} & {f"P{i}" for i in rev[:3]}
     assert hr == {f"P{i}" for i in range(9, 12)} & {f"P{i}" for i in rev[::-1][:3]}
+
+
+def test_expand_chunks_cover_range_exactly(spark):
+    from txnlake.functions.expand import expand
+    df = spark.createDataFrame([("a", 1, 10), ("b", 3, 3), ("c", 5, 4)], "k string, lo long, hi long")
+    got = sorted((r["k"], r["i"]) for r in expand(df, "lo", "hi", "i", chunk=3).collect())
+    assert got == [("a", i) for i in range(1, 11)] + [("b", 3)]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.expand import expand
 
 HASH_COLUMNS = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price"]
 NON_SALE_COLUMNS = ["invoice_no", "stock_code", "description", "quantity", "invoice_date",
@@ -126,8 +127,8 @@ def multiset_insert(batch: DataFrame, target: DataFrame | None, cols: list[str],
                   .select(*[counts[c] for c in cols], "_n", F.coalesce("_have", F.lit(0)).alias("_have")))
     else:
         counts = counts.withColumn("_have", F.lit(0).cast("long"))
-    todo = counts.filter(F.col("_n") > F.col("_have"))
-    expanded = todo.withColumn("_occ", F.explode(F.sequence(F.col("_have") + 1, F.col("_n"))))
+    todo = counts.filter(F.col("_n") > F.col("_have")).withColumn("_from", F.col("_have") + 1)
+    expanded = expand(todo, "_from", "_n", "_occ")
     return expanded.select(
         row_hash([F.col(c) for c in cols] + [F.col("_occ")]).alias(hash_col),
         *cols)

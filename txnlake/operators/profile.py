@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expand import expand
 from ..schemas import RAW_COLUMNS
 
 KEY6 = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice"]
@@ -51,8 +52,9 @@ def duplicate_members(df: DataFrame) -> DataFrame:
     """Every member of an exact-duplicate group, sorted. Members of one
     group are identical, so they are re-expanded from the group count (no
     join back, no window over a hot group)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    out = g.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n", "_i")
+    g = (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+         .withColumn("_one", F.lit(1).cast("long")))
+    out = expand(g, "_one", "_n", "_i").drop("_n", "_i", "_one")
     return out.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns])
 
 

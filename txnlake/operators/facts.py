@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.expand import expand
 
-HASH_COLUMNS = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price"]
 NON_SALE_COLUMNS = ["invoice_no", "stock_code", "description", "quantity", "invoice_date",
                     "unit_price", "customer_id", "country_key", "transaction_type", "date_key"]
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.measures import dec, ratio, with_period
+from ...functions.measures import dec, with_period
 from ...operators.ranking import global_rank, ntile_of
 from ..warehouse import Warehouse
 from ._common import dated, with_country, with_description

@@ -19,6 +19,7 @@ from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
 from ..sources.testdata import raw_lines
 from .etl import processed_for, warehouse_for
+from .views import diagnostics as DG
 from .warehouse import FOREIGN_KEYS, UNIQUE_KEYS, audit_integrity
 
 
@@ -99,6 +100,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "P10_hidden_remainder": lambda s, sf: P.hidden_negative_remainder(_raw(s, sf)),
         "P18_cross_invoice_spans": lambda s, sf: P.cross_invoice_spans(_raw(s, sf)),
         "T3_classify": lambda s, sf: _raw(s, sf),
+        "D1_largest_baskets": lambda s, sf: DG.largest_baskets(warehouse_for(s, sf)),
+        "D2_basket_pair_counts": lambda s, sf: DG.basket_pair_counts(warehouse_for(s, sf)),
+        "D3_duplicate_flag_check": lambda s, sf: DG.duplicate_flag_check(warehouse_for(s, sf)),
+        "D4_view_invariants": lambda s, sf: DG.view_invariants(warehouse_for(s, sf)),
         "T4_exact_duplicates": _exact_flags,
         "P9_hidden_negatives": lambda s, sf: P.hidden_negatives(_raw(s, sf)),
         "P12_cancellation_gaps": lambda s, sf: P.cancellation_gaps(_raw(s, sf)),
@@ -124,6 +129,26 @@ _RAW = "SELECT * EXCLUDE (" + O._ORD + ") FROM cl"
 def oracle_sql() -> dict[str, str]:
     return {
         "T3_classify": O.sql(_RAW),
+        "D1_largest_baskets": O.sql("""SELECT invoice_no, COUNT(DISTINCT stock_code) AS distinct_products
+            FROM fact_sales GROUP BY invoice_no ORDER BY distinct_products DESC, invoice_no ASC LIMIT 5"""),
+        "D2_basket_pair_counts": O.sql("""SELECT COUNT(*) AS invoices, COUNT(*) FILTER (WHERE n > 100) AS invoices_over_cap,
+            MAX(n) AS largest_basket, CAST(SUM(n * (n - 1) // 2) AS BIGINT) AS pairs_uncapped,
+            CAST(SUM(CASE WHEN n <= 100 THEN n * (n - 1) // 2 ELSE 0 END) AS BIGINT) AS pairs_capped
+            FROM (SELECT invoice_no, COUNT(DISTINCT stock_code) AS n FROM fact_sales GROUP BY invoice_no)"""),
+        "D3_duplicate_flag_check": O.sql("""SELECT COUNT(*) AS flagged_rows,
+            COUNT(DISTINCT (invoice_no, stock_code, quantity)) AS clusters,
+            COUNT(*) FILTER (WHERE duplicate_group_count <> a) AS mismatched_rows,
+            COUNT(*) FILTER (WHERE a = 1) AS clusters_of_one
+            FROM (SELECT *, COUNT(*) OVER (PARTITION BY invoice_no, stock_code, quantity) AS a FROM dq)"""),
+        "D4_view_invariants": O.sql("""SELECT
+            (SELECT COUNT(*) FROM (SELECT dp.description, SUM(fc.quantity) AS t FROM fact_cancellations fc
+               LEFT JOIN dim_product dp ON fc.stock_code = dp.stock_code GROUP BY dp.description) WHERE t < 0)
+               AS negative_cancelled_totals,
+            (SELECT COUNT(DISTINCT country_key) FROM fact_sales) AS rate_countries,
+            (SELECT COUNT(*) FROM (SELECT DISTINCT fs.country_key FROM fact_sales fs
+               JOIN dim_country dc ON fs.country_key = dc.country_key)) AS named_rate_countries,
+            (SELECT COUNT(DISTINCT dc.country) FROM fact_sales fs JOIN dim_country dc
+               ON fs.country_key = dc.country_key) AS revenue_countries"""),
         "T4_exact_duplicates": O.sql(f"""
             SELECT TransactionType, rn > 1 AS IsExactDuplicate, COUNT(*) AS rows FROM
               (SELECT *, row_number() OVER (PARTITION BY InvoiceNo, StockCode, Description, Quantity, InvoiceDate,

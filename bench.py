@@ -28,14 +28,19 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    advisory = os.environ.get("BENCH_ADVISORY", "64m")
     spark = get_spark(f"local[{cpus}]", app="txnlake-bench", shuffle_partitions=cpus * 2,
                       **{"spark.ui.showConsoleProgress": "false",
-                         "spark.driver.memory": "16g"})
+                         "spark.driver.memory": "16g",
+                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory})
     timings: dict[str, float] = {}
 
+    stages: dict[str, float] = {}
     t0 = time.perf_counter()
-    built_for(spark, sf_dir, "name")
-    timings["load"] = time.perf_counter() - t0
+    built_for(spark, sf_dir, "name", stages)
+    timings["load"] = time.perf_counter() - t0  # adapter + transform + warehouse load
+    for k, v in stages.items():
+        timings[f"load.{k}"] = v
     t0 = time.perf_counter()
     built_for(spark, sf_dir, "item")
     timings["load_item_mode"] = time.perf_counter() - t0

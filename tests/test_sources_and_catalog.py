@@ -96,3 +96,22 @@ def test_profiling_checks(spark):
     assert P.within_invoice_clusters(df).count() == 1
     types = {r["column_name"]: r["data_type"] for r in P.column_profile(df).collect()}
     assert types["Quantity"] == "int"
+
+
+def test_command_line_run_and_rerun(spark, tmp_dir):
+    from txnlake.__main__ import main
+    _write(f"{tmp_dir}/ids.csv", "InvoiceNo,StockCode\n536365,85123A\nC536379,22556\n536366,POST\n536365,85123A\n")
+    _write(f"{tmp_dir}/data.csv",
+           "Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+           "LANTERN,6,2010-12-01 08:26:00,2.55,17850.0,United Kingdom\n"
+           "TEA CUP,-12,2010-12-01 09:00:00,1.65,14527.0,United Kingdom\n"
+           "postage,1,2010-12-01 10:00:00,18.0,,France\n"
+           "LANTERN,6,2010-12-01 08:26:00,2.55,17850.0,United Kingdom\n")
+    args = ["run", "--ids", f"{tmp_dir}/ids.csv", "--features", f"{tmp_dir}/data.csv",
+            "--warehouse", f"{tmp_dir}/wh", "--out", f"{tmp_dir}/out", "--only", "V1,V43"]
+    first = main(args, spark=spark)
+    assert first["inserted"]["fact_sales"] == 1 and first["inserted"]["fact_cancellations"] == 1
+    assert first["inserted"]["fact_non_sale"] == 1 and first["export"]["failed"] == []
+    again = main(args, spark=spark)
+    assert all(v == 0 for k, v in again["inserted"].items() if k != "data_quality_potential_duplicates")
+    assert main(["audit", "--warehouse", f"{tmp_dir}/wh"], spark=spark)["violations"] == {}

@@ -59,3 +59,18 @@ def test_dim_date_join_is_broadcast_and_scan_is_pruned(spark):
     assert "BroadcastHashJoin" in plan
     assert "ReadSchema: struct<revenue" in plan or "revenue" in plan
     assert "invoice_no" not in plan.split("FileScan")[1].split("ReadSchema")[1].split("\n")[0]
+
+
+@needs_data
+def test_kinds_partition_the_deduplicated_input(spark):
+    """Every distinct raw line lands in exactly one processed table."""
+    from pyspark.sql import functions as F
+
+    from txnlake.plans.etl import processed_for
+    from txnlake.schemas import RAW_COLUMNS
+    from txnlake.sources.testdata import raw_lines
+    lines = processed_for(spark, SF).lines
+    distinct_raw = raw_lines(spark, SF).select(*RAW_COLUMNS).distinct().count()
+    by_kind = {r["kind"]: r["n"] for r in lines.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sum(by_kind.values()) == distinct_raw
+    assert set(by_kind) <= {"sales", "cancellations", "adjustments", "non_sales"}

@@ -80,3 +80,15 @@ def test_integrity_audit_clean(spark):
     wh = build(transform(raw_rows(spark, _rows())))
     bad = [r for r in audit_integrity(wh).collect() if r["violations"]]
     assert bad == []
+
+
+def test_rerun_after_interrupted_load_adds_no_duplicates(spark, tmp_dir):
+    """A load that stopped after writing the dimensions is completed by the
+    next run, and the dimensions are not appended twice."""
+    from txnlake.plans.warehouse import DIMENSIONS, _conform, _write_all, stage_dimensions
+    processed = process(spark, raw_rows(spark, _rows()))
+    dims = stage_dimensions(processed)
+    _write_all([(_conform(getattr(dims, n), n), "append", f"{tmp_dir}/wh/{n}") for n in DIMENSIONS])
+    wh = load(spark, processed, f"{tmp_dir}/wh")
+    clean = load(spark, processed, f"{tmp_dir}/clean")
+    assert _counts(wh) == _counts(clean)

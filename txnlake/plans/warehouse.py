@@ -136,9 +136,10 @@ def stage(processed: Processed, existing: Warehouse | None = None,
         if old is None:
             return None, None
         whole = getattr(old, table)
-        if months is None:
+        part = None if months is None else \
+            _read_or_empty(tx.sparkSession, old.path, table, with_partition=True)
+        if part is None:
             return whole, whole
-        part = read_table(tx.sparkSession, old.path, table, with_partition=True)
         return part.filter(F.col(MONTH).isin(months)).drop(MONTH), whole
 
     facts: dict[str, DataFrame] = {}
@@ -181,13 +182,24 @@ def open_warehouse(spark: SparkSession, path: str) -> Warehouse:
     return Warehouse(path=path, **{name: read_table(spark, path, name) for name in S.WAREHOUSE_SCHEMAS})
 
 
-def try_open(spark: SparkSession, path: str) -> Warehouse | None:
+def _read_or_empty(spark: SparkSession, path: str, name: str,
+                   with_partition: bool = False) -> DataFrame | None:
     try:
-        wh = open_warehouse(spark, path)
-        wh.dim_country.limit(1).collect()  # forces the file listing
-        return wh
-    except AnalysisException:
+        return read_table(spark, path, name, with_partition)
+    except AnalysisException:  # the table folder does not exist (yet)
+        return None
+
+
+def try_open(spark: SparkSession, path: str) -> Warehouse | None:
+    """The warehouse at ``path``, or None when nothing is there. Tables that
+    are missing (a load interrupted after the dimensions were written) read
+    as empty, so re-running the load completes it without duplicating the
+    tables that were already written."""
+    found = {n: _read_or_empty(spark, path, n) for n in S.WAREHOUSE_SCHEMAS}
+    if all(df is None for df in found.values()):
         return None
+    return Warehouse(path=path, **{n: df if df is not None else spark.createDataFrame([], S.WAREHOUSE_SCHEMAS[n])
+                                   for n, df in found.items()})
 
 
 def _partitioned(fact: DataFrame) -> DataFrame:

@@ -111,3 +111,27 @@ def test_expand_chunks_cover_range_exactly(spark):
     df = spark.createDataFrame([("a", 1, 10), ("b", 3, 3), ("c", 5, 4)], "k string, lo long, hi long")
     got = sorted((r["k"], r["i"]) for r in expand(df, "lo", "hi", "i", chunk=3).collect())
     assert got == [("a", i) for i in range(1, 11)] + [("b", 3)]
+
+
+def test_rank_spreads_a_heavily_tied_value(spark):
+    """A third of the rows share one value: the tie-break key still splits
+    them over several range partitions, and ranks stay exact."""
+    n = 3000
+    df = spark.range(0, n).withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")))
+    ranked, total = global_rank(df, [F.col("v").asc(), F.col("id").asc()], "r", num_partitions=6)
+    parts = [r[0] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert total == n and max(parts) < n / 3
+    plain = {r["id"]: r["r"] for r in df.select("id", F.row_number().over(
+        Window.orderBy("v", "id")).alias("r")).collect()}
+    assert {r["id"]: r["r"] for r in ranked.collect()} == plain
+
+
+def test_basket_pairs_with_a_hot_invoice(spark):
+    """One invoice holds a third of all lines (many copies of 30 codes)."""
+    rows = [("HOT", f"C{i % 30:03d}", f"D{i % 30}") for i in range(3000)]
+    rows += [(f"I{j}", f"C{(j + k) % 30:03d}", f"D{(j + k) % 30}") for j in range(200) for k in range(3)]
+    lines = spark.createDataFrame([(i, c) for i, c, _ in rows], "invoice_no string, stock_code string")
+    prods = spark.createDataFrame(sorted({(c, d) for _, c, d in rows}), "stock_code string, description string")
+    got = {(r["product_a"], r["product_b"]): (r["unique_combination"], float(r["support_percentage"]))
+           for r in basket_pairs(lines, prods, max_items=100, min_support=5).collect()}
+    assert got == _naive_pairs(rows, 100, 5)

@@ -29,8 +29,11 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *order)
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges neighbouring ranges, so partition order is still the sort order.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions \
+        else df.repartitionByRange(*order)
+    numbered = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))

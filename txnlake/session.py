@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of ranks and basket items are dropped once unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

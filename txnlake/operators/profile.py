@@ -242,7 +242,8 @@ def oracle_sql(wrap: Callable[[str], str]) -> dict[str, str]:
     cinv = "coalesce(starts_with(InvoiceNo, 'C'), false)"
     return {
         "P2_missing": wrap(union("SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM r")),
-        "P3_duplicate_rows": wrap(f"""SELECT SUM(n) AS rows, COUNT(*) AS distinct_rows, SUM(n - 1) AS duplicate_rows FROM
+        "P3_duplicate_rows": wrap(f"""SELECT CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS distinct_rows,
+                                     CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows FROM
                                      (SELECT COUNT(*) AS n FROM r GROUP BY {', '.join(cols9)})"""),
         "P6_distinct_counts": wrap(union("SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS distinct_count FROM r")),
         "P8_sign_checks": wrap(f"""SELECT coalesce(bool_and(CASE WHEN {cinv} THEN coalesce(Quantity < 0, false) END), true)

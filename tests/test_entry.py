@@ -74,3 +74,31 @@ def test_kinds_partition_the_deduplicated_input(spark):
     by_kind = {r["kind"]: r["n"] for r in lines.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sum(by_kind.values()) == distinct_raw
     assert set(by_kind) <= {"sales", "cancellations", "adjustments", "non_sales"}
+
+
+@needs_data
+def test_transform_plan_has_no_row_window(spark):
+    """Duplicate flags come from aggregates joined back, not from a window
+    that would put a hot key's rows into one task."""
+    from txnlake.operators.transform import transform
+    from txnlake.sources.testdata import raw_lines
+    plan = transform(raw_lines(spark, SF)).lines._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert "HashAggregate" in plan
+
+
+@needs_data
+def test_reload_reads_only_the_batch_months(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from txnlake.plans.etl import processed_for
+    from txnlake.plans.warehouse import load, open_warehouse, stage
+    processed = processed_for(spark, SF)
+    small = type(processed)(lines=processed.lines.filter(F.col("InvoiceDate") < "1995-03-01"),
+                            audit=processed.audit)
+    load(spark, processed, f"{tmp_dir}/wh", report=False)
+    old = open_warehouse(spark, f"{tmp_dir}/wh")
+    st = stage(small, old, validate=False, dim_country=old.dim_country)
+    plan = st.fact_sales._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*month_key#\d+ (IN|INSET) ", plan)

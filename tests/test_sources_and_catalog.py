@@ -1,5 +1,6 @@
 """File sources (S1, S2), export (S10), view registration (S9), profiling."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -39,7 +40,7 @@ def test_zip_columns_follows_file_position(spark, tmp_dir):
         assert r["InvoiceNo"].lstrip("C") == str(i)
         assert r["Description"] == f"item {i}"
         assert r["CustomerID"] == (None if i % 3 == 0 else i)
-    assert rows[0]["InvoiceDate"] is None or True  # pandas-style formats may not parse
+    assert {r["InvoiceDate"] for r in rows} == {dt.datetime(2010, 12, 1, 8, 26)}  # month-first layout
 
 
 def test_zip_columns_rejects_unequal_files(spark, tmp_dir):
@@ -115,3 +116,14 @@ def test_command_line_run_and_rerun(spark, tmp_dir):
     again = main(args, spark=spark)
     assert all(v == 0 for k, v in again["inserted"].items() if k != "data_quality_potential_duplicates")
     assert main(["audit", "--warehouse", f"{tmp_dir}/wh"], spark=spark)["violations"] == {}
+
+
+def test_timestamp_layouts_and_bad_values(spark):
+    from pyspark.sql import functions as F
+
+    from txnlake.operators.classify import parse_timestamp
+    df = spark.createDataFrame([("2010-12-01 08:26:00",), ("12/1/2010 8:26",), ("1/13/2011 17:05",),
+                                ("not a date",), (None,)], "s string")
+    got = [r[0] for r in df.select(parse_timestamp(F.col("s"))).collect()]
+    assert got == [dt.datetime(2010, 12, 1, 8, 26), dt.datetime(2010, 12, 1, 8, 26),
+                   dt.datetime(2011, 1, 13, 17, 5), None, None]

@@ -12,13 +12,25 @@ from pyspark.sql import functions as F
 from ..functions import codes as K
 
 
+# Accepted invoice-date layouts besides ISO (month first, as the
+# raw feed writes them, e.g. 12/1/2010 8:26).
+MONTH_FIRST_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
+
+
+def parse_timestamp(c: Column, fmt: str | None = None) -> Column:
+    """T1 on a column: text -> timestamp_ntz, first layout that parses wins
+    (ISO, then month-first); unparseable text becomes null, never an error."""
+    if fmt:
+        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in MONTH_FIRST_FORMATS]
+    return F.coalesce(*tries).cast("timestamp_ntz")
+
+
 def parse_ts(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
     """Text -> timestamp; unparseable values become null (never raise)."""
     if dict(df.dtypes).get(col) in ("timestamp", "timestamp_ntz"):
         return df
-    c = F.col(col)
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return df.withColumn(col, parsed.cast("timestamp_ntz"))
+    return df.withColumn(col, parse_timestamp(F.col(col), fmt))
 
 
 def cast_customer(df: DataFrame, col: str = "CustomerID") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..operators.classify import parse_timestamp
 
 _LOCAL_BITS = 33
 
@@ -70,7 +71,7 @@ def read_raw(spark: SparkSession, ids_path: str, features_path: str) -> DataFram
     raw = zip_columns(ids, feats)
     return raw.select(
         "InvoiceNo", "StockCode", "Description", "Quantity",
-        F.try_to_timestamp(F.col("InvoiceDate")).cast("timestamp_ntz").alias("InvoiceDate"),
+        parse_timestamp(F.col("InvoiceDate")).alias("InvoiceDate"),
         "UnitPrice",
         F.col("CustomerID").try_cast("double").try_cast("int").alias("CustomerID"),
         "Country", "_ord")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
+from ..operators.classify import parse_timestamp
 from ..plans.etl import process
 from ..plans.warehouse import load
 
@@ -27,7 +28,7 @@ RAW_FILE_SCHEMA = S.IDS_FILE_SCHEMA.fields + S.FEATURES_FILE_SCHEMA.fields
 def _typed(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch.select(
         "InvoiceNo", "StockCode", "Description", "Quantity",
-        F.try_to_timestamp(F.col("InvoiceDate")).cast("timestamp_ntz").alias("InvoiceDate"),
+        parse_timestamp(F.col("InvoiceDate")).alias("InvoiceDate"),
         "UnitPrice",
         F.col("CustomerID").try_cast("double").try_cast("int").alias("CustomerID"),
         "Country",

@@ -60,8 +60,16 @@ def flag_potential_duplicates(df: DataFrame, keys: list[str] = DUP_KEYS) -> Data
     Nulls count as equal for the flag, but a key with a null gets a null
     group size (the reference's group-by drops null keys).
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_grp_n"))
-    out = _join_back(df, sizes, keys, ["_grp_n"])
+    aggs, extra = [F.count(F.lit(1)).alias("_grp_n")], ["_grp_n"]
+    if "_ord" in df.columns:
+        # The cluster's first file position is kept as a column. Besides being
+        # the natural order of a cluster's audit rows, it keeps the input's
+        # ordinal in use on both sides of the join, so both uses of ``df`` are
+        # one plan and Spark computes the de-duplication once (reused exchange).
+        aggs.append(F.min("_ord").alias("ClusterFirstOrdinal"))
+        extra.append("ClusterFirstOrdinal")
+    sizes = df.groupBy(*keys).agg(*aggs)
+    out = _join_back(df, sizes, keys, extra)
     all_keys = None
     for k in keys:
         c = F.col(k).isNotNull()

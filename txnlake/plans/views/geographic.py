@@ -3,7 +3,7 @@ named through the (broadcast, country-bounded) country dimension."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions.measures import dec, period_change, ratio
@@ -52,12 +52,14 @@ def low_volume_high_aov(wh: Warehouse, lo: int = 10, hi: int = 50) -> DataFrame:
 
 
 def revenue_share(wh: Warehouse) -> DataFrame:
-    """% of total sales revenue per country; the total is a scalar
-    subquery rolled up from the per-country sums (no second fact scan)."""
+    """% of total sales revenue per country. The total is rolled up from
+    the per-country sums (null country key included, like the reference's
+    total over all sales) by a window over that aggregate: at most one row
+    per country, and the facts are scanned once."""
     per_key = wh.fact_sales.groupBy("country_key").agg(F.sum("revenue").alias("r"))
-    total = per_key.agg(F.sum("r")).scalar()
-    return with_country(per_key, wh).select(
-        "country", F.round(F.col("r") / total * F.lit(100), 2).alias("percentage"))
+    with_total = per_key.withColumn("_t", F.sum("r").over(Window.partitionBy()))
+    return with_country(with_total, wh).select(
+        "country", F.round(F.col("r") / F.col("_t") * F.lit(100), 2).alias("percentage"))
 
 
 def revenue_per_customer(wh: Warehouse, min_customers: int = 10) -> DataFrame:

@@ -17,8 +17,7 @@ from .. import oracle as O
 from ..operators import classify as C
 from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
-from ..sources.testdata import raw_lines
-from .etl import processed_for, warehouse_for
+from .etl import processed_for, raw_for, warehouse_for
 from .views import diagnostics as DG
 from .warehouse import FOREIGN_KEYS, UNIQUE_KEYS, audit_integrity
 
@@ -59,12 +58,13 @@ def _ntile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return C.classify(raw_lines(spark, sf)).drop("_ord")
+    """Classified raw lines, read from the raw feed the session wrote once."""
+    return C.classify(raw_for(spark, sf)).drop("_ord")
 
 
 def _exact_flags(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import quality as Q
-    flagged = Q.flag_exact_duplicates(C.classify(raw_lines(spark, sf)))
+    flagged = Q.flag_exact_duplicates(C.classify(raw_for(spark, sf)))
     return (flagged.groupBy("TransactionType", "IsExactDuplicate")
             .agg(F.count(F.lit(1)).alias("rows")))
 

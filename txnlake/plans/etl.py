@@ -19,6 +19,7 @@ from ..sources.testdata import long_ordinal, raw_lines
 from .warehouse import Warehouse, load
 
 _CACHE: dict[tuple, tuple[Processed, Warehouse]] = {}
+_RAW: dict[tuple, DataFrame] = {}
 
 
 def process(spark: SparkSession, raw: DataFrame, path: str | None = None) -> Processed:
@@ -52,6 +53,7 @@ def built_for(spark: SparkSession, sf_dir: str, describe: str = "name",
         t = {} if timings is None else timings
         t0 = time.perf_counter()
         raw = stage_raw(spark, long_ordinal(raw_lines(spark, sf_dir, describe)))
+        _RAW[key] = raw
         t1 = time.perf_counter()
         processed = process(spark, raw)
         t2 = time.perf_counter()
@@ -68,3 +70,9 @@ def warehouse_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> W
 
 def processed_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Processed:
     return built_for(spark, sf_dir, describe)[0]
+
+
+def raw_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFrame:
+    """The raw feed written by ``built_for`` (built first if needed)."""
+    built_for(spark, sf_dir, describe)
+    return _RAW[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), describe)]

@@ -84,7 +84,7 @@ def test_transform_plan_has_no_row_window(spark):
     from txnlake.sources.testdata import raw_lines
     plan = transform(raw_lines(spark, SF)).lines._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
-    assert "HashAggregate" in plan
+    assert "Aggregate" in plan  # hash or sort-based, depending on the ordinal type
 
 
 @needs_data

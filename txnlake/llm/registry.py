@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing, url_filter
+from . import decontaminate, exact_dedup, language_id, line_dedup, mixing, quality, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -18,14 +19,31 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), rules)
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    categories = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories)
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -45,8 +63,12 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": _op1,
+        "op2_language_id": _op2,
+        "op5_toxicity": _op5,
         "op6_decontamination": _op6,
+        "op7_quality": _op7,
         "op8_mixing": _op8,
+        "op9_line_dedup": _op9,
         "op10_exact_dedup": _op10,
     }
 
@@ -56,5 +78,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": URL_SQL,
         "op6_decontamination": decontaminate.DECONTAMINATION_SQL,
         "op8_mixing": mixing.MIX_SQL,
+        "op9_line_dedup": line_dedup.LINE_DEDUP_SQL,
         "op10_exact_dedup": exact_dedup.DEDUP_SQL,
     }

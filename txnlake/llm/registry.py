@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, quality, toxicity, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -27,6 +27,10 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(table(spark, sf_dir, "documents"))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     categories = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories)
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": _op1,
         "op2_language_id": _op2,
         "op3_jaccard_join": _op3,
+        "op4_lm_score": _op4,
         "op5_toxicity": _op5,
         "op6_decontamination": _op6,
         "op7_quality": _op7,

@@ -22,6 +22,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+PIECE = 1 << 20  # bytes hashed at a time, cut between words
+
+
 class WordHasher:
     """64-bit hashes of all words of a text at once: sums of byte times a
     power of an odd base, taken between word bounds from one running sum."""
@@ -37,8 +40,27 @@ class WordHasher:
             steps[0] = 1
             setattr(self, name, np.multiply.accumulate(steps))
 
+    def spaced(self, text: str | None) -> bytes:
+        """A-Z lower-cased UTF-8 with a space for each byte outside words."""
+        return (text or "").encode("utf-8", "surrogatepass").lower().translate(self.table)
+
     def __call__(self, text: str | None) -> np.ndarray:
-        b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower().translate(self.table), np.uint8)
+        return self.of(self.spaced(text))
+
+    def of(self, spaced: bytes) -> np.ndarray:
+        parts, at = [], 0
+        while len(spaced) - at > PIECE:
+            cut = spaced.rfind(b" ", at, at + PIECE)
+            cut = cut if cut > at else spaced.find(b" ", at + PIECE)
+            if cut < 0:
+                break
+            parts.append(self._piece(spaced[at:cut]))
+            at = cut
+        parts.append(self._piece(spaced[at:]))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    def _piece(self, spaced: bytes) -> np.ndarray:
+        b = np.frombuffer(spaced, np.uint8)
         if len(self.powers) <= len(b):
             self._grow(len(b))
         inside = np.zeros(len(b) + 2, np.int8)

@@ -167,12 +167,16 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     return found.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-DECONTAMINATION_SQL = r"""
-WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+#: DuckDB: occurrences of benchmark windows in table ``numbered(r, doc_id, text)``.
+FOUND_CTES = r"""
+dw AS (SELECT r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM numbered),
 bw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 patterns AS (SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p FROM bw, range(1, greatest(len(w) - 9, 1) + 1) t(i) WHERE len(w) > 0),
 spots AS (SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS p FROM dw, (SELECT DISTINCT m FROM patterns) k, range(1, len(w) - m + 2) t(i)),
-found AS (SELECT r, m, i, item FROM spots JOIN patterns USING (m, p)),
+found AS (SELECT r, m, i, item FROM spots JOIN patterns USING (m, p))
+"""
+
+DECONTAMINATION_SQL = "WITH numbered AS (SELECT row_number() OVER () AS r, * FROM documents)," + FOUND_CTES + """,
 hits AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS j FROM found) GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

@@ -385,11 +385,29 @@ def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     decided = _members(docs, **options)
     # Equal (doc_id, text) rows are told apart by number, not by content.
     gone = decided.groupBy("doc_id", "body").agg(F.sum(F.col("kept").cast("int")).alias("stay"), F.count(F.lit(1)).alias("rows"))
-    some = staged(gone.filter("stay < rows"), "near-copies").select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"), (F.col("stay") > 0).alias("_kept"))
-    marked = docs.withColumn("_own", F.xxhash64("text")).join(
-        some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_body")), "left")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    plain = marked.filter("_id IS NULL AND _body IS NULL").select(*columns)
-    repeated = marked.filter("_kept").dropDuplicates(["doc_id", "_own"]).select(*columns)
-    return plain.unionByName(repeated)
+    some = staged(gone.filter("stay < rows"), "near-copies").select("doc_id", "body", (F.col("stay") > 0).alias("one_stays"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_body"))
+    marked = rows.join(some, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_body") == F.col("body")), "left")
+    plain = marked.filter("body IS NULL").select("row")
+    repeated = marked.filter("one_stays").dropDuplicates(["own_id", "own_body"]).select("row")
+    return plain.unionByName(repeated).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+#: DuckDB: shingle sets, links and classes of table ``numbered(r, doc_id, text)``.
+CLASSES_CTES = r"""
+shingled AS (SELECT r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM numbered),
+grams AS (SELECT DISTINCT r, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS gram FROM shingled, range(1, greatest(len(w) - 4, 1) + 1) t(i) WHERE len(w) > 0),
+bags AS (SELECT r, count(*) AS n, md5(string_agg(gram, '|' ORDER BY gram)) AS bag FROM grams GROUP BY r),
+shared AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM grams x JOIN grams y ON x.gram = y.gram AND x.r <> y.r GROUP BY ALL),
+linked AS (SELECT a, b, y.bag AS other, x.bag <> y.bag AS differs FROM shared JOIN bags x ON x.r = a JOIN bags y ON y.r = b WHERE c >= 0.8 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM linked UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a),
+class_of AS (SELECT numbered.r, min(m.doc_id) AS class_id, count(DISTINCT m.r) AS class_size, arg_min(m.r, (m.doc_id IS NULL, m.doc_id, m.r)) AS keeper
+  FROM numbered JOIN (SELECT a, b FROM reach UNION SELECT r, r FROM numbered) g ON g.a = numbered.r JOIN numbered m ON m.r = g.b GROUP BY numbered.r),
+link_counts AS (SELECT a AS r, count(DISTINCT other) FILTER (differs) AS n_links FROM linked GROUP BY a)
+"""
+
+JOIN_SQL = "WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS r, * FROM documents)," + CLASSES_CTES + """
+SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links, keeper = r AS kept
+FROM numbered JOIN class_of USING (r) LEFT JOIN link_counts USING (r)
+"""

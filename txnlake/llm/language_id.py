@@ -40,7 +40,11 @@ WEIGHT_SAMPLE = 4000  # labelled documents, about, that the loss weights are mea
 AMBIGUOUS_LEAD = 0.2
 
 _LETTERS = bytes(c if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and (_ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text)))
 
 
 def grams(text: str, piece: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -162,7 +166,7 @@ def _predict(model: Model | None, lead: float):
             row = batch.column("row")
             for cell in batch.column("text") if "text" in batch.schema.names else row.field("text"):
                 text = cell.as_py()
-                if model is None or not text or not _LETTER.search(text):
+                if model is None or not has_letter(text):
                     langs.append("und"), scores.append(0.0), unsure.append(False)
                     continue
                 p = model.probabilities(text)

@@ -81,11 +81,11 @@ def mix_plan(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIG
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     goal = source_targets(docs.select("source", size_of(F.col("text")).alias("size")), weights, cap)
-    d, s = docs.alias("d"), goal.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate")).alias("s")
-    out = d.join(s, F.col("d.source").eqNullSafe(F.col("s._mix_source")))
-    n = copies(F.col("s._mix_rate"), seed, F.col("d.doc_id"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(goal.select("source", "rate"), F.col("row.source").eqNullSafe(F.col("source")))
+    n = copies(F.col("rate"), seed, F.col("row.doc_id"))
     each = F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))
-    return out.select("d.*", each.alias("_mix_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.select("row", each.alias("copy")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 #: DuckDB: per-source targets of table ``d(source, size)``; the capped sources are a prefix by size / weight.
@@ -95,10 +95,10 @@ weighted AS (SELECT *, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS
 placed AS (SELECT *, sum(source_size) OVER () AS total,
   coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
   sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM weighted),
-marked AS (SELECT *, 3 * source_size * rest < (total - before) * weight AS capped FROM placed),
-sums AS (SELECT coalesce(sum(3 * source_size) FILTER (capped), 0) AS spent, sum(weight) FILTER (NOT capped) AS free FROM marked),
+capped_or_not AS (SELECT *, 3 * source_size * rest < (total - before) * weight AS capped FROM placed),
+sums AS (SELECT coalesce(sum(3 * source_size) FILTER (capped), 0) AS spent, sum(weight) FILTER (NOT capped) AS free FROM capped_or_not),
 goals AS (SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE)
-  ELSE CAST((total - spent) * weight AS DOUBLE) / CAST(free AS DOUBLE) END AS target FROM marked, sums),
+  ELSE CAST((total - spent) * weight AS DOUBLE) / CAST(free AS DOUBLE) END AS target FROM capped_or_not, sums),
 rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM goals)
 """
 

@@ -86,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": URL_SQL,
+        "op3_jaccard_join": jaccard_join.JOIN_SQL,
         "op6_decontamination": decontaminate.DECONTAMINATION_SQL,
         "op8_mixing": mixing.MIX_SQL,
         "op9_line_dedup": line_dedup.LINE_DEDUP_SQL,

@@ -66,21 +66,28 @@ def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - meets))
 
 
-def chosen(tokens: np.ndarray, path: int, bound: np.uint64) -> np.ndarray:
-    """Paths of the children that a set has below ``path``."""
-    h = mix(tokens ^ np.uint64(path))
-    return mix(h[h < bound] + np.uint64(0x632BE59BD9B4E019))
-
-
-def tree(tokens: np.ndarray, runs: int, depth: int) -> list[list[tuple[int, int]]]:
-    """Per level, the set's (parent path, path) pairs."""
+def chosen(tokens: np.ndarray, paths: np.ndarray, bound: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """(parent, path) of the children that a set has below each of ``paths``."""
+    parents, children = [], []
+    step = max(1, (1 << 20) // max(1, len(tokens)))
+    for at in range(0, len(paths), step):
+        h = tokens[None, :] ^ paths[at:at + step, None]
+        h *= np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        i, j = np.nonzero(h < bound)
+        parents.append(paths[at + i])
+        children.append(mix(h[i, j] + paths[at + i]))
+    return np.concatenate(parents or [tokens[:0]]), np.concatenate(children or [tokens[:0]])
+
+
+def tree(tokens: np.ndarray, runs: int, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level, the set's parent paths and paths."""
     bound = np.uint64(min((1 << 64) - 1, int((1 << 64) / (LAMBDA * max(1, len(tokens))))))
-    roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
-    levels, open_paths = [], [int(r) for r in roots]
+    levels, paths = [], mix(np.arange(1, runs + 1, dtype=np.uint64))
     for _ in range(depth):
-        made = [(p, int(c)) for p in open_paths for c in chosen(tokens, p, bound)]
-        levels.append(made)
-        open_paths = [c for _, c in made]
+        levels.append(chosen(tokens, paths, bound))
+        paths = levels[-1][1]
     return levels
 
 
@@ -104,12 +111,11 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-def _paths(levels: list[list[tuple[int, int]]]) -> pa.Array:
+def _paths(levels: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     """Lists of (parent, path) as an Arrow list column; uint64 stored as bigint."""
-    offsets = np.cumsum([0] + [len(x) for x in levels]).astype(np.int32)
-    flat = np.array([pair for x in levels for pair in x], np.uint64).reshape(-1, 2).view(np.int64)
-    nodes = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["parent", "key"])
-    return pa.ListArray.from_arrays(pa.array(offsets), nodes)
+    offsets = np.cumsum([0] + [len(p) for p, _ in levels]).astype(np.int32)
+    parent, key = (pa.array(np.concatenate([x[i] for x in levels]).view(np.int64)) for i in (0, 1))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([parent, key], names=["parent", "key"]))
 
 
 def _sets(runs: int, depth: int):
@@ -126,7 +132,7 @@ def _sets(runs: int, depth: int):
                     made["n"].append(len(tokens))
                     made["tokens"].append(pack(tokens))
                     made["sketch"].append(sketch(tokens))
-                    for level, paths in zip(levels, tree(tokens, runs, depth) if len(tokens) else [[]] * depth):
+                    for level, paths in zip(levels, tree(tokens, runs, depth)):
                         level.append(paths)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("body"), pa.array(made["sid"], pa.binary()), pa.array(made["n"], pa.int64()),
@@ -158,13 +164,17 @@ def _alike(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def leaves(sets: DataFrame, reps: DataFrame, depth: int) -> DataFrame:
     """rep, key, blocks: the buckets of at least two nodes in which each node is compared."""
-    found, parents = None, None
+    found, opened = None, None
     for level in range(depth):
-        drawn = sets.select("row", "n", f"level{level}").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
-        nodes = drawn.select(F.col("row").alias("rep"), "n", F.explode(f"level{level}").alias("node")) \
-            .select("rep", "n", "node.parent", "node.key")
-        if parents is not None:
-            nodes = nodes.join(parents, "parent", "left_semi")
+        paths = sets.select(F.col("row").alias("rep"), "n", F.col(f"level{level}").alias("paths"))
+        if opened is None:
+            # Merge joins at every size: the sets are the large side, and so
+            # are in the end the representatives.
+            drawn = paths.join(reps.select("rep").hint("merge"), "rep", "left_semi")
+        else:  # only the children of buckets that are split
+            drawn = (paths.join(opened.hint("merge"), "rep")
+                     .withColumn("paths", F.filter("paths", lambda p: F.array_contains("open", p["parent"]))))
+        nodes = staged(drawn.select("rep", "n", F.explode("paths").alias("path")).select("rep", "n", "path.key"), f"tree-level{level}")
         sizes = staged(nodes.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
                        .filter("size > 1"), f"bucket-sizes{level}")
         small = (F.col("size") <= BLOCK_ROWS) & (F.col("shingles") <= BLOCK_SHINGLES)
@@ -174,10 +184,11 @@ def leaves(sets: DataFrame, reps: DataFrame, depth: int) -> DataFrame:
             alike = _alike(nodes.select("rep", "key").join(big.select("key"), "key", "left_semi"), sets)
             big = staged(big.join(alike, "key", "left").withColumn("split", F.coalesce(F.col("alike") < ALIKE, F.lit(True))),
                          f"large-buckets{level}")
-            parents = big.filter("split").select(F.col("key").alias("parent"))
+            split = nodes.join(big.filter("split").select("key"), "key", "left_semi")
+            opened = staged(split.groupBy("rep").agg(F.collect_list("key").alias("open")), f"split-buckets{level}")
             big = big.filter("NOT split")
         kept = sizes.filter(small).select("key", F.lit(1).alias("blocks")).unionByName(big.select("key", blocks.alias("blocks")))
-        part = nodes.join(kept, "key").select("rep", "key", "blocks")
+        part = nodes.join(kept.hint("merge"), "key").select("rep", "key", "blocks")
         found = part if found is None else found.unionByName(part)
     return staged(found, "leaves")
 
@@ -326,11 +337,11 @@ def links(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> tuple[
     large = F.when(F.col("blocks") > 1, F.col("key"))
     lists = found.groupBy("rep").agg(F.array_sort(F.collect_list("key")).alias("keys"), F.collect_list(large).alias("large_keys"),
                                      F.collect_list(F.struct("key", "blocks")).alias("mine"))
-    members = (lists.join(sets.select(F.col("row").alias("rep"), "n", "sketch"), "rep")
+    members = (lists.hint("merge").join(sets.select(F.col("row").alias("rep"), "n", "sketch"), "rep")
                .select("rep", "n", "sketch", "keys", "large_keys", F.explode("mine").alias("m"))
                .select("rep", "n", "sketch", "keys", "large_keys", "m.key", "m.blocks"))
     active = staged(_buckets(_dealt(members)).mapInArrow(_likely, _LIKELY), "likely-members")
-    with_sets = active.join(sets.select(F.col("row").alias("rep"), "tokens"), "rep")
+    with_sets = active.hint("merge").join(sets.select(F.col("row").alias("rep"), "tokens"), "rep")
     verified = _buckets(with_sets).mapInArrow(_verify, "rep bigint, links bigint, root bigint")
     return sets, reps, staged(verified, "bucket-links")
 

@@ -24,19 +24,29 @@ class Rows:
 
 
 def fit(rows: Rows, target: np.ndarray, size: int, steps: int = 150, rate: float = 0.1,
-        ridge: float = 1e-4, importance: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        ridge: float = 1e-4, scale: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hashed weights, [bias, dense weights]) by Adam on the full sample;
-    ``target`` may be probabilities."""
+    ``target`` may be probabilities. ``scale`` is the value that each hashed
+    feature has when present (1 without it)."""
     n = max(1, len(target))
     w, extra = np.zeros(size), np.zeros(1 + rows.dense.shape[1])
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(extra), np.zeros_like(extra)]
     inputs = np.c_[np.ones(len(target)), rows.dense]
-    weight = np.ones(n) if importance is None else importance
+    scale = np.ones(size) if scale is None else scale
     for step in range(1, steps + 1):
-        error = weight * (sigmoid(rows.scores(w, extra)) - target) / n
-        grads = (np.bincount(rows.flat, error[rows.owner], minlength=size) + ridge * w, inputs.T @ error)
+        error = (sigmoid(rows.scores(w * scale, extra)) - target) / n
+        grads = (np.bincount(rows.flat, error[rows.owner], minlength=size) * scale + ridge * w, inputs.T @ error)
         for x, g, m, v in ((w, grads[0], state[0], state[1]), (extra, grads[1], state[2], state[3])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    return w, extra
+    return w * scale, extra
+
+
+def log_odds(rows: Rows, target: np.ndarray, size: int, least: int = 3, shrink: float = 3.0) -> np.ndarray:
+    """How much more often a feature occurs with target 1 than 0 (log odds),
+    shrunk for rare features and 0 for those in fewer than ``least`` rows."""
+    df = np.bincount(rows.flat, minlength=size)
+    with_1 = np.bincount(rows.flat, target[rows.owner], minlength=size)
+    odds = np.log((with_1 + 1) / (target.sum() + 2)) - np.log((df - with_1 + 1) / ((1 - target).sum() + 2))
+    return np.where(df >= least, odds * df / (df + shrink), 0.0)

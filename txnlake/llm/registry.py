@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, toxicity, url_filter
 from .common import table
@@ -32,7 +31,7 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    categories = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+    categories = {"low_quality": "1 - quality", "toxic": "toxic"}
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories)
 
 

@@ -1,8 +1,8 @@
 """Operator 5, toxicity by a classifier chain.
 
 Categories are predicted in order. Each category's model is logistic
-regression on hashed distinct words, plus the probabilities of all earlier
-categories. A category is trained with out-of-fold probabilities of the
+regression on hashed distinct words, scaled by their log odds, plus the
+probabilities of all earlier categories. A category is trained with out-of-fold probabilities of the
 earlier ones: for each fold a model that has not seen it. All models of one
 category are trained in parallel tasks (one group per model), on a bounded
 labelled sample (``sample`` rows, about); every document is then scored in one
@@ -26,16 +26,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import staged, uniform
-from .linear import Rows, fit, sigmoid
+from .linear import Rows, fit, log_odds, sigmoid
 
 BUCKETS = 1 << 18
 FOLDS = 3
-SAMPLE = 6000
+SAMPLE = 10_000
 _SPACED = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -52,10 +52,10 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["fold", "labels", "features"])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
+def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, str],
                     sample: int = SAMPLE) -> DataFrame:
     """fold, labels, features of about ``sample`` labelled documents, drawn by id."""
-    known = labels.select("doc_id", F.array(*[c.cast("int") for c in categories.values()]).alias("labels")) \
+    known = labels.select("doc_id", F.array(*[F.expr(c).cast("int") for c in categories.values()]).alias("labels")) \
         .filter(F.col("doc_id").isNotNull() & ~F.exists("labels", lambda x: x.isNull()))
     n = known.count()
     drawn = known.filter(uniform("toxicity", F.col("doc_id")) < sample / max(n, 1)).dropDuplicates(["doc_id"])
@@ -94,7 +94,7 @@ def _train(category: int, earlier: list[dict]):
             w, extra = np.zeros(BUCKETS), np.zeros(1 + chain.shape[1])
             extra[0] = np.log((rate + 1e-6) / (1 - rate + 1e-6))
         else:
-            w, extra = fit(chosen, y, BUCKETS)
+            w, extra = fit(chosen, y, BUCKETS, scale=log_odds(chosen, y, BUCKETS))
         rows.dense = chain
         p = sigmoid(rows.scores(w, extra))
         out = folds == model
@@ -114,7 +114,7 @@ def _best_cut(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order][best] + below) / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample: int = SAMPLE) -> tuple[list[dict], float]:
+def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample: int = SAMPLE) -> tuple[list[dict], float]:
     """The chain's models (per category, by left-out fold) and the last category's cut-off."""
     data = labelled_sample(docs, labels, categories, sample)
     each = data.withColumn("model", F.explode(F.array(*[F.lit(i) for i in range(FOLDS + 1)])))
@@ -140,8 +140,9 @@ def _score(chain: list[dict], cut: float, names: list[str]):
     return score
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample: int = SAMPLE) -> DataFrame:
-    """doc_id, p_<category> of each category, is_<last category>."""
+def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample: int = SAMPLE) -> DataFrame:
+    """doc_id, p_<category> of each category, is_<last category>. ``categories``
+    gives each category's 0/1 label as an SQL expression over ``labels``, in the chain's order."""
     chain, cut = learn(docs, labels, categories, sample)
     names = list(categories)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]

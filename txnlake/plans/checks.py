@@ -129,8 +129,9 @@ _RAW = "SELECT * EXCLUDE (" + O._ORD + ") FROM cl"
 def oracle_sql() -> dict[str, str]:
     return {
         "T3_classify": O.sql(_RAW),
-        "D1_largest_baskets": O.sql("""SELECT invoice_no, COUNT(DISTINCT stock_code) AS distinct_products
-            FROM fact_sales GROUP BY invoice_no ORDER BY distinct_products DESC, invoice_no ASC LIMIT 5"""),
+        "D1_largest_baskets": O.sql("""WITH lines AS (SELECT DISTINCT invoice_no, stock_code FROM fact_sales),
+            sized AS (SELECT invoice_no, COUNT(stock_code) AS distinct_products FROM lines GROUP BY ALL)
+            SELECT * FROM sized QUALIFY row_number() OVER (ORDER BY distinct_products DESC, invoice_no) <= 5"""),
         "D2_basket_pair_counts": O.sql("""SELECT COUNT(*) AS invoices, COUNT(*) FILTER (WHERE n > 100) AS invoices_over_cap,
             MAX(n) AS largest_basket, CAST(SUM(n * (n - 1) // 2) AS BIGINT) AS pairs_uncapped,
             CAST(SUM(CASE WHEN n <= 100 THEN n * (n - 1) // 2 ELSE 0 END) AS BIGINT) AS pairs_capped

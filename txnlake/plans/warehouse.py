@@ -69,9 +69,9 @@ def validate_facts(keyed: DataFrame) -> DataFrame:
     )
     for r in report.collect():  # one row per fact table
         if r["missing_country_keys"]:
-            raise ValidationError(f"{r['table']} contains missing country keys.")
+            raise ValidationError(f"{r['table']}: {r['missing_country_keys']} of {r['rows']} rows have no country key")
         if r["missing_date_keys"]:
-            raise ValidationError(f"{r['table']} contains missing date keys.")
+            raise ValidationError(f"{r['table']}: {r['missing_date_keys']} of {r['rows']} rows have no date key")
     return report
 
 

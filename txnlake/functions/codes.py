@@ -24,6 +24,8 @@ CANCELLATION_PREFIX = "C"
 # Audit label and the fill value of missing text.
 POTENTIAL_DUPLICATE = "Potential Duplicate"
 UNKNOWN = "Unknown"
+# Product code of lines without a stock code.
+MISSING_CODE = "nan"
 
 # Processed-table kinds in the order the loader concatenates them.
 KINDS = ("sales", "cancellations", "adjustments", "non_sales")

@@ -13,24 +13,28 @@ from ..functions import codes as K
 
 
 # Accepted invoice-date layouts besides ISO (month first, as the
-# raw feed writes them, e.g. 12/1/2010 8:26).
-MONTH_FIRST_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
+# raw feed writes them, e.g. 12/1/2010 8:26), and their ISO form.
+MONTH_FIRST = ((r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+               (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{2})$", "$3-$1-$2 $4:00"),
+               (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{2}:\d{2})$", "$3-$1-$2 $4"))
 
 
-def parse_timestamp(c: Column, fmt: str | None = None) -> Column:
-    """T1 on a column: text -> timestamp_ntz, first layout that parses wins
-    (ISO, then month-first); unparseable text becomes null, never an error."""
-    if fmt:
-        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
-    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in MONTH_FIRST_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+def parse_timestamp(c: Column) -> Column:
+    """T1 on a column: text -> timestamp_ntz, ISO or month first; unparseable
+    text becomes null, never an error. No step has a time zone, so the result
+    does not depend on the session's (a wall-clock time that a zone skips
+    stays as written)."""
+    iso = F.btrim(c)
+    for layout, form in MONTH_FIRST:
+        iso = F.regexp_replace(iso, layout, form)
+    return iso.try_cast("timestamp_ntz")
 
 
-def parse_ts(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
+def parse_ts(df: DataFrame, col: str = "InvoiceDate") -> DataFrame:
     """Text -> timestamp; unparseable values become null (never raise)."""
     if dict(df.dtypes).get(col) in ("timestamp", "timestamp_ntz"):
         return df
-    return df.withColumn(col, parse_timestamp(F.col(col), fmt))
+    return df.withColumn(col, parse_timestamp(F.col(col)))
 
 
 def cast_customer(df: DataFrame, col: str = "CustomerID") -> DataFrame:

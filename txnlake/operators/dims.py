@@ -12,11 +12,11 @@ FIRST_ORDER = ["src_rank", "sub_rank", "_ord"]
 
 def clean(df: DataFrame) -> DataFrame:
     """L1: strip codes, descriptions and countries; fill missing text with
-    'Unknown'. A missing stock code stays null (reported by the integrity
-    audit) instead of becoming the text 'nan'."""
+    'Unknown'. Lines without a stock code become one explicit product
+    (``MISSING_CODE``), as in the reference, so no product view loses them."""
     out = {}
     if "StockCode" in df.columns:
-        out["StockCode"] = K.strip(F.col("StockCode"))
+        out["StockCode"] = K.strip(F.coalesce(F.col("StockCode"), F.lit(K.MISSING_CODE)))
     if "Description" in df.columns:
         out["Description"] = K.strip(F.coalesce(F.col("Description"), F.lit(K.UNKNOWN)))
     if "Country" in df.columns:

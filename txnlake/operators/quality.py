@@ -1,7 +1,7 @@
 """Exact and potential duplicates.
 
 Group sizes are taken with ``groupBy().count()`` (partial aggregation, so a
-hot key is combined map-side) and joined back null-safely; with AQE's
+hot key is combined map-side); the repeated groups are joined back null-safely, with AQE's
 skew-join handling a key that holds a third of the rows is split across
 tasks instead of landing in one window partition.
 """
@@ -26,9 +26,9 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-def _join_back(df: DataFrame, groups: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
+def _join_back(df: DataFrame, groups: DataFrame, keys: list[str], extra: list[str], how: str = "inner") -> DataFrame:
     left, right = df.alias("_l"), groups.alias("_g")
-    return (left.join(right, _null_safe_on(left, right, keys), "inner")
+    return (left.join(right, _null_safe_on(left, right, keys), how)
             .select(*[F.col(f"_l.{c}") for c in df.columns],
                     *[F.col(f"_g.{c}") for c in extra]))
 
@@ -60,23 +60,23 @@ def flag_potential_duplicates(df: DataFrame, keys: list[str] = DUP_KEYS) -> Data
     Nulls count as equal for the flag, but a key with a null gets a null
     group size (the reference's group-by drops null keys).
     """
-    aggs, extra = [F.count(F.lit(1)).alias("_grp_n")], ["_grp_n"]
+    # Only repeated groups are joined back: a row without a match is alone in
+    # its group, so the right side stays small however many groups there are.
+    aggs, repeated = [F.count(F.lit(1)).alias("_grp_n")], F.col("_grp_n") > 1
     if "_ord" in df.columns:
-        # The cluster's first file position is kept as a column. Besides being
-        # the natural order of a cluster's audit rows, it keeps the input's
-        # ordinal in use on both sides of the join, so both uses of ``df`` are
-        # one plan and Spark computes the de-duplication once (reused exchange).
-        aggs.append(F.min("_ord").alias("ClusterFirstOrdinal"))
-        extra.append("ClusterFirstOrdinal")
-    sizes = df.groupBy(*keys).agg(*aggs)
-    out = _join_back(df, sizes, keys, extra)
+        # Both uses of ``df`` then read the same columns, and Spark computes
+        # the de-duplication below them once (reused exchange).
+        aggs.append(F.min("_ord").alias("_first"))
+        repeated = repeated & F.col("_first").isNotNull()
+    groups = df.groupBy(*keys).agg(*aggs).filter(repeated)
+    out = _join_back(df, groups, keys, ["_grp_n"], "left")
     all_keys = None
     for k in keys:
         c = F.col(k).isNotNull()
         all_keys = c if all_keys is None else all_keys & c
-    return (out.withColumn("IsPotentialDuplicateLine", F.col("_grp_n") > 1)
+    return (out.withColumn("IsPotentialDuplicateLine", F.col("_grp_n").isNotNull())
             .withColumn("duplicate_group_count",
-                        F.when(all_keys, F.col("_grp_n")).cast("int"))
+                        F.when(all_keys, F.coalesce("_grp_n", F.lit(1))).cast("int"))
             .drop("_grp_n"))
 
 

@@ -19,7 +19,7 @@ from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
 from .etl import processed_for, raw_for, warehouse_for
 from .views import diagnostics as DG
-from .warehouse import FOREIGN_KEYS, UNIQUE_KEYS, audit_integrity
+from .warehouse import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, audit_integrity
 
 
 def _dbl(df: DataFrame) -> DataFrame:
@@ -201,4 +201,6 @@ def _integrity_sql() -> str:
             continue
         parts.append(f"""SELECT '{table}', 'unique', '{col}', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM
             (SELECT COUNT(*) AS n FROM {tables.get(table, table)} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)""")
+    for fact, col in NOT_NULL:
+        parts.append(f"SELECT '{fact}', 'not_null', '{col}', COUNT(*) FILTER (WHERE {col} IS NULL) FROM {fact}")
     return " UNION ALL ".join(parts)

@@ -296,25 +296,44 @@ UNIQUE_KEYS = [
 ]
 
 
+NOT_NULL = [(fact, col) for fact in FACT_TABLES for col in ("stock_code", "country_key", "date_key")]
+
+
+def _key_counts(table: DataFrame, columns: list[str]) -> DataFrame:
+    """column_name, key (as text), n: how often each value of each column
+    occurs, in one scan. The partial aggregate combines a hot key before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("key")) for c in columns])
+    return table.select(F.explode(pairs).alias("p")).select("p.*").groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def audit_integrity(wh: Warehouse) -> DataFrame:
     """One row per declared constraint with its number of violating rows.
 
-    Foreign key: non-null fact keys missing from the dimension (anti join).
-    Unique key: rows whose non-null key value occurs more than once. Each
-    check is an aggregate; all are unioned into one result.
+    Foreign key: non-null fact keys missing from the dimension. Unique key:
+    rows whose non-null key value occurs more than once. Not null: rows
+    without the key. Each table is scanned once: its keys are counted per
+    column and value, and the counts are joined with the dimension's keys.
     """
     t = wh.tables()
+    dims = reduce(DataFrame.unionByName, [
+        t[dim].select(F.lit(col).alias("column_name"), F.col(col).cast("string").alias("key"))
+        for _, col, dim, _ in FOREIGN_KEYS[:4]]).distinct().withColumn("known", F.lit(True))
     parts = []
-    for fact, col, dim, dcol in FOREIGN_KEYS:
-        missing = (t[fact].select(col).filter(F.col(col).isNotNull())
-                   .join(t[dim].select(F.col(dcol).alias(col)), col, "left_anti"))
-        parts.append(missing.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(fact).alias("table_name"), F.lit("foreign_key").alias("check_type"),
-            F.lit(col).alias("column_name"), "violations"))
-    for table, col in UNIQUE_KEYS:
-        dup = (t[table].filter(F.col(col).isNotNull()).groupBy(col)
-               .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
-        parts.append(dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit("unique").alias("check_type"),
-            F.lit(col).alias("column_name"), "violations"))
+    for name in t:
+        checked = {c: [k for k, pairs in (("foreign_key", [(f, k) for f, k, _, _ in FOREIGN_KEYS]),
+                                          ("unique", UNIQUE_KEYS), ("not_null", NOT_NULL)) if (name, c) in pairs]
+                   for c in dict.fromkeys([k for f, k, _, _ in FOREIGN_KEYS if f == name] + [k for f, k in UNIQUE_KEYS if f == name])}
+        counts = _key_counts(t[name], list(checked)).join(dims, ["column_name", "key"], "left")
+        found = F.col("key").isNotNull()
+        sums = counts.groupBy("column_name").agg(
+            F.sum(F.when(found & F.col("known").isNull(), F.col("n"))).alias("foreign_key"),
+            F.sum(F.when(found & (F.col("n") > 1), F.col("n"))).alias("unique"),
+            F.sum(F.when(~found, F.col("n"))).alias("not_null"))
+        # One row per check also for an empty table.
+        wanted = wh.dim_country.sparkSession.createDataFrame(
+            [(name, kind, c) for c, kinds in checked.items() for kind in kinds], "table_name string, check_type string, column_name string")
+        value = F.when(F.col("check_type") == "foreign_key", F.col("foreign_key")) \
+            .when(F.col("check_type") == "unique", F.col("unique")).otherwise(F.col("not_null"))
+        parts.append(wanted.join(sums, "column_name", "left").select(
+            "table_name", "check_type", "column_name", F.coalesce(value, F.lit(0)).cast("long").alias("violations")))
     return reduce(DataFrame.unionByName, parts)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 POSTAGE_EVERY = 97       # l_partkey % 97 == 0  -> StockCode 'POST'
 MANUAL_EVERY = 89        # l_partkey % 89 == 0  -> StockCode 'M'
 GIFT_EVERY = 83          # l_partkey % 83 == 0  -> StockCode 'gift_0001_20'
+NO_CODE_EVERY = 79       # l_partkey % 79 == 0  -> StockCode null
 NO_DESCRIPTION_EVERY = 53  # l_partkey % 53 == 0 -> Description null
 EXACT_COPY_EVERY = 50    # l_orderkey % 50 == 0 -> line repeated unchanged
 NEAR_COPY_EVERY = 61     # l_orderkey % 61 == 0 -> line repeated, price + 0.01
@@ -92,6 +93,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataF
     stock = (F.when(partkey % POSTAGE_EVERY == 0, F.lit("POST"))
              .when(partkey % MANUAL_EVERY == 0, F.lit("M"))
              .when(partkey % GIFT_EVERY == 0, F.lit("gift_0001_20"))
+             .when(partkey % NO_CODE_EVERY == 0, F.lit(None).cast("string"))
              .otherwise(partkey.cast("string")))
 
     customer_id = F.when(

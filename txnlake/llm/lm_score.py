@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from .common import remainder, shuffle_partitions, staged
 from .tokens import TOKEN_BYTES, WordHasher, mix
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FIT_BLOCKS = 8
 CLASSES = 48  # powers of two of a history's count
 RATIOS = 128  # half powers of two of the leave-one-out ratio, the first for 0

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import shuffle_partitions, staged
 from .tokens import WORD_BYTES, WordHasher, mix, shingles
 
 SHINGLE = 5
@@ -294,8 +294,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """Each bucket's rows side by side in one partition."""
-    return rows.repartition("key", "pair").sortWithinPartitions("key", "pair", "cross", "rep")
+    """Each bucket's rows side by side in one partition. The number of
+    partitions is fixed: comparing costs more than the few bytes suggest by
+    which they would be merged."""
+    return rows.repartition(shuffle_partitions(rows.sparkSession), "key", "pair").sortWithinPartitions("key", "pair", "cross", "rep")
 
 
 def _dealt(members: DataFrame) -> DataFrame:

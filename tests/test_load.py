@@ -111,3 +111,69 @@ def test_processed_tables_as_csv(spark, tmp_dir):
     assert back.count() == lines.count()
     assert {r["kind"] for r in back.select("kind").distinct().collect()} == \
         {r["kind"] for r in lines.select("kind").distinct().collect()}
+
+
+def _audit(wh):
+    return sorted((r.invoice_no, r.unit_price, r.duplicate_group_count) for r in wh.data_quality_potential_duplicates.collect())
+
+
+def test_audit_stays_whole_over_incremental_loads(spark, tmp_dir):
+    path = f"{tmp_dir}/wh"
+    first = [line("1", "A", 1, 1.0, 1), line("2", "B", 2, 1.0, 1)]
+    load(spark, process(spark, raw_rows(spark, first)), path)
+    pair = load(spark, process(spark, raw_rows(spark, [line("3", "C", 1, 1.0, 1), line("3", "C", 1, 2.0, 1)])), path)
+    assert [a[0] for a in _audit(pair)] == ["3", "3"]
+    # One unrelated line, and the second half of a pair with an earlier load.
+    both = load(spark, process(spark, raw_rows(spark, [line("4", "D", 1, 1.0, 1), line("1", "A", 1, 9.0, 1)])), path)
+    assert [(a[0], a[2]) for a in _audit(both)] == [("1", 2), ("1", 2), ("3", 2), ("3", 2)]
+    # A third member grows the group; loading it again changes nothing.
+    for _ in range(2):
+        wh = load(spark, process(spark, raw_rows(spark, [line("3", "C", 1, 3.0, 1)])), path)
+        assert [(a[0], a[2]) for a in _audit(wh)] == [("1", 2), ("1", 2), ("3", 3), ("3", 3), ("3", 3)]
+    for table, key in (("fact_sales", "sale_id"), ("data_quality_potential_duplicates", "quality_issue_id")):
+        ids = [r[0] for r in getattr(wh, table).select(key).collect()]
+        assert len(ids) == len(set(ids))
+
+
+def test_empty_batches_leave_no_files(spark, tmp_dir):
+    import glob
+
+    from txnlake.plans.warehouse import LAST_LOAD_REPORT
+    processed = process(spark, raw_rows(spark, _rows()))
+    load(spark, processed, f"{tmp_dir}/wh")
+    files = lambda: {f for f in glob.glob(f"{tmp_dir}/wh/*/**/*.parquet", recursive=True) if "/_load_log/" not in f}
+    before = files()
+    load(spark, processed, f"{tmp_dir}/wh")
+    assert files() == before and set(LAST_LOAD_REPORT.values()) == {0}
+
+
+def test_compaction_keeps_the_rows(spark, tmp_dir):
+    import glob
+
+    from txnlake.plans.warehouse import compact, open_warehouse
+    for i in range(3):
+        load(spark, process(spark, raw_rows(spark, [line(str(i), "A", 1, 1.0, 1)])), f"{tmp_dir}/wh")
+    before = open_warehouse(spark, f"{tmp_dir}/wh").fact_sales.collect()
+    compact(spark, f"{tmp_dir}/wh", "fact_sales", [201012])
+    assert sorted(open_warehouse(spark, f"{tmp_dir}/wh").fact_sales.collect()) == sorted(before)
+    assert len(glob.glob(f"{tmp_dir}/wh/fact_sales/month_key=201012/*.parquet")) == 1
+
+
+def test_unreadable_table_is_not_taken_for_absent(spark, tmp_dir):
+    from pyspark.errors import AnalysisException
+
+    from txnlake.plans import warehouse as W
+    real = W.read_table
+    W.read_table = lambda *a, **k: spark.sql("SELECT no_such_column")
+    try:
+        with pytest.raises(AnalysisException):
+            W._read_or_empty(spark, f"{tmp_dir}/wh", "fact_sales")
+    finally:
+        W.read_table = real
+
+
+def test_lines_without_a_stock_code_stay_in_the_product_views(spark):
+    from txnlake.plans.views import product as PR
+    wh = build(transform(raw_rows(spark, [line("1", "A", 1, 2.0, 1), line("2", None, 1, 10.0, 1), line("3", None, 1, 10.0, 2)])))
+    assert sum(r.total_sales_revenue for r in PR.sales_summary(wh).collect()) == 22
+    assert wh.dim_product.filter("stock_code = 'nan'").count() == 1

@@ -47,7 +47,7 @@ lines = st.tuples(
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=100, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(lines, min_size=1, max_size=40, unique=True))
 def test_routing_matches_rules(spark, rows):
     df = raw_rows(spark, [{"InvoiceNo": i, "StockCode": c, "Quantity": q, "UnitPrice": p, "CustomerID": u}

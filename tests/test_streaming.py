@@ -31,3 +31,17 @@ def test_stream_loads_new_files(spark, tmp_dir):
     wh = open_warehouse(spark, f"{tmp_dir}/wh")
     assert wh.fact_sales.count() == 2
     assert {r["country"] for r in wh.dim_country.collect()} == {"UK", "France", "Japan"}
+
+
+def test_rows_that_do_not_parse_are_set_aside(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    os.makedirs(raw)
+    _csv(f"{raw}/a.csv", ["1,A,apple,2,2010-12-01 08:26:00,1.5,17850.0,UK\n",
+                          "2,A,apple,2,no date,1.5,17850.0,UK\n",
+                          "3,A,apple,two,2010-12-01 08:26:00,1.5,17850.0,UK\n"])
+    q = incremental.start(spark, raw, f"{tmp_dir}/wh", f"{tmp_dir}/ckpt", available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert open_warehouse(spark, f"{tmp_dir}/wh").fact_sales.count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/wh/_rejected").count() == 2
+    assert sum(incremental.REJECTED.values()) >= 2

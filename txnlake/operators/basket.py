@@ -11,7 +11,7 @@ dropped before the self-join. Every step is a hash aggregate or an
 equi-join on the invoice; nothing is collected.
 
 The distinct (invoice, code) items of invoices within the cap are written
-once to the shared checkpoint folder; the denominator, the description
+once to the shared folder as Parquet; the denominator, the description
 support and both sides of the self-join read that copy instead of each
 re-deriving it from the fact table.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import stage_table
 
 
 def basket_pairs(lines: DataFrame, products: DataFrame, max_items: int = 100,
@@ -32,8 +32,7 @@ def basket_pairs(lines: DataFrame, products: DataFrame, max_items: int = 100,
     # Distinct non-null codes per invoice: a partial aggregate, then the cap.
     sizes = items.groupBy("inv").agg(F.count("code").alias("n_codes"))
     normal = sizes.filter(F.col("n_codes") <= max_items).select("inv")
-    checkpoint_dir(lines.sparkSession)
-    kept = items.join(normal, "inv", "left_semi").checkpoint(eager=True)
+    kept = stage_table(items.join(normal, "inv", "left_semi"), "basket-items")
     # Denominator: distinct invoices within the cap, as a scalar subquery.
     total = kept.agg(F.count_distinct("inv")).scalar()
 
@@ -47,9 +46,10 @@ def basket_pairs(lines: DataFrame, products: DataFrame, max_items: int = 100,
     cand = named.join(frequent, "desc", "left_semi")
 
     # Both sides are the same plan, so Spark shuffles the candidates once and
-    # reuses the exchange for the other side.
+    # reuses the exchange for the other side. A merge join at every size: the
+    # items are compact, but their pairs are many and need all tasks.
     a, b = cand.alias("a"), cand.alias("b")
-    pairs = (a.join(b, F.col("a.inv") == F.col("b.inv"))
+    pairs = (a.join(b.hint("merge"), F.col("a.inv") == F.col("b.inv"))
              .filter(F.col("a.code") < F.col("b.code"))
              .select(F.col("a.inv").alias("inv"), F.col("a.desc").alias("product_a"),
                      F.col("b.desc").alias("product_b"))

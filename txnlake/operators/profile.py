@@ -8,6 +8,7 @@ lists become rows with ``stack`` so a check over nine columns is one job.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +55,9 @@ def duplicate_members(df: DataFrame) -> DataFrame:
     join back, no window over a hot group)."""
     g = (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
          .withColumn("_one", F.lit(1).cast("long")))
-    out = expand(g, "_one", "_n", "_i").drop("_n", "_i", "_one")
-    return out.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns])
+    out = expand(g, "_one", "_n", "_i").drop("_n", "_one")
+    # The copy's number ends the order, so the copies of a large group spread over the range partitions.
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns], "_i").drop("_i")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -72,8 +74,13 @@ def column_profile(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """Distinct non-null values per column (exact; ``approx=True`` uses HyperLogLog++)."""
     cols = cols or df.columns
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    return _long(df.agg(*[fn(c).alias(c) for c in cols]), cols, "distinct_count")
+    if approx:
+        return _long(df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]), cols, "distinct_count")
+    # One pruned single-column distinct per column; counting all columns at
+    # once would first expand every row to one row per column.
+    each = [df.select(F.col(c).alias("v")).distinct().agg(F.count("v").alias("distinct_count"))
+            .select(F.lit(c).alias("column_name"), "distinct_count") for c in cols]
+    return reduce(DataFrame.unionByName, each)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -157,14 +164,9 @@ def rows_per_class(df: DataFrame) -> DataFrame:
     return df.groupBy("TransactionType").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _dup_subset(df: DataFrame) -> DataFrame:
-    """Rows whose (invoice, code, quantity) repeats (nulls equal)."""
-    g = df.groupBy(*DUP_KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    cond = None
-    for k in DUP_KEYS:
-        c = df[k].eqNullSafe(g[k])
-        cond = c if cond is None else cond & c
-    return df.join(g.filter(F.col("_n") > 1), cond, "left_semi")
+def _repeated(df: DataFrame) -> DataFrame:
+    """(invoice, code, quantity) groups of more than one line (nulls equal), with their size."""
+    return df.groupBy(*DUP_KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
 
 
 def within_invoice_clusters(df: DataFrame) -> DataFrame:
@@ -174,22 +176,26 @@ def within_invoice_clusters(df: DataFrame) -> DataFrame:
             .filter(F.col("appearance_count") > 1))
 
 
+def _spans(df: DataFrame) -> DataFrame:
+    """Per (code, quantity) of the repeated groups: their lines and distinct known invoices."""
+    return _repeated(df).groupBy("StockCode", "Quantity").agg(
+        F.sum("_n").alias("lines"), F.count("InvoiceNo").alias("unique_invoice_count"))
+
+
 def cross_invoice_spans(df: DataFrame) -> DataFrame:
     """(code, quantity) of clustered lines appearing on several invoices."""
-    return (_dup_subset(df).dropna(subset=["StockCode", "Quantity"])
-            .groupBy("StockCode", "Quantity")
-            .agg(F.count_distinct("InvoiceNo").alias("unique_invoice_count"))
-            .filter(F.col("unique_invoice_count") > 1))
+    return (_spans(df).dropna(subset=["StockCode", "Quantity"]).filter(F.col("unique_invoice_count") > 1)
+            .select("StockCode", "Quantity", "unique_invoice_count"))
 
 
 def cluster_summary(df: DataFrame) -> DataFrame:
-    """Rows in clusters, within-invoice clusters, cross-invoice spans."""
-    rows = _dup_subset(df).agg(F.count(F.lit(1))).scalar()
-    clusters = within_invoice_clusters(df).agg(F.count(F.lit(1))).scalar()
-    spans = cross_invoice_spans(df).agg(F.count(F.lit(1))).scalar()
-    return df.agg(F.count(F.lit(1)).alias("_")).select(
-        rows.alias("rows_in_duplicates"), clusters.alias("within_invoice_clusters"),
-        spans.alias("cross_invoice_spans"))
+    """Rows in clusters, within-invoice clusters, cross-invoice spans,
+    from one scan and one chain of aggregates."""
+    known = F.col("StockCode").isNotNull() & F.col("Quantity").isNotNull()
+    return _spans(df).agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("rows_in_duplicates"),
+        F.coalesce(F.sum(F.when(known, F.col("unique_invoice_count"))), F.lit(0)).alias("within_invoice_clusters"),
+        F.count_if(known & (F.col("unique_invoice_count") > 1)).alias("cross_invoice_spans"))
 
 
 def ids_whole(df: DataFrame, col: str = "CustomerID") -> DataFrame:

@@ -8,6 +8,8 @@ the same tables reproduces.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +19,11 @@ from .. import oracle as O
 from ..operators import classify as C
 from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
-from .etl import processed_for, raw_for, warehouse_for
+from ..session import scratch_path
+from ..sources.files import read_raw
+from .etl import processed_for, raw_for, run, warehouse_for
 from .views import diagnostics as DG
-from .warehouse import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, audit_integrity
+from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, NOT_NULL, UNIQUE_KEYS, audit_integrity
 
 
 def _dbl(df: DataFrame) -> DataFrame:
@@ -69,6 +73,86 @@ def _exact_flags(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
+_PARTS: dict[tuple, object] = {}
+
+
+def _loaded_in_parts(spark: SparkSession, sf: str):
+    """A warehouse loaded incrementally: even raw lines, then odd ones, then
+    the even ones again (which must add nothing). Copies and near copies of a
+    line are spread over the parts."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PARTS:
+        raw, path = raw_for(spark, sf), scratch_path(spark, "warehouse-parts")
+        for part in (0, 1, 0):
+            _PARTS[key] = run(spark, raw.filter(F.col("_ord") % 2 == part), path)
+    return _PARTS[key]
+
+
+def _incremental_fact(name: str, *drop: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A fact without its id, with the country's name (keys depend on the order of loading)."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        wh = _loaded_in_parts(spark, sf)
+        return _dbl(getattr(wh, name).join(wh.dim_country, "country_key").drop("country_key", *drop))
+    return query
+
+
+def _ids(spark: SparkSession, sf: str) -> DataFrame:
+    """L14 after three loads: ids are unique, and later loads' ids lie above earlier ones'."""
+    wh = _loaded_in_parts(spark, sf)
+    parts = [getattr(wh, n).select(F.lit(n).alias("table_name"), F.col(c).alias("id")) for n, c in ID_COLUMNS.items()]
+    each = reduce(DataFrame.unionByName, parts).groupBy("table_name", "id").count()
+    return each.groupBy("table_name").agg(F.sum("count").alias("rows"), F.max("count").alias("rows_per_id"), (F.min("id") > 0).alias("positive"))
+
+
+def _raw_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + S2: the raw feed written as two CSV files with quotes, commas and
+    ``6.0`` numbers, read back through the raw reader."""
+    raw = raw_for(spark, sf)
+    path = scratch_path(spark, "raw-files")
+    told = raw.withColumn("Description", F.concat("Description", F.lit(' 36" wide, "large" \\')))
+    # One file each: the two files are aligned by row position.
+    ordered = staged_order(told)
+    ids = ordered.select("InvoiceNo", "StockCode")
+    rest = ordered.select("Description", F.col("Quantity").cast("double").alias("Quantity"), "InvoiceDate", "UnitPrice",
+                          F.col("CustomerID").cast("double").alias("CustomerID"), "Country")
+    for df, name in ((ids, "ids"), (rest, "data")):
+        df.write.options(header=True, escape='"').csv(f"{path}/{name}")
+    return read_raw(spark, f"{path}/ids", f"{path}/data").drop("_ord")
+
+
+def staged_order(raw: DataFrame) -> DataFrame:
+    """The feed in file order, written so that both files are cut alike."""
+    path = scratch_path(raw.sparkSession, "ordered")
+    raw.repartitionByRange("_ord").sortWithinPartitions("_ord").write.parquet(path)
+    return raw.sparkSession.read.parquet(path)
+
+
+_TEXT_DATES = ("yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+
+
+def _types(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 + T2 over text: dates written in three layouts, ids as ``17850.0``, and texts that are neither."""
+    raw = raw_for(spark, sf)
+    kind = F.col("Quantity") % 4
+    text = F.when(kind == 3, F.lit("32/13/2011 9:00"))
+    for i, layout in enumerate(_TEXT_DATES):
+        text = text.when(kind == i, F.date_format("InvoiceDate", layout))
+    ids = F.when(kind == 1, F.concat(F.col("CustomerID").cast("string"), F.lit(".0"))).when(kind == 2, F.lit("x1")).otherwise(F.col("CustomerID").cast("string"))
+    typed = C.cast_customer(C.parse_ts(raw.select("InvoiceNo", "Quantity", text.alias("InvoiceDate"), ids.alias("CustomerID"))))
+    return typed.groupBy("InvoiceDate", "CustomerID").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _violations(spark: SparkSession, sf: str) -> DataFrame:
+    """L13 over a warehouse with planted violations of each kind."""
+    wh = warehouse_for(spark, sf)
+    none = F.lit(None)
+    broken = replace(
+        wh, dim_customer=wh.dim_customer.filter("customer_id % 7 <> 0"),
+        dim_product=wh.dim_product.unionByName(wh.dim_product.filter("stock_code LIKE '%7'")),
+        fact_cancellations=wh.fact_cancellations.withColumn("stock_code", F.when(F.col("quantity") % 5 == 0, none).otherwise(F.col("stock_code"))))
+    return audit_integrity(broken).filter("violations > 0")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "T13_routing": _routing,
@@ -82,6 +166,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L10_fact_non_sale": _table("fact_non_sale", ("non_sale_id", "row_hash")),
         "L11_audit_table": _table("data_quality_potential_duplicates", ("quality_issue_id",)),
         "L13_integrity": lambda s, sf: audit_integrity(warehouse_for(s, sf)),
+        "L13_planted_violations": _violations,
+        "L14_ids": _ids,
+        "L15_incremental_sales": _incremental_fact("fact_sales", "sale_id"),
+        "L15_incremental_non_sales": _incremental_fact("fact_non_sale", "non_sale_id", "row_hash"),
+        "L15_incremental_audit": lambda s, sf: _dbl(_loaded_in_parts(s, sf).data_quality_potential_duplicates.drop("quality_issue_id")),
+        "S1_S2_raw_files": _raw_files,
+        "T1_T2_types": _types,
         "R1_global_rank": _rank,
         "R1_ntile": _ntile,
         "P2_missing": lambda s, sf: P.missing_values(_raw(s, sf)),
@@ -174,6 +265,18 @@ def oracle_sql() -> dict[str, str]:
         "L10_fact_non_sale": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM fact_non_sale"),
         "L11_audit_table": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
         "L13_integrity": O.sql(_integrity_sql()),
+        "L13_planted_violations": O.sql(_planted_sql()),
+        "L14_ids": O.sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS rows_per_id, true AS positive FROM {t}"
+                                           for n, t in _ID_TABLES.items())),
+        "L15_incremental_sales": O.sql("""SELECT f.* EXCLUDE (country_key) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
+            CAST(revenue AS DOUBLE) AS revenue), country FROM fact_sales f JOIN dim_country USING (country_key)"""),
+        "L15_incremental_non_sales": O.sql("""SELECT f.* EXCLUDE (country_key) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price),
+            country FROM fact_non_sale f JOIN dim_country USING (country_key)"""),
+        "L15_incremental_audit": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
+        "S1_S2_raw_files": O.sql("""SELECT InvoiceNo, StockCode, Description || ' 36" wide, "large" \\' AS Description,
+            Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM raw"""),
+        "T1_T2_types": O.sql("""SELECT CASE WHEN Quantity % 4 IN (0, 1, 2) THEN InvoiceDate END AS InvoiceDate,
+            CASE WHEN Quantity % 4 <> 2 THEN CustomerID END AS CustomerID, COUNT(*) AS rows FROM raw GROUP BY ALL"""),
         "R1_global_rank": O.sql("""
             SELECT customer_id, row_number() OVER (ORDER BY r DESC NULLS FIRST, customer_id) AS rank
             FROM (SELECT customer_id, SUM(revenue) AS r FROM fact_sales WHERE customer_id IS NOT NULL
@@ -186,6 +289,19 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+_ID_TABLES = {"fact_sales": "fact_sales", "fact_cancellations": "fact_cancellations", "fact_adjustment": "fact_adjustment",
+              "fact_non_sale": "fact_non_sale", "data_quality_potential_duplicates": "dq"}
+
+
+def _planted_sql() -> str:
+    """What ``_violations`` plants, counted from its definition."""
+    orphans = " UNION ALL ".join(f"SELECT '{f}' AS table_name, 'foreign_key' AS check_type, 'customer_id' AS column_name, "
+                                 f"COUNT(*) AS violations FROM {f} WHERE customer_id % 7 = 0" for f in FACT_TABLES)
+    return f"""SELECT * FROM ({orphans} UNION ALL
+        SELECT 'dim_product', 'unique', 'stock_code', 2 * COUNT(*) FROM dim_product WHERE ends_with(stock_code, '7') UNION ALL
+        SELECT 'fact_cancellations', 'not_null', 'stock_code', COUNT(*) FROM fact_cancellations WHERE quantity % 5 = 0) WHERE violations > 0"""
+
+
 def _integrity_sql() -> str:
     """The constraint audit over the oracle's tables (ids and non-sale hashes
     do not exist there; those unique checks are 0 by construction)."""

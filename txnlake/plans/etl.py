@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.transform import Processed, from_lines, transform
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 from ..sources import files as IO
 from ..sources.testdata import long_ordinal, raw_lines
 from .warehouse import Warehouse, load
@@ -31,8 +31,10 @@ def process(spark: SparkSession, raw: DataFrame, path: str | None = None) -> Pro
 
 def run(spark: SparkSession, raw: DataFrame, warehouse_path: str | None = None) -> Warehouse:
     """Raw lines -> loaded warehouse (insert-ignore into ``warehouse_path``)."""
-    processed = process(spark, raw)
-    return load(spark, processed, warehouse_path or scratch_path(spark, "warehouse"))
+    path = scratch_path(spark, "processed")
+    wh = load(spark, process(spark, raw, path), warehouse_path or scratch_path(spark, "warehouse"))
+    drop_path(spark, path)
+    return wh
 
 
 def stage_raw(spark: SparkSession, raw: DataFrame, path: str | None = None) -> DataFrame:
@@ -57,7 +59,7 @@ def built_for(spark: SparkSession, sf_dir: str, describe: str = "name",
         t1 = time.perf_counter()
         processed = process(spark, raw)
         t2 = time.perf_counter()
-        wh = load(spark, processed, scratch_path(spark, "warehouse"), fresh=True, report=False)
+        wh = load(spark, processed, scratch_path(spark, "warehouse"), fresh=True, keep_lines=False)
         t3 = time.perf_counter()
         t.update(raw_feed=t1 - t0, transform=t2 - t1, load=t3 - t2)
         _CACHE[key] = (processed, wh)

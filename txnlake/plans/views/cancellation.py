@@ -31,9 +31,10 @@ def global_rate(wh: Warehouse) -> DataFrame:
     evaluated twice, no cross join)."""
     tagged = (wh.fact_sales.select(F.lit(True).alias("_s"), "invoice_no")
               .unionByName(wh.fact_cancellations.select(F.lit(False).alias("_s"), "invoice_no")))
-    counts = tagged.agg(
-        F.count_distinct(F.when(F.col("_s"), F.col("invoice_no"))).alias("total_sales_orders"),
-        F.count_distinct(F.when(~F.col("_s"), F.col("invoice_no"))).alias("total_cancelled_orders"))
+    # One distinct count per tag (nothing is expanded), then two rows become columns.
+    per_tag = tagged.groupBy("_s").agg(F.count_distinct("invoice_no").alias("n"))
+    of = lambda tag: F.coalesce(F.max(F.when(F.col("_s") == tag, F.col("n"))), F.lit(0)).cast("long")
+    counts = per_tag.agg(of(True).alias("total_sales_orders"), of(False).alias("total_cancelled_orders"))
     return counts.select("total_sales_orders", "total_cancelled_orders",
                          _rate("total_cancelled_orders", "total_sales_orders").alias("cancellation_percentage"))
 

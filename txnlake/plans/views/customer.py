@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions.measures import dec, ratio
 from ...operators.ranking import global_rank, ntile_of, percentile_cont
-from ...session import checkpoint_dir
+from ...session import stage_table
 from ..warehouse import Warehouse
 from ._common import dated, known_customers
 
@@ -39,11 +39,15 @@ def average_order_value(wh: Warehouse) -> DataFrame:
 
 def _customer_metrics(wh: Warehouse) -> DataFrame:
     """Revenue, distinct orders and distinct active months (date_key div 100)."""
-    f = dated(known_customers(wh.fact_sales), wh)
+    month = F.expr("date_key div 100").alias("m")
+    orders = (known_customers(wh.fact_sales).select("customer_id", "invoice_no", "date_key", "revenue")
+              .groupBy("customer_id", "invoice_no", "date_key").agg(F.sum("revenue").alias("r")))
+    # Lines become orders before the dates are joined.
+    f = dated(orders, wh).select("customer_id", "invoice_no", month, "r")
     return (f.groupBy("customer_id")
-            .agg(F.sum("revenue").alias("total_revenue"),
+            .agg(F.sum("r").cast("decimal(22,2)").alias("total_revenue"),
                  F.count_distinct("invoice_no").alias("total_orders"),
-                 F.count_distinct(F.expr("date_key div 100")).alias("active_months")))
+                 F.count_distinct("m").alias("active_months")))
 
 
 def purchase_frequency(wh: Warehouse) -> DataFrame:
@@ -82,8 +86,7 @@ def rfm_segments(wh: Warehouse, keep_revenue: bool = False) -> DataFrame:
         "customer_id", "total_revenue",
         ratio(dec("total_orders"), dec("active_months")).alias("purchase_frequency"),
         ratio(F.col("total_revenue"), dec("total_orders")).alias("average_order_value"))
-    checkpoint_dir(m.sparkSession)
-    m = m.checkpoint(eager=True)  # read twice by the medians, once by the labels
+    m = stage_table(m, "customer-metrics")  # read twice by the medians, once by the labels
     med_f = percentile_cont(m, "purchase_frequency", 0.5, ["customer_id"])
     med_a = percentile_cont(m, "average_order_value", 0.5, ["customer_id"])
     f = F.col("purchase_frequency").cast("double")

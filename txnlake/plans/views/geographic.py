@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...functions.measures import dec, period_change, ratio
+from ...functions.measures import dec, ratio
 from ..warehouse import Warehouse
 from ._common import dated, with_country
 
@@ -79,7 +79,8 @@ def growth_trends(wh: Warehouse) -> DataFrame:
                 .groupBy("country_key", "year", "month")
                 .agg(F.sum("revenue").alias("current_revenue")))
     timeline = with_country(timeline, wh)
-    g = period_change(timeline, "current_revenue", "previous_revenue", "_g", part=["country"])
+    in_order = Window.partitionBy("country").orderBy("year", "month")
+    g = timeline.withColumn("previous_revenue", F.lag("current_revenue").over(in_order))
     # ((cur - prev) / prev) * 100: division first, as written in the view.
     growth = F.round((F.col("current_revenue") - F.col("previous_revenue"))
                      / F.nullif(F.col("previous_revenue"), F.lit(0)) * F.lit(100), 2)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ...functions.measures import before_after, dec, ratio
 from ...operators.basket import basket_pairs
 from ...operators.ranking import global_rank, ntile_of, top_k_share
-from ...session import checkpoint_dir
+from ...session import stage_table
 from ..warehouse import Warehouse
 from ._common import dated, with_description
 
@@ -79,8 +79,7 @@ def _by_description(wh: Warehouse) -> DataFrame:
 
 def _quadrant(wh: Warehouse, volume_desc: bool, k: int = 4) -> DataFrame:
     # Ranked twice (by volume, by revenue): aggregate the facts once.
-    checkpoint_dir(wh.fact_sales.sparkSession)
-    stats = _by_description(wh).checkpoint(eager=True)
+    stats = stage_table(_by_description(wh), "description-totals")
     vol = F.col("total_volume").desc_nulls_first() if volume_desc else F.col("total_volume").asc_nulls_last()
     rev = F.col("total_revenue").asc_nulls_last() if volume_desc else F.col("total_revenue").desc_nulls_first()
     tie = F.col("description").asc_nulls_last()

@@ -7,14 +7,16 @@ from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators import dims as D
 from ..operators import facts as X
+from ..operators import quality as Q
 from ..operators.transform import Processed
+from ..session import drop_path, scratch_path
 
 
 @dataclass
@@ -38,7 +40,9 @@ class Warehouse:
 # the invoice timestamp, so a batch row can only conflict with existing rows
 # of its own month: insert-ignore reads just the months the batch touches.
 MONTH = "month_key"
+AUDIT = "data_quality_potential_duplicates"
 FACT_TABLES = ["fact_sales", "fact_cancellations", "fact_adjustment", "fact_non_sale"]
+PARTITIONED = FACT_TABLES + [AUDIT]
 
 
 FACT_KINDS = {  # table -> (processed kind, id column)
@@ -81,12 +85,6 @@ def _months(keyed: DataFrame) -> list[int]:
             .filter(F.col("m").isNotNull()).distinct().collect()]
 
 
-def _max(df: DataFrame | None, col: str) -> int:
-    if df is None:
-        return 0
-    return df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0]
-
-
 @dataclass
 class DimensionRows:
     dim_product: DataFrame
@@ -112,12 +110,12 @@ def stage_dimensions(processed: Processed, existing: Warehouse | None = None) ->
 
 def stage(processed: Processed, existing: Warehouse | None = None,
           validate: bool = True, dim_country: DataFrame | None = None) -> Warehouse:
-    """Rows each table receives from ``processed`` (L15 without the writes).
+    """Rows each table receives from ``processed`` (L15 without the writes and the ids).
 
     Dimensions and facts are insert-ignore against ``existing``; the audit
-    table is replaced. With ``existing=None`` the result *is* the warehouse.
-    ``dim_country`` is the full country dimension to key facts with (by
-    default: existing rows plus the new ones).
+    rows are those of ``processed``. With ``existing=None`` the result *is*
+    the warehouse. ``dim_country`` is the full country dimension to key facts
+    with (by default: existing rows plus the new ones).
     """
     tx = _tx(processed)
     audit = D.clean(processed.audit)
@@ -131,46 +129,37 @@ def stage(processed: Processed, existing: Warehouse | None = None,
     keyed = X.with_keys(tx, dim_country)
     months = _months(keyed) if old is not None and old.path else None
 
-    def target_of(table: str) -> tuple[DataFrame | None, DataFrame | None]:
-        """(rows to test conflicts against, whole table for the id maximum)."""
+    def target_of(table: str) -> DataFrame | None:
+        """Existing rows that a row of the batch can conflict with."""
         if old is None:
-            return None, None
-        whole = getattr(old, table)
-        part = None if months is None else \
-            _read_or_empty(tx.sparkSession, old.path, table, with_partition=True)
-        if part is None:
-            return whole, whole
-        return part.filter(F.col(MONTH).isin(months)).drop(MONTH), whole
+            return None
+        part = None if months is None else _read_or_empty(tx.sparkSession, old.path, table, with_partition=True)
+        return getattr(old, table) if part is None else part.filter(F.col(MONTH).isin(months)).drop(MONTH)
 
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
         rows = X.standard_fact(keyed.filter(F.col("kind") == kind))
-        target, whole = target_of(table)
-        new = X.insert_ignore(rows, target, ["row_hash"], ["sub_rank", "_ord"])
-        new = new.select(*[c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col])
-        facts[table] = X.with_ids(new, id_col, _max(whole, id_col))
+        new = X.insert_ignore(rows, target_of(table), ["row_hash"], ["sub_rank", "_ord"])
+        facts[table] = new.select(*[c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col])
     ns = X.non_sale_fact(keyed.filter(F.col("kind") == "non_sales"))
-    ns_target, ns_whole = target_of("fact_non_sale")
-    ns_new = X.multiset_insert(ns, ns_target, X.NON_SALE_COLUMNS)
-    facts["fact_non_sale"] = X.with_ids(ns_new, "non_sale_id", _max(ns_whole, "non_sale_id"))
+    facts["fact_non_sale"] = X.multiset_insert(ns, target_of("fact_non_sale"), X.NON_SALE_COLUMNS)
     if validate:
         validate_facts(keyed)
-    dq = X.with_ids(X.audit_rows(audit), "quality_issue_id")
     return Warehouse(
         dim_product=dim_product, dim_customer=dim_customer, dim_country=new_country,
-        dim_date=dim_date, data_quality_potential_duplicates=dq, **facts)
+        dim_date=dim_date, data_quality_potential_duplicates=X.audit_rows(audit), **facts)
 
 
-def _conform(df: DataFrame, name: str) -> DataFrame:
+def _conform(df: DataFrame, name: str, *extra: str) -> DataFrame:
     schema = S.WAREHOUSE_SCHEMAS[name]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
 
 
 def read_table(spark: SparkSession, path: str, name: str, with_partition: bool = False) -> DataFrame:
     """One written table with its declared schema; fact tables carry the
     ``month_key`` partition column only when asked for (partition pruning)."""
     schema = S.WAREHOUSE_SCHEMAS[name]
-    if name not in FACT_TABLES:
+    if name not in PARTITIONED:
         return spark.read.schema(schema).parquet(f"{path}/{name}")
     full = T.StructType(list(schema.fields) + [T.StructField(MONTH, T.IntegerType())])
     df = spark.read.schema(full).parquet(f"{path}/{name}")
@@ -186,8 +175,10 @@ def _read_or_empty(spark: SparkSession, path: str, name: str,
                    with_partition: bool = False) -> DataFrame | None:
     try:
         return read_table(spark, path, name, with_partition)
-    except AnalysisException:  # the table folder does not exist (yet)
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # not written yet
+            return None
+        raise
 
 
 def try_open(spark: SparkSession, path: str) -> Warehouse | None:
@@ -202,79 +193,215 @@ def try_open(spark: SparkSession, path: str) -> Warehouse | None:
                                    for n, df in found.items()})
 
 
-def _partitioned(fact: DataFrame) -> DataFrame:
-    """A fact ready for a month-partitioned write: the REBALANCE hint
-    shuffles by month so each task writes few month folders, and AQE splits
-    a month that is too large into several tasks (and merges small ones)."""
-    return fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int")).hint("rebalance", MONTH)
+ID_COLUMNS = {name: schema.fieldNames()[0] for name, schema in S.WAREHOUSE_SCHEMAS.items() if name in PARTITIONED}
 
 
-def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> None:
+def _numbered(rows: DataFrame, name: str, start_after: int) -> DataFrame:
+    """Rows ready for a month-partitioned write, with surrogate ids.
+
+    The REBALANCE hint shuffles by month so each task writes few month
+    folders, and AQE splits a month that is too large into several tasks (and
+    merges small ones). Ids come after that shuffle, in a fixed order within
+    the writing task: nothing is moved afterwards, and only one attempt of a
+    task is committed, so a lost executor cannot make an id repeat.
+    """
+    day = X.date_key(F.col("invoice_date")) if name == AUDIT else F.col("date_key")
+    order = "row_hash" if name != AUDIT else "invoice_no"
+    dealt = rows.withColumn(MONTH, (day / 100).cast("int")).hint("rebalance", MONTH).sortWithinPartitions(MONTH, order)
+    numbered = X.with_ids(dealt, ID_COLUMNS[name], start_after)
+    return _conform(numbered, name, MONTH)
+
+
+def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> dict[str, tuple[int, int]]:
     """Independent table writes submitted as concurrent Spark jobs (the
-    scheduler interleaves their tasks); errors propagate. Fact tables are
-    written partitioned by month."""
+    scheduler interleaves their tasks); errors propagate. Returns the rows
+    and the largest id that each write reports."""
     def one(job):
         df, mode, target = job
-        w = df.write.mode(mode)
+        name = target.rsplit("/", 1)[-1]
+        seen = Observation(name)
+        top = F.max(ID_COLUMNS[name]) if name in ID_COLUMNS else F.max(F.lit(0))
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(top, F.lit(0)).cast("long").alias("top")).write.mode(mode)
         if MONTH in df.columns:
-            w = w.partitionBy(MONTH)
+            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(MONTH)
         w.parquet(target)
+        return name, (seen.get["rows"], seen.get["top"])
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for f in [pool.submit(one, j) for j in jobs]:
-            f.result()
+        return dict(f.result() for f in [pool.submit(one, j) for j in jobs])
 
 
 DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
 FACTS = FACT_TABLES
 
+LOG = "_load_log"
+LOG_SCHEMA = "load bigint, table_name string, rows bigint, top_id bigint"
+LINES = "_lines"
+LINE_KEY = "line_key"
+#: Columns that make two lines exact copies (T5), as processed lines hold them.
+_IDENTITY = ["InvoiceNo", "StockCode", "Description", "SignedQuantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "OriginalType"]
+_GROUP = ["InvoiceNo", "StockCode", "SignedQuantity"]
+
+
+def _log(spark: SparkSession, path: str, load_no: int, tables: dict[str, tuple[int, int]]) -> None:
+    spark.createDataFrame([(load_no, n, rows, top) for n, (rows, top) in tables.items()], LOG_SCHEMA) \
+        .coalesce(1).write.mode("append").parquet(f"{path}/{LOG}")
 
-def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False,
-         report: bool = True) -> Warehouse:
+
+def _history(spark: SparkSession, path: str, wh: Warehouse) -> tuple[int, dict[str, int]]:
+    """(number of the last load, largest id per table), from the load log:
+    a few rows per load, never the facts. If the last load did not end, its
+    ids are not in the log, and the id columns are read once."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/{LOG}")
+        loads = log.groupBy("load").agg(F.bool_or(F.col("table_name") == "end").alias("ended")).orderBy(F.desc("load")).limit(1).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        loads = []
+    if loads and loads[0].ended:
+        return loads[0].load, {r.table_name: r.top for r in log.groupBy("table_name").agg(F.max("top_id").alias("top")).collect()}
+    tops = {n: getattr(wh, n).agg(F.coalesce(F.max(c), F.lit(0))).first()[0] for n, c in ID_COLUMNS.items()}
+    return loads[0].load if loads else 0, tops
+
+
+def _keyed_lines(lines: DataFrame) -> DataFrame:
+    """Processed lines with the digest of their identity and their month."""
+    text = F.to_json(F.struct(*_IDENTITY), {"ignoreNullFields": "false"})
+    return lines.withColumns({LINE_KEY: F.md5(text), MONTH: (X.date_key(F.col("InvoiceDate")) / 100).cast("int")})
+
+
+def _against_stored(spark: SparkSession, processed: Processed, path: str) -> tuple[Processed, DataFrame]:
+    """The batch's lines that are not stored yet, with the audit rows of all
+    groups (invoice, code, quantity) they belong to, recomputed over stored
+    and new lines; and the groups' keys. Stored lines are read for the
+    months of the batch only: a group lies within its invoice's month."""
+    batch = _keyed_lines(processed.lines)
+    months = [r[0] for r in batch.select(MONTH).distinct().collect() if r[0] is not None]
+    stored = spark.read.parquet(f"{path}/{LINES}").filter(F.col(MONTH).isin(months))
+    fresh = batch.join(stored.select(LINE_KEY), LINE_KEY, "left_anti")
+    groups = fresh.select(*[F.col(c).alias(f"_{c}") for c in _GROUP]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _GROUP])
+    columns = [*_IDENTITY, "kind"]
+    around = stored.join(groups, same, "left_semi").select(*columns).unionByName(fresh.select(*columns))
+    flagged = Q.flag_potential_duplicates(around.drop("kind").withColumnRenamed("SignedQuantity", "Quantity"))
+    audit = Q.potential_duplicates(flagged.withColumnRenamed("OriginalType", "TransactionType"))
+    return Processed(lines=fresh.drop(LINE_KEY, MONTH), audit=audit), groups
+
+
+def _audit_months(spark: SparkSession, path: str, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The audit table's months of ``rows`` after replacing the given groups."""
+    months = [r[0] for r in rows.select((X.date_key(F.col("invoice_date")) / 100).cast("int").alias("m")).distinct().collect()]
+    old = _read_or_empty(spark, path, AUDIT, with_partition=True)
+    if old is None:
+        return rows
+    keys = D.clean(groups.select(F.col("_InvoiceNo").alias("InvoiceNo"), F.col("_StockCode").alias("StockCode"),
+                                 F.col("_SignedQuantity").alias("quantity"))).withColumnsRenamed({"InvoiceNo": "i", "StockCode": "s", "quantity": "q"})
+    gone = F.col("invoice_no").eqNullSafe(F.col("i")) & F.col("stock_code").eqNullSafe(F.col("s")) & F.col("quantity").eqNullSafe(F.col("q"))
+    stay = old.filter(F.col(MONTH).isin(months)).drop(MONTH, ID_COLUMNS[AUDIT]).join(keys, gone, "left_anti")
+    return stay.unionByName(rows)
+
+
+def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False, keep_lines: bool = True) -> Warehouse:
     """Append new dimension and fact rows (insert-ignore, so loading the
-    same input twice changes nothing), replace the audit table, reopen.
+    same input twice changes nothing), bring the audit table up to date, reopen.
 
     As in the reference, dimensions are appended first and the facts are keyed
     from the dimension as written. Each append is one job under Spark's commit
     protocol, so a lost executor only retries tasks and a failed job leaves no
     partial files; independent tables are written concurrently. ``fresh``
-    skips probing ``path`` for an existing warehouse (a new, empty folder);
-    ``report`` records the rows inserted per table in ``LAST_LOAD_REPORT``.
+    skips probing ``path`` for an existing warehouse (a new, empty folder).
+
+    A later load reads the history's touched months only. The processed lines
+    are kept beside the tables (``keep_lines``; without them later loads see
+    their own lines only), so exact copies are found across loads and the
+    audit rows of every touched group are recomputed; other audit rows stay.
+    New rows are written aside first: empty tables are then skipped, and the
+    folder is deleted at the end. ``LAST_LOAD_REPORT`` holds the rows
+    inserted per table, as the writes count them.
     """
     existing = None if fresh else try_open(spark, path)
-    before = {n: df.count() for n, df in existing.tables().items()} if existing and report else {}
+    load_no, tops = (0, {}) if existing is None else _history(spark, path, existing)
+    groups, scratch, present = None, None, set()
+    if existing is not None:
+        scratch = scratch_path(spark, "load")
+        present = {n for n in S.WAREHOUSE_SCHEMAS if _read_or_empty(spark, path, n) is not None}
+        if _read_lines(spark, path) is not None:
+            processed, groups = _against_stored(spark, processed, path)
+            processed.lines.write.parquet(f"{scratch}/lines")
+            processed = Processed(spark.read.parquet(f"{scratch}/lines"), processed.audit)
+    _log(spark, path, load_no + 1, {"start": (0, 0)})
+
+    def aside(df: DataFrame, name: str) -> DataFrame | None:
+        """A table's new rows, written once; None if there are none to append."""
+        if scratch is None:
+            return df
+        df.write.parquet(f"{scratch}/{name}")
+        back = spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+        return None if name in present and back.isEmpty() else back
+
     dims = stage_dimensions(processed, existing)
-    _write_all([(_conform(getattr(dims, n), n), "append", f"{path}/{n}") for n in DIMENSIONS])
+    new = {n: aside(_conform(getattr(dims, n), n), n) for n in DIMENSIONS}
+    done = _write_all([(df, "append", f"{path}/{n}") for n, df in new.items() if df is not None])
     written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
     staged = stage(processed, existing, dim_country=written_countries)
-    dq = "data_quality_potential_duplicates"
-    _write_all([(_partitioned(_conform(getattr(staged, n), n)), "append", f"{path}/{n}") for n in FACTS]
-               + [(_conform(staged.data_quality_potential_duplicates, dq), "overwrite", f"{path}/{dq}")])
-    wh = open_warehouse(spark, path)
+    rows = {n: aside(getattr(staged, n), n) for n in FACTS}
+    audit = aside(staged.data_quality_potential_duplicates, AUDIT)
+    mode = "append"
+    if groups is not None and audit is not None and AUDIT in present:
+        audit, mode = aside(_audit_months(spark, path, audit, groups), f"{AUDIT}-months"), "overwrite"
+    rows[AUDIT] = audit
+    jobs = [(_numbered(df, n, tops.get(n, 0)), mode if n == AUDIT else "append", f"{path}/{n}") for n, df in rows.items() if df is not None]
+    # A history without stored lines stays without: they would be incomplete.
+    if keep_lines and (groups is not None or not present & set(FACTS)):
+        lines = _keyed_lines(processed.lines).select(*_IDENTITY, "kind", LINE_KEY, MONTH)
+        jobs.append((lines.hint("rebalance", MONTH), "append", f"{path}/{LINES}"))
+    done |= _write_all(jobs)
+    _log(spark, path, load_no + 1, done | {"end": (0, 0)})
     LAST_LOAD_REPORT.clear()
-    if report:  # rows actually inserted (not offered): Parquet row counts before/after
-        LAST_LOAD_REPORT.update({n: df.count() - (0 if n == dq else before.get(n, 0))
-                                 for n, df in wh.tables().items()})
-    return wh
+    LAST_LOAD_REPORT.update({n: done.get(n, (0, 0))[0] for n in S.WAREHOUSE_SCHEMAS})
+    if scratch is not None:
+        drop_path(spark, scratch)
+    return open_warehouse(spark, path)
 
 
 LAST_LOAD_REPORT: dict[str, int] = {}
 
 
+def _read_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}/{LINES}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def compact(spark: SparkSession, path: str, name: str, months: list[int]) -> None:
+    """Rewrite months of a table that many small loads have cut into small
+    files. The rows are written aside first, then replace their months."""
+    scratch = scratch_path(spark, "compact")
+    read_table(spark, path, name, with_partition=True).filter(F.col(MONTH).isin(months)).write.parquet(scratch)
+    (spark.read.parquet(scratch).hint("rebalance", MONTH).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{path}/{name}"))
+    drop_path(spark, scratch)
+
+
 def build(processed: Processed, validate: bool = True) -> Warehouse:
     """A fresh warehouse as lazy DataFrames (no writes)."""
     staged = stage(processed, None, validate=validate)
-    return Warehouse(**{n: _conform(df, n) for n, df in staged.tables().items()})
+    return Warehouse(**{n: _conform(X.with_ids(df, ID_COLUMNS[n]) if n in ID_COLUMNS else df, n) for n, df in staged.tables().items()})
 
 
 def reset(spark: SparkSession, path: str) -> None:
-    """Drop all nine tables (empty them)."""
+    """Drop all nine tables (empty them), the stored lines and the load log."""
     for name, schema in S.WAREHOUSE_SCHEMAS.items():
-        w = spark.createDataFrame([], schema)
-        if name in FACT_TABLES:
-            w.withColumn(MONTH, F.lit(None).cast("int")).write.mode("overwrite").partitionBy(MONTH) \
-                .parquet(f"{path}/{name}")
+        drop_path(spark, f"{path}/{name}")
+        if name not in PARTITIONED:
+            spark.createDataFrame([], schema).write.parquet(f"{path}/{name}")
         else:
-            w.write.mode("overwrite").parquet(f"{path}/{name}")
+            spark.createDataFrame([], schema).withColumn(MONTH, F.lit(None).cast("int")).write.partitionBy(MONTH).parquet(f"{path}/{name}")
+    for name in (LINES, LOG):
+        drop_path(spark, f"{path}/{name}")
 
 
 # Foreign keys and unique keys the reference declares in its DDL; Spark does

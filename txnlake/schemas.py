@@ -106,6 +106,20 @@ DQ_DUPLICATES = T.StructType([
     T.StructField("duplicate_group_count", T.IntegerType()),
 ])
 
+# Processed lines as written (S3), for formats that carry no types.
+PROCESSED_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [
+    T.StructField("TransactionType", T.StringType()),
+    T.StructField("_ord", T.LongType()),
+    T.StructField("IsExactDuplicate", T.BooleanType()),
+    T.StructField("IsPotentialDuplicateLine", T.BooleanType()),
+    T.StructField("duplicate_group_count", T.IntegerType()),
+    T.StructField("OriginalType", T.StringType()),
+    T.StructField("SignedQuantity", T.IntegerType()),
+    T.StructField("sub_rank", T.IntegerType()),
+    T.StructField("revenue", T.DoubleType()),
+    T.StructField("kind", T.StringType()),
+])
+
 WAREHOUSE_SCHEMAS = {
     "dim_product": DIM_PRODUCT,
     "dim_customer": DIM_CUSTOMER,

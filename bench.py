@@ -1,4 +1,5 @@
-"""Benchmark: full load (raw -> processed -> warehouse) and every view.
+"""Benchmark: full load (raw -> processed -> warehouse) in both adapter modes,
+an incremental load, and every view.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (view runs, median reported; default 3), BENCH_WARMUP_DIR (an
@@ -18,11 +19,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from txnlake.plans import catalog  # noqa: E402
-from txnlake.plans.etl import built_for  # noqa: E402
-from txnlake.session import get_spark  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
+from txnlake.plans.etl import built_for, raw_for, run  # noqa: E402
+from txnlake.session import get_spark, scratch_path  # noqa: E402
 
-def _run(df) -> None:
+
+def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
@@ -53,20 +56,33 @@ def main() -> None:
     built_for(spark, sf_dir, "item")
     timings["load_item_mode"] = time.perf_counter() - t0
 
+    # The path a user runs: a first load with default options, then a batch
+    # of one line in fifty on top of it.
+    raw = raw_for(spark, sf_dir, "name")
+    path = scratch_path(spark, "warehouse-parts")
+    small = F.pmod(F.xxhash64("InvoiceNo"), F.lit(50)) == 0
+    t0 = time.perf_counter()
+    run(spark, raw.filter(~small), path)
+    timings["load_default"] = time.perf_counter() - t0
+    t0 = time.perf_counter()
+    run(spark, raw.filter(small), path)
+    timings["load_incremental"] = time.perf_counter() - t0
+
     for v in catalog.VIEWS:
         describe = "item" if v.vid in ("V9", "V10") else "name"
         wh = built_for(spark, sf_dir, describe)[1]
         runs = []
         for _ in range(repeat):
             t0 = time.perf_counter()
-            _run(v.fn(wh))
+            _noop(v.fn(wh))
             runs.append(time.perf_counter() - t0)
         timings[v.vid] = statistics.median(runs)
 
     views_total = sum(t for k, t in timings.items() if k.startswith("V"))
     out = {
-        "metric": "load_plus_all_views_sec",
-        "value": round(timings["load"] + views_total, 3),
+        "metric": "loads_plus_all_views_sec",
+        "value": round(timings["load"] + timings["load_item_mode"] + timings["load_incremental"] + views_total, 3),
+        "load_plus_views_sec": round(timings["load"] + views_total, 3),  # the headline of round 1
         "unit": "sec",
         "queries": {k: round(t, 3) for k, t in timings.items()},
         "views_total_sec": round(views_total, 3),

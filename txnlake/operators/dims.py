@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as K
+from .ranking import global_rank
 
 FIRST_ORDER = ["src_rank", "sub_rank", "_ord"]
 
@@ -51,9 +52,8 @@ def new_countries(tx: DataFrame, existing: DataFrame | None = None) -> DataFrame
     """Countries not yet in the dimension, keyed after the current maximum
     in order of first appearance (existing keys never change).
 
-    The numbering window has no partition key on purpose: it runs over the
-    aggregated set of new country names, at most one row per country in the
-    world, never over transaction rows.
+    Country is free text, so the names are numbered by the distributed rank
+    and not by a window in one task.
     """
     first = (tx.groupBy(F.col("Country").alias("country"))
              .agg(F.min(F.struct(*FIRST_ORDER)).alias("_first")))
@@ -61,8 +61,8 @@ def new_countries(tx: DataFrame, existing: DataFrame | None = None) -> DataFrame
     if existing is not None:
         first = first.join(existing.select("country"), "country", "left_anti")
         base = existing.agg(F.coalesce(F.max("country_key"), F.lit(0))).scalar()
-    w = Window.orderBy(F.col("_first").asc(), F.col("country").asc())
-    return first.select((F.row_number().over(w) + base).cast("int").alias("country_key"), "country")
+    ranked, _ = global_rank(first, [F.col("_first").asc(), F.col("country").asc()], "_place")
+    return ranked.select((F.col("_place") + base).cast("int").alias("country_key"), "country")
 
 
 def dim_date(tx: DataFrame) -> DataFrame:

@@ -26,10 +26,11 @@ def date_key(ts: Column) -> Column:
 
 def with_keys(tx: DataFrame, dim_country: DataFrame) -> DataFrame:
     """Country -> country_key (left join, so a miss stays visible to
-    validation) and timestamp -> date_key. The country dimension holds one
-    row per country in the world at most, a fixed bound, so it is broadcast."""
+    validation) and timestamp -> date_key. Countries are free text, so the
+    dimension has no proven bound: Spark broadcasts the written table while it
+    is under its size threshold, and splits a hot country's rows beyond it."""
     dc = dim_country.select(F.col("country").alias("_country"), "country_key")
-    return (tx.join(F.broadcast(dc), tx["Country"] == dc["_country"], "left")
+    return (tx.join(dc, tx["Country"] == dc["_country"], "left")
             .drop("_country")
             .withColumn("date_key", date_key(F.col("InvoiceDate"))))
 

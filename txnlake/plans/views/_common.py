@@ -1,10 +1,9 @@
 """Joins shared by the views.
 
-Broadcast policy: only dimensions with a fixed bound are broadcast by hand —
-``dim_date`` (one row per calendar day present) and ``dim_country`` (one row
-per country). ``dim_product`` and ``dim_customer`` grow with the data; they
-are joined after the facts are pre-aggregated by key, and AQE picks a
-broadcast only when their runtime size is under its threshold.
+Broadcast policy: only ``dim_date`` (one row per calendar day present) has a
+fixed bound and is broadcast by hand. The other dimensions are joined after
+the facts are pre-aggregated by key, and Spark picks a broadcast only when
+their size is under its threshold.
 """
 
 from __future__ import annotations
@@ -22,9 +21,8 @@ def dated(fact: DataFrame, wh: Warehouse, *cols: str) -> DataFrame:
 
 
 def with_country(agg_by_key: DataFrame, wh: Warehouse, how: str = "inner") -> DataFrame:
-    """Per-country_key aggregate -> country name (broadcast: one row per country)."""
-    return agg_by_key.join(F.broadcast(wh.dim_country.select("country_key", "country")),
-                           "country_key", how)
+    """Per-country_key aggregate -> country name (one row per country on both sides)."""
+    return agg_by_key.join(wh.dim_country.select("country_key", "country"), "country_key", how)
 
 
 def with_description(agg_by_code: DataFrame, wh: Warehouse, how: str = "inner") -> DataFrame:

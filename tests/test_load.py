@@ -163,6 +163,7 @@ def test_unreadable_table_is_not_taken_for_absent(spark, tmp_dir):
     from pyspark.errors import AnalysisException
 
     from txnlake.plans import warehouse as W
+    load(spark, process(spark, raw_rows(spark, _rows())), f"{tmp_dir}/wh")
     real = W.read_table
     W.read_table = lambda *a, **k: spark.sql("SELECT no_such_column")
     try:

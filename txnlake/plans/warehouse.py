@@ -6,7 +6,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +15,7 @@ from ..operators import dims as D
 from ..operators import facts as X
 from ..operators import quality as Q
 from ..operators.transform import Processed
-from ..session import drop_path, scratch_path
+from ..session import drop_path, path_exists, scratch_path
 
 
 @dataclass
@@ -173,12 +172,7 @@ def open_warehouse(spark: SparkSession, path: str) -> Warehouse:
 
 def _read_or_empty(spark: SparkSession, path: str, name: str,
                    with_partition: bool = False) -> DataFrame | None:
-    try:
-        return read_table(spark, path, name, with_partition)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":  # not written yet
-            return None
-        raise
+    return read_table(spark, path, name, with_partition) if path_exists(spark, f"{path}/{name}") else None
 
 
 def try_open(spark: SparkSession, path: str) -> Warehouse | None:
@@ -251,13 +245,10 @@ def _history(spark: SparkSession, path: str, wh: Warehouse) -> tuple[int, dict[s
     """(number of the last load, largest id per table), from the load log:
     a few rows per load, never the facts. If the last load did not end, its
     ids are not in the log, and the id columns are read once."""
-    try:
+    loads = []
+    if path_exists(spark, f"{path}/{LOG}"):
         log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/{LOG}")
         loads = log.groupBy("load").agg(F.bool_or(F.col("table_name") == "end").alias("ended")).orderBy(F.desc("load")).limit(1).collect()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        loads = []
     if loads and loads[0].ended:
         return loads[0].load, {r.table_name: r.top for r in log.groupBy("table_name").agg(F.max("top_id").alias("top")).collect()}
     tops = {n: getattr(wh, n).agg(F.coalesce(F.max(c), F.lit(0))).first()[0] for n, c in ID_COLUMNS.items()}
@@ -368,12 +359,7 @@ LAST_LOAD_REPORT: dict[str, int] = {}
 
 
 def _read_lines(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}/{LINES}")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(f"{path}/{LINES}") if path_exists(spark, f"{path}/{LINES}") else None
 
 
 def compact(spark: SparkSession, path: str, name: str, months: list[int]) -> None:

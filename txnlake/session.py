@@ -78,6 +78,11 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

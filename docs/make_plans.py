@@ -23,13 +23,13 @@ def add(title, df, note, run=True):
 add("V3 revenue by year and month (flagship)", catalog.BY_ID["V3"].fn(wh),
     "Column-pruned fact scan, broadcast of the calendar-bounded date dimension, partial aggregate before the only shuffle.")
 add("V36 cancellation rates by country", catalog.BY_ID["V36"].fn(wh),
-    "Both fact sides aggregated by country key before the joins; country names come from a broadcast dimension.")
+    "Both fact sides aggregated by country key before the joins; country names are joined to one row per country.")
 add("V15 affinity pairs", catalog.BY_ID["V15"].fn(wh),
-    "Reads the checkpointed within-cap items; the self-join's two sides reuse one exchange.")
+    "Reads the written within-cap items; the self-join's two sides reuse one exchange.")
 add("V22 revenue concentration (distributed NTILE)", catalog.BY_ID["V22"].fn(wh),
     "Runs over the range-partitioned, checkpointed ranking; per-partition offsets are a broadcast table of one row per partition. No SinglePartition exchange over customer rows.")
 from txnlake.sources.testdata import raw_lines
 add("Transform (T1-T13), before execution", transform(raw_lines(spark, sf)).lines,
-    "Exact duplicates collapse in a hash aggregate; group sizes are a second (partial) aggregate joined back null-safely; classification and routing stay inside whole-stage codegen.", run=False)
+    "Exact duplicates collapse in a hash aggregate; only groups of more than one line, from a second (partial) aggregate, are joined back null-safely; classification and routing stay inside whole-stage codegen.", run=False)
 open('docs/PLANS.md', 'w').write("".join(out))
 print(len("".join(out)))

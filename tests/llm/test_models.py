@@ -121,6 +121,33 @@ def test_lm_score_matches_brute_force(spark, monkeypatch, block_bytes):
     same_scores(got, brute_lm(docs, fitted[0]))
 
 
+def brute_weights(docs):
+    """The weights fitted on every training token of every document."""
+    tokens = [[*re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode().lower()), None]
+              for d, t in docs if d is not None and left(d) != 1]
+    words, pairs = Counter(w for ts in tokens for w in ts), Counter(p for ts in tokens for p in zip(["<s>", *ts[:-1]], ts))
+    n, v, table = sum(words.values()), len(words), np.zeros((lm_score.CLASSES, lm_score.RATIOS))
+    for (h, t), seen in pairs.items():
+        visits = len(tokens) if h == "<s>" else words[h]
+        ratio = (seen - 1) / max(visits - 1, 1) / ((words[t] + 0.5) / (n + 0.5 * (v + 1)))
+        at = min(max(int(2 * np.log2(ratio) + lm_score.RATIOS // 2), 1), lm_score.RATIOS - 1) if ratio > 0 else 0
+        table[int(math.log2(visits)), at] += seen
+    return lm_score.fit_backoff(table)
+
+
+def test_lm_weights_are_fitted_on_every_block(spark, monkeypatch):
+    """Dozens of blocks of two kinds of text; the weights do not depend on the split."""
+    rng = random.Random(11)
+    docs = [(i, prose(rng, 60, 30 if i < 100 else 3000)) for i in range(200)]
+    want, fitted = brute_weights(docs), []
+    fit = lm_score.fit_backoff
+    monkeypatch.setattr(lm_score, "fit_backoff", lambda t: fitted.append(fit(t)) or fitted[-1])
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 1000)
+    for parts in (1, 5):
+        lm_score.lm_score(documents(spark, docs).repartition(parts))
+    assert np.allclose(fitted, [want, want], rtol=1e-6)
+
+
 def test_lm_probabilities_sum_to_one():
     """Over the V words and the unknown one, from a state with and without arcs."""
     rng = random.Random(1)

@@ -11,8 +11,9 @@ has an arc for every word:
 
 It sums to one over the V words and one unknown word. b depends on v by the
 power of two of c(v); these few dozen weights are fitted by leaving out each
-token of at most ``FIT_BLOCKS`` blocks once (deleted interpolation). All
-counts cover all training documents.
+training token once (deleted interpolation): every block counts its own
+tokens in a small table, and the tables are added up. All counts cover all
+training documents.
 
 Nobody holds the whole model. Documents are packed into blocks of some
 megabytes. Each block asks the owners of its distinct words and bigrams (by
@@ -46,7 +47,6 @@ from .common import remainder, shuffle_partitions, staged
 from .tokens import TOKEN_BYTES, WordHasher, mix
 
 BLOCK_BYTES = 4 << 20
-FIT_BLOCKS = 8
 CLASSES = 48  # powers of two of a history's count
 RATIOS = 128  # half powers of two of the leave-one-out ratio, the first for 0
 _START, _END = np.uint64(1), np.uint64(2)
@@ -251,11 +251,23 @@ def _rows(batches: Iterator[pa.RecordBatch], *stats: int) -> Iterator[tuple[dict
 
 def _measure(*stats: int):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((CLASSES, RATIOS))
         for _, _, automaton in _rows(batches, *stats):
-            yield pa.RecordBatch.from_pydict({"table": [automaton.leave_one_out().ravel().tolist()]})
+            table += automaton.leave_one_out()
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(at, pa.int32()), "n": pa.array(table.ravel()[at].astype(np.int64))})
     return measure
 
 
+def leave_one_out(packed: DataFrame, replies: DataFrame, *stats: int) -> np.ndarray:
+    """The summed tables of all blocks, CLASSES x RATIOS."""
+    cells = (_with_answers(packed, replies).mapInArrow(_measure(*stats), "cell int, n bigint")
+             .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # at most CLASSES x RATIOS rows
+    table = np.zeros(CLASSES * RATIOS)
+    table[[r["cell"] for r in cells]] = [r["n"] for r in cells]
+    return table.reshape(CLASSES, RATIOS)
+
+
 def _score(backoff: np.ndarray, id_type: pa.DataType, *stats: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, b, automaton in _rows(batches, *stats):
@@ -270,17 +282,14 @@ def _score(backoff: np.ndarray, id_type: pa.DataType, *stats: int):
     return score
 
 
-def lm_score(docs: DataFrame, fit_blocks: int = FIT_BLOCKS) -> DataFrame:
+def lm_score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     packed = blocks(docs)
     replies = answers(packed)
     sums = replies.agg(F.sum("tokens"), F.sum("types")).first()
     starts = packed.select(F.explode("train").alias("t")).filter("t").count()
     stats = (starts, int(sums[0] or 0), int(sums[1] or 0))
-    drawn = [r.block for r in packed.select("block").orderBy(F.xxhash64("block"), "block").limit(fit_blocks).collect()]
-    some = _with_answers(packed.filter(F.col("block").isin(drawn)), replies.filter(F.col("block").isin(drawn)))
-    measured = some.mapInArrow(_measure(*stats), "table array<double>").collect()  # at most fit_blocks rows
-    backoff = fit_backoff(sum((np.array(r.table).reshape(CLASSES, RATIOS) for r in measured), np.zeros((CLASSES, RATIOS))))
+    backoff = fit_backoff(leave_one_out(packed, replies, *stats))
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema["doc_id"].dataType

@@ -88,6 +88,19 @@ def test_large_buckets_are_dealt_as_blocks(spark, monkeypatch):
     assert collected(got.drop("kept")) == sorted(brute_classes(rows), key=repr)
 
 
+def test_split_buckets_lose_no_links_at_the_production_recall(spark, monkeypatch):
+    """Pairs at exactly 0.8 that share only passages of many other documents: they meet at full depth or not at all."""
+    monkeypatch.setattr(J, "BLOCK_ROWS", 8)
+    rng = random.Random(18)  # eight runs lose four of the pairs
+    passages = [prose(rng, 40, 5000) for _ in range(12)]
+    rows = []
+    for i in range(0, 400, 2):
+        body = rng.sample(passages, 4)
+        rows += [(i + j, " ".join(f"{p} own{i + j}x{k}" for k, p in enumerate(body)) + f" own{i + j}y own{i + j}z") for j in range(2)]
+    got = J.jaccard_join(documents(spark, rows))
+    assert collected(got.drop("kept")) == sorted(brute_classes(rows), key=repr)
+
+
 def test_recall_of_pairs_at_the_threshold():
     """Pairs at exactly 0.8 meet in the walk at least as often as promised."""
     rng = np.random.default_rng(5)

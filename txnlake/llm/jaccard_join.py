@@ -49,7 +49,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 LAMBDA = 0.8
 DEPTH = 3
-RECALL = 0.97
+RECALL = 0.9999
 SKETCH = 64
 LIKELY = 0.55  # sketch estimate from which a pair is compared exactly: five standard errors below 0.8
 BLOCK_ROWS = 512

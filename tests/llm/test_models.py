@@ -61,6 +61,22 @@ def test_language_id_corner_cases(spark):
     assert {(r.lang_pred, r.score, r.ambiguous) for r in one} == {("xx", 1.0, False)}
 
 
+def test_language_id_learns_every_language(spark, monkeypatch):
+    """More languages than were once learned, and than a task holds at a time."""
+    monkeypatch.setattr(language_id, "HELD_LANGUAGES", 7)
+    rng = random.Random(3)
+    rows = []
+    for k in range(80):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(25)]
+        rows += [(20 * k + i, " ".join(rng.choices(words, k=40)), "a", f"l{k}") for i in range(10 if k < 40 else 20)]
+    docs = documents(spark, rows)
+    assert language_id.learn(docs).languages == sorted({r[3] for r in rows})
+    truth = {r[0]: r[3] for r in rows}
+    held = language_id.language_id(docs).filter("held_out").collect()
+    assert len({truth[r.doc_id] for r in held}) > 64
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 12])
 def test_codewords_differ_and_every_bit_splits(n):
     code = language_id.codewords(n)

@@ -3,16 +3,17 @@
 Every language gets a codeword; a binary n-gram classifier per bit tells the
 languages with a 1 from those with a 0. The classifiers are linear: the
 log-odds of hashed byte 2-, 3- and 4-grams of the lower-cased letters, from
-counts over all training documents (one distributed pass, summed by bucket;
-the model is bits x ``BUCKETS`` numbers, whatever the input). Decoding sums
+counts over all training documents (one distributed pass, summed by language
+and bucket and made into weights there; the model is bits x ``BUCKETS``
+numbers and a codeword per language, whatever the input). Decoding sums
 each codeword's logistic losses, weighted by how often that bit is right for
 that language on a bounded labelled sample; the nearest codeword wins, and a
 small lead flags the document as ambiguous.
 
 Training uses text and non-null lang of documents whose remainder
 crc32(doc_id) mod 5 is not 0 (a null id has none: neither held out nor
-learned from). At most ``max_languages`` most frequent lang values are
-learned. Prediction reads the text alone.
+learned from). Every lang value among them is learned. Prediction reads the
+text alone.
 
 Defined results: a null text or one without a letter is ``und`` with score
 0; so is every text if nothing can be learned; one learned language wins
@@ -26,17 +27,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import remainder, uniform
+from .common import remainder, staged, uniform
 
 BUCKETS = 1 << 14
 ORDERS = (2, 3, 4)
-MAX_LANGUAGES = 64
 WEIGHT_SAMPLE = 4000  # labelled documents, about, that the loss weights are measured on
+LEAST_SAMPLE = 60  # of them for each language, about, however many there are
+HELD_LANGUAGES = 512  # languages that a task counts before it passes their sums on
+BUCKET_GROUP = 64
+CODE_WORK = 2_000_000_000  # multiplications, about, of the search for codewords
 AMBIGUOUS_LEAD = 0.2
 
 _LETTERS = bytes(c if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -80,15 +85,25 @@ def codewords(n: int) -> np.ndarray:
     rng = np.random.default_rng(n)
     best, score = None, -1
     bits = int(np.ceil(10 * np.log2(n)))
-    for _ in range(200):
+    for trial in range(1, 201):
         m = rng.choice([-1, 1], (n, bits))
-        far = (bits - m @ m.T) // 2
-        least = far[~np.eye(n, dtype=bool)].min()
+        least = _least_distance(m)
         if least > score and (np.abs(m.sum(0)) < n).all():
             best, score = m, least
+        if best is not None and trial * n * n * bits > CODE_WORK:
+            break
     return best
 
 
+def _least_distance(m: np.ndarray, piece: int = 1024) -> int:
+    f, most = m.astype(np.float32), -m.shape[1]
+    for at in range(0, len(f), piece):
+        same = f[at:at + piece] @ f.T
+        same[np.arange(len(same)), at + np.arange(len(same))] = -m.shape[1]
+        most = max(most, int(same.max()))
+    return (m.shape[1] - most) // 2
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -107,17 +122,43 @@ class Model:
         return p / p.sum()
 
 
-def _count(languages: list[str]):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {x: np.zeros(BUCKETS, np.int64) for x in languages}
-        for batch in batches:
-            for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                sums[lang] += gram_counts(text.as_py())
-        for lang, s in sums.items():
-            at = np.flatnonzero(s)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
-                                              "bucket": pa.array(at, pa.int32()), "n": pa.array(s[at])})
-    return count
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passed_on() -> Iterator[pa.RecordBatch]:
+        for x, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([x] * len(at), pa.string()),
+                                              "bucket": pa.array(at, pa.int32()), "n": pa.array(total[at])})
+        sums.clear()
+
+    sums: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
+            if lang not in sums:
+                if len(sums) == HELD_LANGUAGES:
+                    yield from passed_on()
+                sums[lang] = np.zeros(BUCKETS, np.int64)
+            sums[lang] += gram_counts(text.as_py())
+    yield from passed_on()
+
+
+def _bit_weights(counts: np.ndarray, totals: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """buckets x bits, from languages x buckets counts."""
+    share = (counts + 0.5) / (totals[:, None] + 0.5 * BUCKETS)
+    out = np.zeros((counts.shape[1], code.shape[1]), np.float32)
+    for b in range(code.shape[1]):
+        out[:, b] = np.log(share[code[:, b] > 0].mean(0)) - np.log(share[code[:, b] < 0].mean(0))
+    return out
+
+
+def _weigh(languages: list[str], totals: np.ndarray, code: np.ndarray):
+    def weigh(group: pd.DataFrame) -> pd.DataFrame:
+        place = {x: i for i, x in enumerate(languages)}
+        first = int(group["bucket"].iloc[0]) // BUCKET_GROUP * BUCKET_GROUP
+        counts = np.zeros((len(languages), BUCKET_GROUP))
+        counts[group["lang"].map(place).to_numpy(), group["bucket"].to_numpy() - first] = group["n"]
+        return pd.DataFrame({"bucket": np.arange(first, first + BUCKET_GROUP, dtype=np.int32),
+                             "weights": list(_bit_weights(counts, totals, code))})
+    return weigh
 
 
 def _check(model: Model):
@@ -130,32 +171,38 @@ def _check(model: Model):
     return check
 
 
-def learn(docs: DataFrame, max_languages: int = MAX_LANGUAGES, sample: int = WEIGHT_SAMPLE) -> Model | None:
+def learn(docs: DataFrame, sample: int = WEIGHT_SAMPLE) -> Model | None:
     """Fit on the labelled documents that are not held out; None without any."""
-    labelled = docs.filter((remainder(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    labelled = docs.select("doc_id", "text", "lang").filter(
+        (remainder(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row per language
     if not sizes:
         return None
-    languages = sorted(r["lang"] for r in sizes)
-    known = labelled.filter(F.col("lang").isin(languages))
-    sums = (known.select("text", "lang").mapInArrow(_count(languages), "lang string, bucket int, n long")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toArrow().to_pydict()  # languages x buckets rows
-    counts = np.zeros((len(languages), BUCKETS))
-    counts[[languages.index(x) for x in sums["lang"]], sums["bucket"]] = sums["n"]
-    share = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * BUCKETS)
+    languages = sorted(sizes)
+    place = {x: i for i, x in enumerate(languages)}
     code = codewords(len(languages))
     weights = np.zeros((BUCKETS, code.shape[1]), np.float32)
-    for b in range(code.shape[1]):
-        weights[:, b] = np.log(share[code[:, b] > 0].mean(0)) - np.log(share[code[:, b] < 0].mean(0))
     model = Model(languages, code, weights, np.ones(code.shape))
-    per_language = {r["lang"]: min(1.0, sample / len(languages) / r["count"]) for r in sizes}
-    chance = F.element_at(F.create_map(*[F.lit(x) for kv in per_language.items() for x in kv]), F.col("lang"))
-    checked = (known.filter(uniform("loss-weights", F.col("doc_id")) < chance).select("text", "lang")
+    if len(languages) == 1:
+        return model
+    sums = staged(labelled.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n long")
+                  .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
+    totals = np.zeros(len(languages))
+    for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).collect():
+        totals[place[r["lang"]]] = r["n"]
+    weights[:] = _bit_weights(np.zeros((len(languages), 1)), totals, code)  # of buckets that never occur
+    found = (sums.groupBy(F.floor(F.col("bucket") / BUCKET_GROUP).alias("group"))
+             .applyInPandas(_weigh(languages, totals, code), "bucket int, weights array<float>")).toArrow()  # bits x BUCKETS
+    weights[found["bucket"].to_numpy()] = found["weights"].combine_chunks().flatten().to_numpy().reshape(-1, code.shape[1])
+    each = max(sample / len(languages), LEAST_SAMPLE)
+    chances = docs.sparkSession.createDataFrame([(x, min(1.0, each / n)) for x, n in sizes.items()], "lang string, chance double")
+    checked = (labelled.join(F.broadcast(chances), "lang")  # a row per language
+               .filter(uniform("loss-weights", F.col("doc_id")) < F.col("chance")).select("text", "lang")
                .mapInArrow(_check(model), "lang string, right array<double>"))
     for row in checked.groupBy("lang").agg(
             F.array(*[F.avg(F.col("right")[b]) for b in range(code.shape[1])]).alias("right")).collect():
         trust = np.maximum(np.array(row["right"]) - 0.5, 0.01)
-        model.trust[languages.index(row["lang"])] = trust / trust.sum() * len(trust) if len(trust) else trust
+        model.trust[place[row["lang"]]] = trust / trust.sum() * len(trust)
     return model
 
 

@@ -166,3 +166,11 @@ def test_pipeline_stages_take_corner_cases(spark):
         assert out.columns == df.columns, name
         out.collect()
         assert stage(spark, df.limit(0), SF).count() == 0, name
+
+
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_keeps_lettered_texts_whatever_the_labels(spark, lang):
+    rows = [(*r[:3], lang) for r in corner_rows()]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    got = stage(spark, documents(spark, rows), SF).select("doc_id", "text", "source")
+    assert collected(got) == sorted((r[:3] for r in rows if re.search(r"[^\W\d_]", r[1] or "")), key=repr)

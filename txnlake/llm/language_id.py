@@ -209,11 +209,12 @@ def learn(docs: DataFrame, sample: int = WEIGHT_SAMPLE) -> Model | None:
 def _predict(model: Model | None, lead: float):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores, unsure = [], [], []
+            langs, scores, unsure, lettered = [], [], [], []
             row = batch.column("row")
             for cell in batch.column("text") if "text" in batch.schema.names else row.field("text"):
                 text = cell.as_py()
-                if model is None or not has_letter(text):
+                lettered.append(has_letter(text))
+                if model is None or not lettered[-1]:
                     langs.append("und"), scores.append(0.0), unsure.append(False)
                     continue
                 p = model.probabilities(text)
@@ -222,17 +223,18 @@ def _predict(model: Model | None, lead: float):
                 scores.append(float(p[order[0]]))
                 unsure.append(bool(len(p) > 1 and p[order[0]] - p[order[1]] < lead))
             yield pa.RecordBatch.from_arrays(
-                [row, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())],
-                names=["row", "lang_pred", "score", "ambiguous"])
+                [row, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_()),
+                 pa.array(lettered, pa.bool_())], names=["row", "lang_pred", "score", "ambiguous", "lettered"])
     return predict
 
 
 def predictions(docs: DataFrame, model: Model | None, keep: list[str], lead: float = AMBIGUOUS_LEAD) -> DataFrame:
-    """row (a struct of the ``keep`` columns), lang_pred, score, ambiguous."""
+    """row (a struct of the ``keep`` columns), lang_pred, score, ambiguous, lettered."""
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
     asked = docs.select(row, *([] if "text" in keep else ["text"]))
     schema = T.StructType([asked.schema["row"], T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType()),
+                           T.StructField("lettered", T.BooleanType())])
     return asked.mapInArrow(_predict(model, lead), schema)
 
 
@@ -244,7 +246,8 @@ def language_id(docs: DataFrame, **options) -> DataFrame:
 
 
 def recognised(docs: DataFrame, **options) -> DataFrame:
-    """The documents with a recognised language, all columns kept; ``und``
-    goes (an ambiguous language is no reason to drop a document)."""
-    return (predictions(docs, learn(docs, **options), docs.columns).filter("lang_pred <> 'und'")
+    """The documents with a letter, all columns kept; null and letterless texts
+    go. No language is a reason to drop a document, nor an ambiguous one, nor
+    that none could be learned."""
+    return (predictions(docs, learn(docs, **options), docs.columns).filter("lettered")
             .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -1,21 +1,16 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 import tempfile
 
 import pytest
-from pyspark.sql import types as T
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from txnlake.schemas import RAW_SCHEMA  # noqa: E402
 from txnlake.session import get_spark  # noqa: E402
 
-DEFAULT_TS = dt.datetime(2010, 12, 1, 8, 26)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,23 +24,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="txnlake-test-", dir="/tmp")
-
-
-def raw_rows(spark, rows):
-    """rows: dicts with any of the raw columns; defaults fill the rest.
-    ``_ord`` is the row position."""
-    full = []
-    for i, r in enumerate(rows):
-        full.append((
-            r.get("InvoiceNo"), r.get("StockCode"), r.get("Description", "ITEM"),
-            r.get("Quantity"), r.get("InvoiceDate", DEFAULT_TS), r.get("UnitPrice"),
-            r.get("CustomerID"), r.get("Country", "United Kingdom"), i,
-        ))
-    schema = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("_ord", T.LongType())])
-    return spark.createDataFrame(full, schema)
-
-
-def line(inv, code, qty, price, cust=None, **kw):
-    d = {"InvoiceNo": inv, "StockCode": code, "Quantity": qty, "UnitPrice": price, "CustomerID": cust}
-    d.update(kw)
-    return d

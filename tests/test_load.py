@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import line, raw_rows
+from builders import line, raw_rows
 from pyspark.sql import functions as F
 
 from txnlake.operators.transform import transform

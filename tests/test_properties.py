@@ -1,7 +1,7 @@
 """Property test: classification and routing against a plain-Python
 statement of the rules, on random lines (including nulls and edge values)."""
 
-from conftest import raw_rows
+from builders import raw_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

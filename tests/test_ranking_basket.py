@@ -4,7 +4,7 @@ import random
 
 import duckdb
 import pytest
-from conftest import line, raw_rows
+from builders import line, raw_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import line, raw_rows
+from builders import line, raw_rows
 
 from txnlake.operators import profile as P
 from txnlake.operators.classify import classify

@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from conftest import line, raw_rows
+from builders import line, raw_rows
 from pyspark.sql import functions as F
 
 from txnlake.operators import quality as Q

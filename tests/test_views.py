@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import line, raw_rows
+from builders import line, raw_rows
 
 from txnlake.operators.transform import transform
 from txnlake.plans import catalog

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, toxicity, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, phrases, quality, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -55,6 +55,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 URL_SQL = r"""
 WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 parts AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": _op8,
         "op9_line_dedup": _op9,
         "op10_exact_dedup": _op10,
+        "op13_phrases": _op13,
     }
 
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing.MIX_SQL,
         "op9_line_dedup": line_dedup.LINE_DEDUP_SQL,
         "op10_exact_dedup": exact_dedup.DEDUP_SQL,
+        "op13_phrases": phrases.COLLOCATIONS_SQL,
     }

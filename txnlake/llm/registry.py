@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, phrases, quality, toxicity, url_filter
+from . import align, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, phrases, quality, sketches, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -55,6 +55,14 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"))
+
+
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -83,6 +91,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": _op8,
         "op9_line_dedup": _op9,
         "op10_exact_dedup": _op10,
+        "op11_fingerprints": _op11,
+        "op12_alignment": _op12,
         "op13_phrases": _op13,
     }
 
@@ -95,5 +105,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing.MIX_SQL,
         "op9_line_dedup": line_dedup.LINE_DEDUP_SQL,
         "op10_exact_dedup": exact_dedup.DEDUP_SQL,
+        "op11_fingerprints": sketches.FINGERPRINTS_SQL,
         "op13_phrases": phrases.COLLOCATIONS_SQL,
     }

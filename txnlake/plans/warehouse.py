@@ -15,7 +15,8 @@ from ..operators import dims as D
 from ..operators import facts as X
 from ..operators import quality as Q
 from ..operators.transform import Processed
-from ..session import drop_path, path_exists, scratch_path
+from ..session import drop_path, scratch_path
+from . import snapshots as V
 
 
 @dataclass
@@ -30,9 +31,10 @@ class Warehouse:
     fact_non_sale: DataFrame
     data_quality_potential_duplicates: DataFrame
     path: str | None = None  # set when opened from written tables
+    snapshot: V.Snapshot | None = None  # the version that was opened
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("path", "snapshot")}
 
 
 # Facts are stored partitioned by month (date_key div 100). A row hash covers
@@ -59,9 +61,10 @@ FACT_OF_KIND = {"sales": "fact_sales", "cancellations": "fact_cancellations",
                 "adjustments": "fact_adjustment", "non_sales": "fact_non_sales"}
 
 
-def validate_facts(keyed: DataFrame) -> DataFrame:
+def validate_facts(keyed: DataFrame) -> list[int]:
     """Rows, missing country keys and missing date keys per fact table,
-    in one pass over the keyed lines; raises naming the first failing table."""
+    in one pass over the keyed lines, with the months present (at most one value
+    per calendar month); raises naming the first failing table."""
     table = F.lit(None).cast("string")
     for kind, name in FACT_OF_KIND.items():
         table = F.when(F.col("kind") == kind, F.lit(name)).otherwise(table)
@@ -69,13 +72,15 @@ def validate_facts(keyed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("country_key").isNull()).alias("missing_country_keys"),
         F.count_if(F.col("date_key").isNull()).alias("missing_date_keys"),
+        F.collect_set((F.col("date_key") / 100).cast("int")).alias("months"),
     )
-    for r in report.collect():  # one row per fact table
+    rows = report.collect()  # one row per fact table
+    for r in rows:
         if r["missing_country_keys"]:
             raise ValidationError(f"{r['table']}: {r['missing_country_keys']} of {r['rows']} rows have no country key")
         if r["missing_date_keys"]:
             raise ValidationError(f"{r['table']}: {r['missing_date_keys']} of {r['rows']} rows have no date key")
-    return report
+    return sorted({m for r in rows for m in r["months"]})
 
 
 def _months(keyed: DataFrame) -> list[int]:
@@ -96,13 +101,15 @@ def _tx(processed: Processed) -> DataFrame:
     return D.all_transactions(D.clean(processed.lines))
 
 
-def stage_dimensions(processed: Processed, existing: Warehouse | None = None) -> DimensionRows:
-    """New dimension rows (L3-L6), insert-ignore against ``existing``."""
+def stage_dimensions(processed: Processed, existing: Warehouse | None = None,
+                     dim_country: DataFrame | None = None) -> DimensionRows:
+    """New dimension rows (L3-L6), insert-ignore against ``existing``. Numbering
+    the new countries is a job of its own, unless ``dim_country`` holds them."""
     tx, old = _tx(processed), existing
     return DimensionRows(
         dim_product=X.insert_ignore(D.dim_product(tx), old and old.dim_product, ["stock_code"]),
         dim_customer=X.insert_ignore(D.dim_customer(tx), old and old.dim_customer, ["customer_id"]),
-        dim_country=D.new_countries(tx, old and old.dim_country),
+        dim_country=dim_country if dim_country is not None else D.new_countries(tx, old and old.dim_country),
         dim_date=X.insert_ignore(D.dim_date(tx), old and old.dim_date, ["date_key"]),
     )
 
@@ -114,26 +121,33 @@ def stage(processed: Processed, existing: Warehouse | None = None,
     Dimensions and facts are insert-ignore against ``existing``; the audit
     rows are those of ``processed``. With ``existing=None`` the result *is*
     the warehouse. ``dim_country`` is the full country dimension to key facts
-    with (by default: existing rows plus the new ones).
+    with (by default: existing rows plus the new ones, which are numbered at once).
     """
-    tx = _tx(processed)
-    audit = D.clean(processed.audit)
-    old = existing
-    dims = stage_dimensions(processed, existing)
-    dim_product, dim_customer, dim_date = dims.dim_product, dims.dim_customer, dims.dim_date
-    new_country = dims.dim_country
     if dim_country is None:
-        dim_country = new_country if old is None else old.dim_country.unionByName(new_country)
+        dims = stage_dimensions(processed, existing)
+        known = dims.dim_country if existing is None else existing.dim_country.unionByName(dims.dim_country)
+        return Warehouse(**vars(dims), **stage_facts(processed, known, existing, validate))
+    fresh = dim_country if existing is None else dim_country.join(existing.dim_country.select("country"), "country", "left_anti")
+    dims = stage_dimensions(processed, existing, fresh)
+    return Warehouse(**vars(dims), **stage_facts(processed, dim_country, existing, validate))
+
 
+def stage_facts(processed: Processed, dim_country: DataFrame, existing: Warehouse | None = None,
+                validate: bool = True) -> dict[str, DataFrame]:
+    """The rows of the facts and the audit table."""
+    tx, old = _tx(processed), existing
     keyed = X.with_keys(tx, dim_country)
-    months = _months(keyed) if old is not None and old.path else None
+    seen = validate_facts(keyed) if validate else None
+    months = None
+    if old is not None and old.path:
+        months = seen if seen is not None else _months(keyed)
 
     def target_of(table: str) -> DataFrame | None:
         """Existing rows that a row of the batch can conflict with."""
-        if old is None:
-            return None
-        part = None if months is None else _read_or_empty(tx.sparkSession, old.path, table, with_partition=True)
-        return getattr(old, table) if part is None else part.filter(F.col(MONTH).isin(months)).drop(MONTH)
+        if months is None:
+            return None if old is None else getattr(old, table)
+        part = read_table(tx.sparkSession, old.path, table, with_partition=True, snapshot=old.snapshot)
+        return part.filter(F.col(MONTH).isin(months)).drop(MONTH)
 
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
@@ -142,11 +156,8 @@ def stage(processed: Processed, existing: Warehouse | None = None,
         facts[table] = new.select(*[c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col])
     ns = X.non_sale_fact(keyed.filter(F.col("kind") == "non_sales"))
     facts["fact_non_sale"] = X.multiset_insert(ns, target_of("fact_non_sale"), X.NON_SALE_COLUMNS)
-    if validate:
-        validate_facts(keyed)
-    return Warehouse(
-        dim_product=dim_product, dim_customer=dim_customer, dim_country=new_country,
-        dim_date=dim_date, data_quality_potential_duplicates=X.audit_rows(audit), **facts)
+    facts[AUDIT] = X.audit_rows(D.clean(processed.audit))
+    return facts
 
 
 def _conform(df: DataFrame, name: str, *extra: str) -> DataFrame:
@@ -154,37 +165,44 @@ def _conform(df: DataFrame, name: str, *extra: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
 
 
-def read_table(spark: SparkSession, path: str, name: str, with_partition: bool = False) -> DataFrame:
-    """One written table with its declared schema; fact tables carry the
-    ``month_key`` partition column only when asked for (partition pruning)."""
+def _files(spark: SparkSession, path: str, name: str, schema: T.StructType, snapshot: V.Snapshot,
+           months: list[int] | None = None) -> DataFrame:
+    """The rows of a table's files in one version (of some months only)."""
+    files = snapshot.paths(path, name, None if months is None else {f"{MONTH}={m}" for m in months})
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/{name}").parquet(*files)
+
+
+def read_table(spark: SparkSession, path: str, name: str, with_partition: bool = False,
+               snapshot: V.Snapshot | None = None) -> DataFrame:
+    """One written table with its declared schema, as of ``snapshot`` (by
+    default the newest version); fact tables carry the ``month_key``
+    partition column only when asked for (partition pruning)."""
     schema = S.WAREHOUSE_SCHEMAS[name]
+    snapshot = snapshot or V.current(spark, path) or V.Snapshot()
     if name not in PARTITIONED:
-        return spark.read.schema(schema).parquet(f"{path}/{name}")
+        return _files(spark, path, name, schema, snapshot)
     full = T.StructType(list(schema.fields) + [T.StructField(MONTH, T.IntegerType())])
-    df = spark.read.schema(full).parquet(f"{path}/{name}")
+    df = _files(spark, path, name, full, snapshot)
     return df if with_partition else df.select(*schema.fieldNames())
 
 
-def open_warehouse(spark: SparkSession, path: str) -> Warehouse:
-    """The nine tables of a written warehouse, with declared schemas."""
-    return Warehouse(path=path, **{name: read_table(spark, path, name) for name in S.WAREHOUSE_SCHEMAS})
+def open_warehouse(spark: SparkSession, path: str, snapshot: V.Snapshot | None = None) -> Warehouse:
+    """The nine tables of a written warehouse, all of one version. Tables
+    without files (nothing was ever published, or the table is empty) read as empty."""
+    snapshot = snapshot or V.current(spark, path) or V.Snapshot()
+    return Warehouse(path=path, snapshot=snapshot, **{n: read_table(spark, path, n, snapshot=snapshot) for n in S.WAREHOUSE_SCHEMAS})
 
 
 def _read_or_empty(spark: SparkSession, path: str, name: str,
                    with_partition: bool = False) -> DataFrame | None:
-    return read_table(spark, path, name, with_partition) if path_exists(spark, f"{path}/{name}") else None
+    return read_table(spark, path, name, with_partition) if V.exists(spark, path) else None
 
 
 def try_open(spark: SparkSession, path: str) -> Warehouse | None:
-    """The warehouse at ``path``, or None when nothing is there. Tables that
-    are missing (a load interrupted after the dimensions were written) read
-    as empty, so re-running the load completes it without duplicating the
-    tables that were already written."""
-    found = {n: _read_or_empty(spark, path, n) for n in S.WAREHOUSE_SCHEMAS}
-    if all(df is None for df in found.values()):
-        return None
-    return Warehouse(path=path, **{n: df if df is not None else spark.createDataFrame([], S.WAREHOUSE_SCHEMAS[n])
-                                   for n, df in found.items()})
+    """The warehouse at ``path``, or None when no load was ever published there."""
+    return open_warehouse(spark, path) if V.exists(spark, path) else None
 
 
 ID_COLUMNS = {name: schema.fieldNames()[0] for name, schema in S.WAREHOUSE_SCHEMAS.items() if name in PARTITIONED}
@@ -227,48 +245,72 @@ def _write_all(jobs: list[tuple[DataFrame, str, str]], parallel: int = 4) -> dic
 DIMENSIONS = ["dim_product", "dim_customer", "dim_country", "dim_date"]
 FACTS = FACT_TABLES
 
-LOG = "_load_log"
-LOG_SCHEMA = "load bigint, table_name string, rows bigint, top_id bigint"
 LINES = "_lines"
 LINE_KEY = "line_key"
+GROUPS, BITS = "_line_groups", "_line_group_bits"
+GROUP_HASH = "group_hash"
+_GROUPS_SCHEMA = T.StructType([T.StructField(GROUP_HASH, T.LongType()), T.StructField(MONTH, T.IntegerType())])
+_BITS_SCHEMA = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("bitmap", T.BinaryType()),
+                             T.StructField("log_bits", T.IntegerType()), T.StructField(MONTH, T.IntegerType())])
 #: Columns that make two lines exact copies (T5), as processed lines hold them.
 _IDENTITY = ["InvoiceNo", "StockCode", "Description", "SignedQuantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "OriginalType"]
 _GROUP = ["InvoiceNo", "StockCode", "SignedQuantity"]
 
 
-def _log(spark: SparkSession, path: str, load_no: int, tables: dict[str, tuple[int, int]]) -> None:
-    spark.createDataFrame([(load_no, n, rows, top) for n, (rows, top) in tables.items()], LOG_SCHEMA) \
-        .coalesce(1).write.mode("append").parquet(f"{path}/{LOG}")
+def _keyed_lines(lines: DataFrame) -> DataFrame:
+    """Processed lines with the digest of their identity, their group's hash and their month."""
+    text = F.to_json(F.struct(*_IDENTITY), {"ignoreNullFields": "false"})
+    return lines.withColumns({LINE_KEY: F.md5(text), GROUP_HASH: F.xxhash64(*_GROUP),
+                              MONTH: (X.date_key(F.col("InvoiceDate")) / 100).cast("int")})
 
 
-def _history(spark: SparkSession, path: str, wh: Warehouse) -> tuple[int, dict[str, int]]:
-    """(number of the last load, largest id per table), from the load log:
-    a few rows per load, never the facts. If the last load did not end, its
-    ids are not in the log, and the id columns are read once."""
-    loads = []
-    if path_exists(spark, f"{path}/{LOG}"):
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/{LOG}")
-        loads = log.groupBy("load").agg(F.bool_or(F.col("table_name") == "end").alias("ended")).orderBy(F.desc("load")).limit(1).collect()
-    if loads and loads[0].ended:
-        return loads[0].load, {r.table_name: r.top for r in log.groupBy("table_name").agg(F.max("top_id").alias("top")).collect()}
-    tops = {n: getattr(wh, n).agg(F.coalesce(F.max(c), F.lit(0))).first()[0] for n, c in ID_COLUMNS.items()}
-    return loads[0].load if loads else 0, tops
+def _log_bits(n: int) -> int:
+    """Size (log 2) of the bit table of ``n`` groups: some 16 bits for each."""
+    return max(15, min(36, (16 * max(n, 1)).bit_length()))
 
 
-def _keyed_lines(lines: DataFrame) -> DataFrame:
-    """Processed lines with the digest of their identity and their month."""
-    text = F.to_json(F.struct(*_IDENTITY), {"ignoreNullFields": "false"})
-    return lines.withColumns({LINE_KEY: F.md5(text), MONTH: (X.date_key(F.col("InvoiceDate")) / 100).cast("int")})
+def _group_bits(groups: DataFrame, n: int) -> DataFrame:
+    """A Bloom filter (one bit per group) of each month of ``groups``, in
+    Spark's bitmaps of 32,768 bits: month, log_bits, bucket, bitmap."""
+    size = _log_bits(n)
+    place = F.shiftrightunsigned(F.col(GROUP_HASH), 64 - size) + 1
+    return groups.select(MONTH, place.alias("place")).groupBy(MONTH, F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")).withColumn("log_bits", F.lit(size))
+
 
+def touched_months(spark: SparkSession, path: str, snapshot: V.Snapshot, groups: DataFrame) -> list[int]:
+    """Months that hold stored lines of any of ``groups`` (column group_hash).
 
-def _against_stored(spark: SparkSession, processed: Processed, path: str) -> tuple[Processed, DataFrame]:
+    The months' Bloom filters leave few months, whose index (group, month) is
+    then compared exactly; lines are not read. Both are stored by month."""
+    bits = _files(spark, path, BITS, _BITS_SCHEMA, snapshot)
+    sizes = [r[0] for r in bits.select("log_bits").distinct().collect()]  # powers of two: a few values
+    if not sizes:
+        return []
+    place = [F.struct(F.lit(b).alias("log_bits"), (F.shiftrightunsigned(F.col(GROUP_HASH), 64 - b) + 1).alias("place")) for b in sizes]
+    asked = groups.select(F.explode(F.array(*place)).alias("a")).select(
+        "a.log_bits", F.bitmap_bucket_number("a.place").alias("bucket"), F.bitmap_bit_position("a.place").cast("int").alias("at")).distinct()
+    byte = F.conv(F.hex(F.substring("bitmap", (F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(byte, at % 8) & 1") == 1
+    maybe = [r[0] for r in asked.join(bits, ["log_bits", "bucket"]).withColumn("byte", byte).filter(hit).select(MONTH).distinct().collect()]
+    index = _files(spark, path, GROUPS, _GROUPS_SCHEMA, snapshot, maybe)
+    return [r[0] for r in index.join(groups, GROUP_HASH, "left_semi").select(MONTH).distinct().collect()]
+
+
+def _stored_lines(spark: SparkSession, path: str, snapshot: V.Snapshot, months: list[int], like: DataFrame) -> DataFrame:
+    schema = T.StructType([f for f in like.schema.fields if f.name != MONTH] + [T.StructField(MONTH, T.IntegerType())])
+    return _files(spark, path, LINES, schema, snapshot, months)
+
+
+def _against_stored(spark: SparkSession, processed: Processed, path: str, snapshot: V.Snapshot) -> tuple[Processed, DataFrame]:
     """The batch's lines that are not stored yet, with the audit rows of all
     groups (invoice, code, quantity) they belong to, recomputed over stored
-    and new lines; and the groups' keys. Stored lines are read for the
-    months of the batch only: a group lies within its invoice's month."""
+    and new lines; and the groups' keys. Stored lines are read for the months
+    that hold a group of the batch only, whichever months those are; an exact
+    copy of a line is in its group too."""
     batch = _keyed_lines(processed.lines)
-    months = [r[0] for r in batch.select(MONTH).distinct().collect() if r[0] is not None]
-    stored = spark.read.parquet(f"{path}/{LINES}").filter(F.col(MONTH).isin(months))
+    months = touched_months(spark, path, snapshot, batch.select(GROUP_HASH).distinct())
+    stored = _stored_lines(spark, path, snapshot, months, batch.select(*_IDENTITY, "kind", LINE_KEY, GROUP_HASH, MONTH))
     fresh = batch.join(stored.select(LINE_KEY), LINE_KEY, "left_anti")
     groups = fresh.select(*[F.col(c).alias(f"_{c}") for c in _GROUP]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _GROUP])
@@ -276,78 +318,79 @@ def _against_stored(spark: SparkSession, processed: Processed, path: str) -> tup
     around = stored.join(groups, same, "left_semi").select(*columns).unionByName(fresh.select(*columns))
     flagged = Q.flag_potential_duplicates(around.drop("kind").withColumnRenamed("SignedQuantity", "Quantity"))
     audit = Q.potential_duplicates(flagged.withColumnRenamed("OriginalType", "TransactionType"))
-    return Processed(lines=fresh.drop(LINE_KEY, MONTH), audit=audit), groups
+    return Processed(lines=fresh.drop(LINE_KEY, GROUP_HASH, MONTH), audit=audit), groups
 
 
-def _audit_months(spark: SparkSession, path: str, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The audit table's months of ``rows`` after replacing the given groups."""
+def _audit_months(spark: SparkSession, path: str, snapshot: V.Snapshot, rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The audit table's months of ``rows`` after replacing the given groups, and those months."""
     months = [r[0] for r in rows.select((X.date_key(F.col("invoice_date")) / 100).cast("int").alias("m")).distinct().collect()]
-    old = _read_or_empty(spark, path, AUDIT, with_partition=True)
-    if old is None:
-        return rows
+    old = read_table(spark, path, AUDIT, with_partition=True, snapshot=snapshot)
     keys = D.clean(groups.select(F.col("_InvoiceNo").alias("InvoiceNo"), F.col("_StockCode").alias("StockCode"),
                                  F.col("_SignedQuantity").alias("quantity"))).withColumnsRenamed({"InvoiceNo": "i", "StockCode": "s", "quantity": "q"})
     gone = F.col("invoice_no").eqNullSafe(F.col("i")) & F.col("stock_code").eqNullSafe(F.col("s")) & F.col("quantity").eqNullSafe(F.col("q"))
     stay = old.filter(F.col(MONTH).isin(months)).drop(MONTH, ID_COLUMNS[AUDIT]).join(keys, gone, "left_anti")
-    return stay.unionByName(rows)
+    return stay.unionByName(rows), months
 
 
 def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = False, keep_lines: bool = True) -> Warehouse:
     """Append new dimension and fact rows (insert-ignore, so loading the
     same input twice changes nothing), bring the audit table up to date, reopen.
 
-    As in the reference, dimensions are appended first and the facts are keyed
-    from the dimension as written. Each append is one job under Spark's commit
-    protocol, so a lost executor only retries tasks and a failed job leaves no
-    partial files; independent tables are written concurrently. ``fresh``
-    skips probing ``path`` for an existing warehouse (a new, empty folder).
+    As in the reference, dimensions come first and the facts are keyed from
+    the dimension as written. Everything is written into the folder of this
+    attempt; one rename publishes all tables as the next version. A load that
+    dies at any point before changes nothing, and can be run again.
+    Independent tables are written concurrently. ``fresh`` says that ``path``
+    is a new, empty folder.
 
     A later load reads the history's touched months only. The processed lines
     are kept beside the tables (``keep_lines``; without them later loads see
-    their own lines only), so exact copies are found across loads and the
-    audit rows of every touched group are recomputed; other audit rows stay.
-    New rows are written aside first: empty tables are then skipped, and the
-    folder is deleted at the end. ``LAST_LOAD_REPORT`` holds the rows
-    inserted per table, as the writes count them.
+    their own lines only), with an index from groups to months, so exact
+    copies are found across loads and the audit rows of every touched group
+    are recomputed, in whichever months its lines lie; other audit rows stay.
+    ``LAST_LOAD_REPORT`` holds the rows inserted per table, as the writes
+    count them.
     """
-    existing = None if fresh else try_open(spark, path)
-    load_no, tops = (0, {}) if existing is None else _history(spark, path, existing)
-    groups, scratch, present = None, None, set()
-    if existing is not None:
-        scratch = scratch_path(spark, "load")
-        present = {n for n in S.WAREHOUSE_SCHEMAS if _read_or_empty(spark, path, n) is not None}
-        if _read_lines(spark, path) is not None:
-            processed, groups = _against_stored(spark, processed, path)
-            processed.lines.write.parquet(f"{scratch}/lines")
-            processed = Processed(spark.read.parquet(f"{scratch}/lines"), processed.audit)
-    _log(spark, path, load_no + 1, {"start": (0, 0)})
-
-    def aside(df: DataFrame, name: str) -> DataFrame | None:
-        """A table's new rows, written once; None if there are none to append."""
-        if scratch is None:
-            return df
-        df.write.parquet(f"{scratch}/{name}")
-        back = spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
-        return None if name in present and back.isEmpty() else back
+    if not fresh:
+        V.sweep(spark, path)
+    attempt = V.Attempt(spark, path)
+    base = attempt.base
+    existing = open_warehouse(spark, path, base) if base.version else None
+    # A history without stored lines stays without: they would be incomplete.
+    stored = bool(base.files.get(LINES))
+    keep_lines = keep_lines and (stored or not any(base.files.get(n) for n in FACTS))
+    groups, scratch = None, scratch_path(spark, "load") if stored else None
+    if stored:
+        processed, groups = _against_stored(spark, processed, path, base)
+        processed.lines.write.parquet(f"{scratch}/lines")
+        processed = Processed(spark.read.parquet(f"{scratch}/lines"), processed.audit)
 
     dims = stage_dimensions(processed, existing)
-    new = {n: aside(_conform(getattr(dims, n), n), n) for n in DIMENSIONS}
-    done = _write_all([(df, "append", f"{path}/{n}") for n, df in new.items() if df is not None])
-    written_countries = spark.read.schema(S.DIM_COUNTRY).parquet(f"{path}/dim_country")
-    staged = stage(processed, existing, dim_country=written_countries)
-    rows = {n: aside(getattr(staged, n), n) for n in FACTS}
-    audit = aside(staged.data_quality_potential_duplicates, AUDIT)
-    mode = "append"
-    if groups is not None and audit is not None and AUDIT in present:
-        audit, mode = aside(_audit_months(spark, path, audit, groups), f"{AUDIT}-months"), "overwrite"
-    rows[AUDIT] = audit
-    jobs = [(_numbered(df, n, tops.get(n, 0)), mode if n == AUDIT else "append", f"{path}/{n}") for n, df in rows.items() if df is not None]
-    # A history without stored lines stays without: they would be incomplete.
-    if keep_lines and (groups is not None or not present & set(FACTS)):
-        lines = _keyed_lines(processed.lines).select(*_IDENTITY, "kind", LINE_KEY, MONTH)
-        jobs.append((lines.hint("rebalance", MONTH), "append", f"{path}/{LINES}"))
+    # Few rows, many partitions: AQE merges them into few files.
+    done = _write_all([(_conform(getattr(dims, n), n).hint("rebalance"), "append", attempt.target(n)) for n in DIMENSIONS])
+    countries = spark.read.schema(S.DIM_COUNTRY).parquet(attempt.target("dim_country"))
+    if existing is not None:
+        countries = existing.dim_country.unionByName(countries)
+    rows = stage_facts(processed, countries, existing)
+    if groups is not None:
+        rows[AUDIT].write.parquet(f"{scratch}/{AUDIT}")
+        found = spark.read.schema(rows[AUDIT].schema).parquet(f"{scratch}/{AUDIT}")
+        rows[AUDIT], months = _audit_months(spark, path, base, found, groups)
+        attempt.replace(AUDIT, {f"{MONTH}={m}" for m in months})
+    jobs = [(_numbered(df, n, base.top_ids.get(n, 0)), "append", attempt.target(n)) for n, df in rows.items()]
+    if keep_lines:
+        lines = _keyed_lines(processed.lines).select(*_IDENTITY, "kind", LINE_KEY, GROUP_HASH, MONTH)
+        jobs.append((lines.hint("rebalance", MONTH), "append", attempt.target(LINES)))
+        index = lines.select(GROUP_HASH, MONTH).distinct()
+        jobs.append((index.hint("rebalance", MONTH), "append", attempt.target(GROUPS)))
     done |= _write_all(jobs)
-    _log(spark, path, load_no + 1, done | {"end": (0, 0)})
+    if keep_lines and done[GROUPS][0]:
+        index = spark.read.schema(_GROUPS_SCHEMA).parquet(attempt.target(GROUPS))
+        done |= _write_all([(_group_bits(index, done[GROUPS][0]).hint("rebalance", MONTH), "append", attempt.target(BITS))])
+    for name, (n, _) in done.items():
+        if not n:  # an empty table may still have a file
+            drop_path(spark, attempt.target(name))
+    attempt.publish({n: r for n, (r, _) in done.items()}, {n: top for n, (r, top) in done.items() if r and n in ID_COLUMNS})
     LAST_LOAD_REPORT.clear()
     LAST_LOAD_REPORT.update({n: done.get(n, (0, 0))[0] for n in S.WAREHOUSE_SCHEMAS})
     if scratch is not None:
@@ -358,18 +401,15 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
 LAST_LOAD_REPORT: dict[str, int] = {}
 
 
-def _read_lines(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(f"{path}/{LINES}") if path_exists(spark, f"{path}/{LINES}") else None
-
-
 def compact(spark: SparkSession, path: str, name: str, months: list[int]) -> None:
     """Rewrite months of a table that many small loads have cut into small
-    files. The rows are written aside first, then replace their months."""
-    scratch = scratch_path(spark, "compact")
-    read_table(spark, path, name, with_partition=True).filter(F.col(MONTH).isin(months)).write.parquet(scratch)
-    (spark.read.parquet(scratch).hint("rebalance", MONTH).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{path}/{name}"))
-    drop_path(spark, scratch)
+    files: a version of its own. The old files are deleted at once, so open
+    warehouses must be opened again."""
+    attempt = V.Attempt(spark, path)
+    old = read_table(spark, path, name, with_partition=True, snapshot=attempt.base).filter(F.col(MONTH).isin(months))
+    _write_all([(old.hint("rebalance", MONTH), "append", attempt.target(name))])
+    attempt.replace(name, {f"{MONTH}={m}" for m in months})
+    attempt.publish({}, {}, drop_replaced=True)
 
 
 def build(processed: Processed, validate: bool = True) -> Warehouse:
@@ -379,15 +419,13 @@ def build(processed: Processed, validate: bool = True) -> Warehouse:
 
 
 def reset(spark: SparkSession, path: str) -> None:
-    """Drop all nine tables (empty them), the stored lines and the load log."""
-    for name, schema in S.WAREHOUSE_SCHEMAS.items():
-        drop_path(spark, f"{path}/{name}")
-        if name not in PARTITIONED:
-            spark.createDataFrame([], schema).write.parquet(f"{path}/{name}")
-        else:
-            spark.createDataFrame([], schema).withColumn(MONTH, F.lit(None).cast("int")).write.partitionBy(MONTH).parquet(f"{path}/{name}")
-    for name in (LINES, LOG):
-        drop_path(spark, f"{path}/{name}")
+    """A version in which all nine tables and the stored lines are empty;
+    ids start again. The files are deleted, and later loads start afresh."""
+    V.sweep(spark, path)
+    attempt = V.Attempt(spark, path)
+    for name, folders in attempt.base.files.items():
+        attempt.replace(name, set(folders))
+    attempt.publish({}, dict.fromkeys(ID_COLUMNS, 0), drop_replaced=True)
 
 
 # Foreign keys and unique keys the reference declares in its DDL; Spark does

@@ -11,9 +11,10 @@ The patterns travel with the tasks in chunks of at most ``chunk_windows``
 windows, a checked bound: a benchmark beyond it is matched chunk by chunk
 over a written table that carries the hits found so far.
 
-Defined results: null text or one without words has no hits; items with a
-null id or without words are ignored; repeated item ids count once; an empty
-table gives no rows; every document row is judged on its own.
+Defined results: null text or one without words has no hits; items without
+words are ignored; words inside an item with a null id are hit, but such
+items are not counted or listed; repeated item ids count once; an empty table
+gives no rows; every document row is judged on its own.
 """
 
 from __future__ import annotations
@@ -109,6 +110,7 @@ def _scan(rows: list[tuple], width: int, with_text: bool):
                 n_words.append(len(w))
                 n_hit.append(int(hit.sum()))
                 bits.append(np.packbits(hit).tobytes() if n_hit[-1] else b"")
+                items.discard(None)
                 found.append(sorted(items))
             made = {"row": batch.column("row"), "text": batch.column("text"), "n_words": pa.array(n_words, pa.int64()),
                     "n_hit": pa.array(n_hit, pa.int64()), "hit_bits": pa.array(bits, pa.binary()),
@@ -119,19 +121,23 @@ def _scan(rows: list[tuple], width: int, with_text: bool):
     return scan
 
 
-def _chunks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple]]:
-    """Items in driver-sized chunks of at most ``limit`` words each (an item
-    is not split); a word starts at most one window."""
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
+def _chunks(benchmark: DataFrame, limit: int, width: int = WINDOW) -> Iterator[list[tuple]]:
+    """Items in driver-sized chunks of at most ``limit`` words each (a word
+    starts at most one window); a longer item is cut into parts that overlap
+    by all but one word of a window, so no window is lost."""
+    items = benchmark.filter("text IS NOT NULL").select(
         F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     chunk, size = [], 0
+    step = max(1, limit - width + 1)
     for row in items.toLocalIterator():
-        n = len(words(row.text))
-        if chunk and size + n > limit:
-            yield chunk
-            chunk, size = [], 0
-        chunk.append((row.item_id, row.text))
-        size += n
+        w = words(row.text)
+        for at in range(0, max(1, len(w) - width + 1), step):
+            part = w[at:at + step + width - 1]
+            if chunk and size + len(part) > limit:
+                yield chunk
+                chunk, size = [], 0
+            chunk.append((row.item_id, b" ".join(part).decode("utf-8", "surrogatepass")))
+            size += len(part)
     yield chunk
 
 
@@ -145,7 +151,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], width: int
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
     narrow = T.StructType([f for f in schema.fields if f.name != "text"])
     rows = None
-    for following in _chunks(benchmark, chunk_windows):
+    for following in _chunks(benchmark, chunk_windows, width):
         if rows is not None:
             state = staged(state.mapInArrow(_scan(rows, width, True), schema), "benchmark-hits")
         rows = following
@@ -170,7 +176,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
 #: DuckDB: occurrences of benchmark windows in table ``numbered(r, doc_id, text)``.
 FOUND_CTES = r"""
 dw AS (SELECT r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM numbered),
-bw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 patterns AS (SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p FROM bw, range(1, greatest(len(w) - 9, 1) + 1) t(i) WHERE len(w) > 0),
 spots AS (SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS p FROM dw, (SELECT DISTINCT m FROM patterns) k, range(1, len(w) - m + 2) t(i)),
 found AS (SELECT r, m, i, item FROM spots JOIN patterns USING (m, p))
@@ -178,7 +184,7 @@ found AS (SELECT r, m, i, item FROM spots JOIN patterns USING (m, p))
 
 DECONTAMINATION_SQL = "WITH numbered AS (SELECT row_number() OVER () AS r, * FROM documents)," + FOUND_CTES + """,
 hits AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS j FROM found) GROUP BY r),
-items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)

@@ -1,12 +1,14 @@
 """Operator 13, phrase collocation mining by Rabin-Karp fingerprints.
 
-Phrases are counted by length, one pass of the texts for each. Numpy prefix
-polynomials fingerprint every n-gram of a pass; a task sends, for each
-fingerprint it holds, its count, a check value and one occurrence pointer
-(the hash of a document that has it), and a shuffle aggregates them. An n-gram
-is sent only if both its (n-1)-grams may be frequent (the a-priori rule),
-which a bit table of at most 16 MB tells without false negatives; where it is
-saturated more is sent, and nothing is lost.
+Phrases are counted by length, in two passes of the texts each. Numpy prefix
+polynomials fingerprint every n-gram. The first pass only counts the leading
+40 bits of the fingerprints, of those n-grams of which both (n-1)-grams may be
+frequent (the a-priori rule). The second sends, for each fingerprint whose
+leading bits are frequent, its count, a check value and an occurrence pointer
+(the hash of a document that has it), and a shuffle aggregates them: a phrase
+that cannot be frequent costs a narrow row or none. Which leading bits are
+frequent, tasks read from a bit table of at most 16 MB without false
+negatives; where it is saturated more is sent, and nothing is lost.
 
 Collisions are verified against the text: fingerprints of frequent groups
 whose check values differ are looked up in the texts again and counted phrase
@@ -46,7 +48,7 @@ SPACES, BREAKS = b"\x20\x09", b".,;:!?\x0A\x0B\x0C\x0D"
 WORDS = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FLUSH = 1 << 20  # n-grams that a task aggregates at a time
-_POINTER_BITS = 40
+_POINTER_BITS = _BUCKET_BITS = 40
 
 _COUNTS = "fp long, check int, n long, doc long"
 _FOUND = "fp long, check int, words int, n long, lang string, phrase string, cuts array<struct<k:int,lf:long,lc:int,rf:long,rc:int>>"
@@ -72,46 +74,76 @@ def _seeds(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return _numbers(batch, "seed"), _numbers(batch, "seed2")
 
 
-def _wide(fp: np.ndarray, bits: int) -> np.ndarray:
-    return fp << np.uint64(64 - bits)
+def _bucket(fp: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits of fingerprints."""
+    return (fp << np.uint64(64 - bits)) >> np.uint64(64 - _BUCKET_BITS)
 
 
-def _count(n: int, bits: int, table):
-    """A pass that counts the n-grams of which both (n-1)-grams pass ``table``."""
-    def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        fp, check, doc = (np.concatenate(p) for p in zip(*parts))
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal rows (of one or more sorted arrays)."""
+    differ = np.ones(keys.shape[-1], bool)
+    differ[1:] = (keys[..., 1:] != keys[..., :-1]).any(axis=0) if keys.ndim > 1 else keys[1:] != keys[:-1]
+    return np.flatnonzero(differ)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[Words, tuple, np.ndarray]]:
+    slicer = Slicer(SPACES, BREAKS, n - 1)
+    for batch in batches:
+        seeds, pointer = _seeds(batch), _numbers(batch, "doc")
+        for words in slicer(_texts(batch)):
+            yield words, seeds, pointer
+
+
+def _flushed(found: Iterator[tuple[np.ndarray, ...]], row) -> Iterator[pa.RecordBatch]:
+    """Some million n-grams at a time, aggregated by ``row``."""
+    parts, held = [], 0
+    for arrays in found:
+        parts.append(arrays)
+        held += len(arrays[0])
+        if held >= _FLUSH:
+            yield row(*(np.concatenate(p) for p in zip(*parts)))
+            parts, held = [], 0
+    if held:
+        yield row(*(np.concatenate(p) for p in zip(*parts)))
+
+
+def _count_buckets(n: int, bits: int, shorter):
+    """Counts the leading bits of the n-grams of which both (n-1)-grams pass ``shorter``."""
+    def row(bucket: np.ndarray) -> pa.RecordBatch:
+        bucket = np.sort(bucket)
+        first = _runs(bucket)
+        size = np.diff(np.append(first, len(bucket)))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first].view(np.int64)), pa.array(size.astype(np.int64))], names=["bucket", "n"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for words, seeds, _ in _slices(batches, n):
+            ok = words.whole(n)
+            if shorter is not None and len(ok):
+                may = passes(shorter.value, _bucket(words.grams(n - 1, seeds, bits)[0], bits))
+                ok &= may[:-1] & may[1:]
+            yield (_bucket(words.grams(n, seeds, bits)[0][ok], bits),)
+
+    return lambda batches: _flushed(found(batches), row)
+
+
+def _count(n: int, bits: int, frequent):
+    """Counts the n-grams whose leading bits pass ``frequent``."""
+    def row(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(fp)
         fp, check, doc = fp[order], check[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])]))
+        first = _runs(np.stack([fp, check]))
         size = np.diff(np.append(first, len(fp)))
         arrays = [fp[first].view(np.int64), check[first].astype(np.uint32).view(np.int32), size.astype(np.int64),
                   np.minimum.reduceat(doc, first).view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["fp", "check", "n", "doc"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slicer = Slicer(SPACES, BREAKS, n - 1)
-        parts, held = [], 0
-        for batch in batches:
-            seeds, pointer = _seeds(batch), _numbers(batch, "doc")
-            for words in slicer(_texts(batch)):
-                ok = words.whole(n)
-                if not ok.any():
-                    continue
-                if table is not None:
-                    shorter = passes(table.value, _wide(words.grams(n - 1, seeds, bits)[0], bits))
-                    ok &= shorter[:-1] & shorter[1:]
-                at = np.flatnonzero(ok)
-                if not len(at):
-                    continue
-                fp, check = words.grams(n, seeds, bits)
-                parts.append((fp[at], check[at], pointer[words.doc[at]]))
-                held += len(at)
-                if held >= _FLUSH:
-                    yield flush(parts)
-                    parts, held = [], 0
-        if parts:
-            yield flush(parts)
-    return run
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for words, seeds, pointer in _slices(batches, n):
+            fp, check = words.grams(n, seeds, bits)
+            at = np.flatnonzero(words.whole(n) & passes(frequent.value, _bucket(fp, bits)))
+            yield fp[at], check[at], pointer[words.doc[at]]
+
+    return lambda batches: _flushed(found(batches), row)
 
 
 def _describe(words: Words, n: int, at: np.ndarray, counts: np.ndarray, seeds, bits: int, langs: list[str]) -> Iterator[tuple]:
@@ -144,7 +176,7 @@ def _occurrences(n: int, bits: int, table):
             seeds, langs = _seeds(batch), batch.column("lang").to_pylist()
             for words in slicer(_texts(batch)):
                 fp, check = words.grams(n, seeds, bits)
-                at = np.flatnonzero(words.whole(n) & passes(table.value, _wide(fp, bits)))
+                at = np.flatnonzero(words.whole(n) & passes(table.value, _bucket(fp, bits)))
                 if len(at):
                     groups: dict[tuple, list[int]] = {}
                     for i in at.tolist():
@@ -196,10 +228,13 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     """
     spark, source = docs.sparkSession, prepared(docs)
     clean_key = (F.col("low") == F.col("high"))
-    table, known, alone, written = None, [], [], []
+    marks, known, alone, written = None, [], [], []
     for n in range(1, longest + 1):
+        buckets = source.mapInArrow(_count_buckets(n, bits, marks), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("a"))
+        buckets = staged(buckets.filter(F.col("a") >= min_count), f"phrase-buckets-{n}")
+        marks = spark.sparkContext.broadcast(bit_table(buckets, "bucket", _BUCKET_BITS, buckets.count()))
         pointer = F.min("doc") if n > 1 else F.max(F.lit(0)).cast("long")  # single words are never read
-        counted = source.mapInArrow(_count(n, bits, table), _COUNTS).groupBy("fp").agg(
+        counted = source.mapInArrow(_count(n, bits, marks), _COUNTS).groupBy("fp").agg(
             F.sum("n").alias("a"), F.min("check").alias("low"), F.max("check").alias("high"), pointer.alias("doc"))
         level = staged(counted.filter(F.col("a") >= min_count).withColumn("words", F.lit(n)), f"phrases-{n}")
         seen = level.agg(F.count(F.lit(1)).alias("all"), F.count_if(~clean_key).alias("shared")).first()
@@ -212,16 +247,14 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
         if seen["shared"]:
             # Collisions: every occurrence is read and counted by its text.
             shared = level.filter(~clean_key).select("fp")
-            marks = spark.sparkContext.broadcast(bit_table(shared.select(F.shiftleft("fp", 64 - bits).alias("fp")), "fp", 64, seen["shared"]))
-            read = source.mapInArrow(_occurrences(n, bits, marks), _FOUND).join(shared, "fp", "left_semi")
+            again = shared.select(F.shiftrightunsigned(F.shiftleft("fp", 64 - bits), 64 - _BUCKET_BITS).alias("bucket"))
+            collided = spark.sparkContext.broadcast(bit_table(again, "bucket", _BUCKET_BITS, seen["shared"]))
+            read = source.mapInArrow(_occurrences(n, bits, collided), _FOUND).join(shared, "fp", "left_semi")
             by_text = read.groupBy("fp", "check", "words", "lang", "phrase", "cuts").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count)
             by_text = staged(by_text, f"phrases-{n}-by-text")
             known.append(by_text.select("fp", "check", "a"))
             if n > 1:
                 written.append(by_text.select("fp", "check", "a", "words", "lang", "phrase", "cuts"))
-        if n < longest:
-            widened = level.select(F.shiftleft("fp", 64 - bits).alias("fp"))
-            table = spark.sparkContext.broadcast(bit_table(widened, "fp", 64, seen["all"]))
     none = spark.createDataFrame([], "fp long, check int, a long, words int, doc long")
     known = reduce(DataFrame.unionByName, known) if known else none.select("fp", "check", "a")
     pointed = reduce(DataFrame.unionByName, alone) if alone else none

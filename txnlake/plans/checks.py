@@ -21,9 +21,10 @@ from ..operators import profile as P
 from ..operators.ranking import global_rank, ntile_global
 from ..session import scratch_path
 from ..sources.files import read_raw
+from . import snapshots
 from .etl import processed_for, raw_for, run, warehouse_for
 from .views import diagnostics as DG
-from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, NOT_NULL, UNIQUE_KEYS, audit_integrity
+from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, MONTH, NOT_NULL, UNIQUE_KEYS, audit_integrity, reset
 
 
 def _dbl(df: DataFrame) -> DataFrame:
@@ -88,14 +89,54 @@ def _loaded_in_parts(spark: SparkSession, sf: str):
     return _PARTS[key]
 
 
-def _incremental_fact(name: str, *drop: str) -> Callable[[SparkSession, str], DataFrame]:
+def _incremental_fact(name: str, *drop: str, loaded=None) -> Callable[[SparkSession, str], DataFrame]:
     """A fact without its id, with the country's name (keys depend on the order of loading)."""
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        wh = _loaded_in_parts(spark, sf)
+        wh = (loaded or _loaded_in_parts)(spark, sf)
         return _dbl(getattr(wh, name).join(wh.dim_country, "country_key").drop("country_key", *drop))
     return query
 
 
+def _resumed(spark: SparkSession, sf: str):
+    """Even raw lines are loaded; two loads of the odd ones die, one after it
+    wrote its facts and one after it also moved them into place; then the odd
+    lines are loaded."""
+    raw, path = raw_for(spark, sf), scratch_path(spark, "warehouse-resumed")
+    wh = run(spark, raw.filter(F.col("_ord") % 2 == 0), path)
+    for moved in (False, True):
+        dead = snapshots.Attempt(spark, path)
+        for name in FACT_TABLES:
+            rows = getattr(wh, name).withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
+            rows.write.partitionBy(MONTH).parquet(dead.target(name))
+            if moved:
+                dead.settle(name)
+    return run(spark, raw.filter(F.col("_ord") % 2 == 1), path)
+
+
+def _after_reset(spark: SparkSession, sf: str):
+    """Odd lines, a reset, then even lines and odd lines."""
+    raw, path = raw_for(spark, sf), scratch_path(spark, "warehouse-reset")
+    run(spark, raw.filter(F.col("_ord") % 2 == 1), path)
+    reset(spark, path)
+    run(spark, raw.filter(F.col("_ord") % 2 == 0), path)
+    return run(spark, raw.filter(F.col("_ord") % 2 == 1), path)
+
+
+def _across_months(spark: SparkSession, sf: str):
+    """Groups that span months, also those of the null invoice, loaded in two
+    parts: lines with an odd number of pence are forty days later."""
+    raw, path = raw_for(spark, sf), scratch_path(spark, "warehouse-months")
+    later = "make_dt_interval(if(cast(round(UnitPrice * 100) as bigint) % 2 <> 0, 40, 0))"
+    moved = raw.withColumns({"InvoiceNo": F.expr("CASE WHEN InvoiceNo NOT LIKE '%2' THEN InvoiceNo END"),
+                             "InvoiceDate": F.expr(f"CAST(InvoiceDate + {later} AS timestamp_ntz)")})
+    run(spark, moved.filter(F.col("_ord") % 2 == 0), path)
+    return run(spark, moved.filter(F.col("_ord") % 2 == 1), path)
+
+
+def _audit_of(loaded) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda s, sf: _dbl(loaded(s, sf).data_quality_potential_duplicates.drop("quality_issue_id"))
+
+
 def _ids(spark: SparkSession, sf: str) -> DataFrame:
     """L14 after three loads: ids are unique, and later loads' ids lie above earlier ones'."""
     wh = _loaded_in_parts(spark, sf)
@@ -170,7 +211,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L14_ids": _ids,
         "L15_incremental_sales": _incremental_fact("fact_sales", "sale_id"),
         "L15_incremental_non_sales": _incremental_fact("fact_non_sale", "non_sale_id", "row_hash"),
-        "L15_incremental_audit": lambda s, sf: _dbl(_loaded_in_parts(s, sf).data_quality_potential_duplicates.drop("quality_issue_id")),
+        "L15_incremental_audit": _audit_of(_loaded_in_parts),
+        "L15_incremental_cancellations": _incremental_fact("fact_cancellations", "cancel_id"),
+        "L15_incremental_adjustments": _incremental_fact("fact_adjustment", "adjustment_id"),
+        "L15_resumed_sales": _incremental_fact("fact_sales", "sale_id", loaded=_resumed),
+        "L15_after_reset_audit": _audit_of(_after_reset),
+        "L15_groups_across_months": _audit_of(_across_months),
         "S1_S2_raw_files": _raw_files,
         "T1_T2_types": _types,
         "R1_global_rank": _rank,
@@ -268,11 +314,15 @@ def oracle_sql() -> dict[str, str]:
         "L13_planted_violations": O.sql(_planted_sql()),
         "L14_ids": O.sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS rows_per_id, true AS positive FROM {t}"
                                            for n, t in _ID_TABLES.items())),
-        "L15_incremental_sales": O.sql("""SELECT f.* EXCLUDE (country_key) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
-            CAST(revenue AS DOUBLE) AS revenue), country FROM fact_sales f JOIN dim_country USING (country_key)"""),
+        **{key: O.sql(f"""SELECT f.* EXCLUDE (country_key) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
+            CAST(revenue AS DOUBLE) AS revenue), country FROM {fact} f JOIN dim_country USING (country_key)""")
+           for key, fact in (("L15_incremental_sales", "fact_sales"), ("L15_resumed_sales", "fact_sales"),
+                             ("L15_incremental_cancellations", "fact_cancellations"), ("L15_incremental_adjustments", "fact_adjustment"))},
         "L15_incremental_non_sales": O.sql("""SELECT f.* EXCLUDE (country_key) REPLACE (CAST(unit_price AS DOUBLE) AS unit_price),
             country FROM fact_non_sale f JOIN dim_country USING (country_key)"""),
         "L15_incremental_audit": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
+        "L15_after_reset_audit": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
+        "L15_groups_across_months": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq", moved=True),
         "S1_S2_raw_files": O.sql("""SELECT InvoiceNo, StockCode, Description || ' 36" wide, "large" \\' AS Description,
             Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM raw"""),
         "T1_T2_types": O.sql("""SELECT CASE WHEN Quantity % 4 IN (0, 1, 2) THEN InvoiceDate END AS InvoiceDate,

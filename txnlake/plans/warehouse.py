@@ -31,10 +31,10 @@ class Warehouse:
     fact_non_sale: DataFrame
     data_quality_potential_duplicates: DataFrame
     path: str | None = None  # set when opened from written tables
-    snapshot: V.Snapshot | None = None  # the version that was opened
+    by_month: dict[str, DataFrame] | None = None  # then also: tables with their partition column
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("path", "snapshot")}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("path", "by_month")}
 
 
 # Facts are stored partitioned by month (date_key div 100). A row hash covers
@@ -146,8 +146,7 @@ def stage_facts(processed: Processed, dim_country: DataFrame, existing: Warehous
         """Existing rows that a row of the batch can conflict with."""
         if months is None:
             return None if old is None else getattr(old, table)
-        part = read_table(tx.sparkSession, old.path, table, with_partition=True, snapshot=old.snapshot)
-        return part.filter(F.col(MONTH).isin(months)).drop(MONTH)
+        return old.by_month[table].filter(F.col(MONTH).isin(months)).drop(MONTH)
 
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
@@ -192,7 +191,9 @@ def open_warehouse(spark: SparkSession, path: str, snapshot: V.Snapshot | None =
     """The nine tables of a written warehouse, all of one version. Tables
     without files (nothing was ever published, or the table is empty) read as empty."""
     snapshot = snapshot or V.current(spark, path) or V.Snapshot()
-    return Warehouse(path=path, snapshot=snapshot, **{n: read_table(spark, path, n, snapshot=snapshot) for n in S.WAREHOUSE_SCHEMAS})
+    tables = {n: read_table(spark, path, n, with_partition=True, snapshot=snapshot) for n in S.WAREHOUSE_SCHEMAS}
+    return Warehouse(path=path, by_month={n: tables[n] for n in PARTITIONED},
+                     **{n: df.select(*S.WAREHOUSE_SCHEMAS[n].fieldNames()) for n, df in tables.items()})
 
 
 def _read_or_empty(spark: SparkSession, path: str, name: str,
@@ -321,10 +322,9 @@ def _against_stored(spark: SparkSession, processed: Processed, path: str, snapsh
     return Processed(lines=fresh.drop(LINE_KEY, GROUP_HASH, MONTH), audit=audit), groups
 
 
-def _audit_months(spark: SparkSession, path: str, snapshot: V.Snapshot, rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, list[int]]:
+def _audit_months(old: DataFrame, rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, list[int]]:
     """The audit table's months of ``rows`` after replacing the given groups, and those months."""
     months = [r[0] for r in rows.select((X.date_key(F.col("invoice_date")) / 100).cast("int").alias("m")).distinct().collect()]
-    old = read_table(spark, path, AUDIT, with_partition=True, snapshot=snapshot)
     keys = D.clean(groups.select(F.col("_InvoiceNo").alias("InvoiceNo"), F.col("_StockCode").alias("StockCode"),
                                  F.col("_SignedQuantity").alias("quantity"))).withColumnsRenamed({"InvoiceNo": "i", "StockCode": "s", "quantity": "q"})
     gone = F.col("invoice_no").eqNullSafe(F.col("i")) & F.col("stock_code").eqNullSafe(F.col("s")) & F.col("quantity").eqNullSafe(F.col("q"))
@@ -375,7 +375,7 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     if groups is not None:
         rows[AUDIT].write.parquet(f"{scratch}/{AUDIT}")
         found = spark.read.schema(rows[AUDIT].schema).parquet(f"{scratch}/{AUDIT}")
-        rows[AUDIT], months = _audit_months(spark, path, base, found, groups)
+        rows[AUDIT], months = _audit_months(existing.by_month[AUDIT], found, groups)
         attempt.replace(AUDIT, {f"{MONTH}={m}" for m in months})
     jobs = [(_numbered(df, n, base.top_ids.get(n, 0)), "append", attempt.target(n)) for n, df in rows.items()]
     if keep_lines:

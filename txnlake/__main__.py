@@ -23,7 +23,7 @@ from .sources import files as IO
 
 
 def _transform(spark, ids: str, features: str, out: str, fmt: str) -> None:
-    IO.write_processed(transform(IO.read_raw(spark, ids, features)).lines, out, fmt)
+    IO.write_processed(transform(IO.read_raw(spark, ids, features, multi_line=True)).lines, out, fmt)
 
 
 def _load(spark, processed: str, warehouse: str) -> dict:

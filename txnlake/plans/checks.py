@@ -145,12 +145,12 @@ def _ids(spark: SparkSession, sf: str) -> DataFrame:
     return each.groupBy("table_name").agg(F.sum("count").alias("rows"), F.max("count").alias("rows_per_id"), (F.min("id") > 0).alias("positive"))
 
 
-def _raw_files(spark: SparkSession, sf: str) -> DataFrame:
+def _raw_files(spark: SparkSession, sf: str, tail: str = ' 36" wide, "large" \\', multi_line: bool = False) -> DataFrame:
     """S1 + S2: the raw feed written as two CSV files with quotes, commas and
-    ``6.0`` numbers, read back through the raw reader."""
+    ``6.0`` numbers (and line ends), read back through the raw reader."""
     raw = raw_for(spark, sf)
     path = scratch_path(spark, "raw-files")
-    told = raw.withColumn("Description", F.concat("Description", F.lit(' 36" wide, "large" \\')))
+    told = raw.withColumn("Description", F.concat("Description", F.lit(tail)))
     # One file each: the two files are aligned by row position.
     ordered = staged_order(told)
     ids = ordered.select("InvoiceNo", "StockCode")
@@ -158,7 +158,7 @@ def _raw_files(spark: SparkSession, sf: str) -> DataFrame:
                           F.col("CustomerID").cast("double").alias("CustomerID"), "Country")
     for df, name in ((ids, "ids"), (rest, "data")):
         df.write.options(header=True, escape='"').csv(f"{path}/{name}")
-    return read_raw(spark, f"{path}/ids", f"{path}/data").drop("_ord")
+    return read_raw(spark, f"{path}/ids", f"{path}/data", multi_line=multi_line).drop("_ord")
 
 
 def staged_order(raw: DataFrame) -> DataFrame:
@@ -218,6 +218,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L15_after_reset_audit": _audit_of(_after_reset),
         "L15_groups_across_months": _audit_of(_across_months),
         "S1_S2_raw_files": _raw_files,
+        "S1_quoted_line_ends": lambda s, sf: _raw_files(s, sf, ' two\n\n"lines",\nend', multi_line=True),
         "T1_T2_types": _types,
         "R1_global_rank": _rank,
         "R1_ntile": _ntile,
@@ -325,6 +326,8 @@ def oracle_sql() -> dict[str, str]:
         "L15_groups_across_months": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq", moved=True),
         "S1_S2_raw_files": O.sql("""SELECT InvoiceNo, StockCode, Description || ' 36" wide, "large" \\' AS Description,
             Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM raw"""),
+        "S1_quoted_line_ends": O.sql("""SELECT InvoiceNo, StockCode, Description || ' two' || chr(10) || chr(10) || '"lines",' || chr(10) || 'end' AS Description,
+            Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM raw"""),
         "T1_T2_types": O.sql("""SELECT CASE WHEN Quantity % 4 IN (0, 1, 2) THEN InvoiceDate END AS InvoiceDate,
             CASE WHEN Quantity % 4 <> 2 THEN CustomerID END AS CustomerID, COUNT(*) AS rows FROM raw GROUP BY ALL"""),
         "R1_global_rank": O.sql("""

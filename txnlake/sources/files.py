@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..operators.classify import parse_timestamp
 from ..session import scratch_path
+from . import quoted_csv
 
 _LOCAL_BITS = 33
 
@@ -35,8 +36,8 @@ def as_text(schema: T.StructType) -> T.StructType:
 
 def csv_options(multi_line: bool = False) -> dict[str, str]:
     """Quotes are doubled inside quotes, a backslash is a character like any
-    other. ``multi_line`` lets quoted fields hold line ends; such files
-    cannot be split, so it costs parallelism on large files."""
+    other. ``multi_line`` (of a reader that takes whole files) lets quoted
+    fields hold line ends; ``quoted_csv`` does so and still splits files."""
     return {"header": "true", "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(),
             "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
 
@@ -61,10 +62,18 @@ def typed(df: DataFrame, schema: T.StructType, *keep: Column, bad: str = "_bad")
     return df.select(*out, wrong.alias(bad), *keep)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_quoted_csv(spark: SparkSession, path: str, schema: T.StructType, col: str = "_ord") -> tuple[DataFrame, int]:
+    """S1 with line ends inside quotes, by splits: typed rows with their file
+    position ``col`` and ``_bad``, and the number of rows."""
+    rows, total = quoted_csv.records(spark, path)
+    options = {k: v for k, v in csv_options().items() if k not in ("header", "multiLine", "columnPruning")}
+    return typed(quoted_csv.parsed(rows, as_text(schema), options), schema, F.col("_ord").alias(col)), total
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A headered CSV with a declared schema (no inference), as the
     reference's reader takes it; ``_bad`` marks rows that do not parse."""
-    scan = spark.read.schema(as_text(schema)).options(**csv_options(multi_line)).csv(path)
+    scan = spark.read.schema(as_text(schema)).options(**csv_options()).csv(path)
     return typed(scan, schema, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
 
@@ -107,8 +116,11 @@ def zip_columns(left: DataFrame, right: DataFrame, col: str = "_ord", on_bad: st
     (``on_bad="raise"``); ``"null"`` keeps them with nulls in the fields
     that failed.
     """
-    li, n_left, bad_left = with_row_index(left, col)
-    ri, n_right, bad_right = with_row_index(right, col)
+    return _zip(with_row_index(left, col), with_row_index(right, col), col, on_bad)
+
+
+def _zip(left: tuple[DataFrame, int, int], right: tuple[DataFrame, int, int], col: str, on_bad: str) -> DataFrame:
+    (li, n_left, bad_left), (ri, n_right, bad_right) = left, right
     if on_bad == "raise" and bad_left + bad_right:
         raise RawDataError(f"{bad_left} rows of the first file and {bad_right} of the second do not parse")
     if n_left != n_right:
@@ -123,10 +135,18 @@ def customer_id(c: Column) -> Column:
 
 def read_raw(spark: SparkSession, ids_path: str, features_path: str, multi_line: bool = False,
              on_bad: str = "raise") -> DataFrame:
-    """S1 + S2 + T1 + T2: the raw feed with its file position in ``_ord``."""
-    ids = read_raw_csv(spark, ids_path, S.IDS_FILE_SCHEMA, multi_line)
-    feats = read_raw_csv(spark, features_path, S.FEATURES_FILE_SCHEMA, multi_line)
-    raw = zip_columns(ids, feats, on_bad=on_bad)
+    """S1 + S2 + T1 + T2: the raw feed with its file position in ``_ord``.
+    ``multi_line``: quoted fields may hold line ends (files are split all the same)."""
+    files = ((ids_path, S.IDS_FILE_SCHEMA), (features_path, S.FEATURES_FILE_SCHEMA))
+    if multi_line:
+        sides = []
+        for path, schema in files:
+            rows, total = read_quoted_csv(spark, path, schema)
+            wrong = rows.agg(F.count_if("_bad")).first()[0] if on_bad == "raise" else 0
+            sides.append((rows, total, wrong))
+        raw = _zip(*sides, "_ord", on_bad)
+    else:
+        raw = zip_columns(*[read_raw_csv(spark, path, schema) for path, schema in files], on_bad=on_bad)
     return raw.select(
         "InvoiceNo", "StockCode", "Description", "Quantity",
         parse_timestamp(F.col("InvoiceDate")).alias("InvoiceDate"),

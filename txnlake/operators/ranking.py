@@ -1,5 +1,9 @@
 """Exact global rank, NTILE, median and top-k share.
 
+Views that only ask where a tile or a median lies do not rank at all: the row
+at a position is selected in a few passes (``rows_at``), and the rows up to
+it are a plain filter (``up_to``). The rest of this text is about ranks.
+
 A window with no PARTITION BY plans ``Exchange SinglePartition``: one task
 sorts everything. Here the rows are range-partitioned on the full order
 (callers append a unique tie-break key, so a heavily tied value is still
@@ -12,6 +16,8 @@ partition reaches the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,25 +83,95 @@ def row_number_global(df: DataFrame, order: list[Column], col: str = "row_number
     return global_rank(df, order, rank_col=col)[0]
 
 
+@dataclass(frozen=True)
+class Order:
+    """One column of a total order."""
+    name: str
+    descending: bool = False
+    nulls_first: bool = False
+
+    def column(self) -> Column:
+        c = F.col(self.name)
+        if self.descending:
+            return c.desc_nulls_first() if self.nulls_first else c.desc_nulls_last()
+        return c.asc_nulls_first() if self.nulls_first else c.asc_nulls_last()
+
+    def before(self, value) -> Column:
+        """Whether a row's value precedes ``value``."""
+        c = F.col(self.name)
+        if value is None:
+            return F.lit(False) if self.nulls_first else c.isNotNull()
+        ahead = F.coalesce(c > F.lit(value) if self.descending else c < F.lit(value), F.lit(False))
+        return (ahead | c.isNull()) if self.nulls_first else ahead
+
+
+def up_to(order: list[Order], row, inclusive: bool = True) -> Column:
+    """Rows that come no later than ``row`` (whose fields the order names)."""
+    found = F.lit(inclusive)
+    for o in reversed(order):
+        found = o.before(row[o.name]) | (F.col(o.name).eqNullSafe(F.lit(row[o.name])) & found)
+    return found
+
+
+SMALL = 20_000  # rows that one sort may see, and size of the samples
+
+
+def rows_at(df: DataFrame, order: list[Order], position: int, n: int, rows: int = 1, small: int = SMALL) -> list:
+    """The order's columns of the rows at 1-based ``position`` and after
+    (``rows`` of them) among the ``n`` rows of ``df``, a written table.
+
+    A sample brackets the position, exact counts below and inside the bracket
+    confirm it (or move on to the side that holds it), and so on inside the
+    bracket, until it is small enough for a top-k. Nothing is sorted or
+    shuffled but the sample and the last bracket; ties are no matter, since
+    the order is total.
+    """
+    names = [o.name for o in order]
+    inside, seed, width = df.select(*names), 0, 3.0
+    while n > small:
+        seed += 1
+        sample = inside.sample(min(1.0, small / n), seed=seed).orderBy(*[o.column() for o in order]).limit(2 * small).collect()
+        share = position / n  # its place in the sample, within three standard deviations
+        middle, margin = share * len(sample), width * (len(sample) * share * (1 - share)) ** 0.5 + 1
+        low, high = int(middle - margin), int(middle + margin + rows * len(sample) / n)
+        skip = up_to(order, sample[low]) if 0 <= low < len(sample) else F.lit(False)
+        keep = up_to(order, sample[high]) if 0 <= high < len(sample) else F.lit(True)
+        start, end = inside.agg(F.count_if(skip), F.count_if(keep)).first()
+        before = n
+        if start < position and position + rows - 1 <= end:
+            inside, position, n = inside.filter(~skip & keep), position - start, end - start
+        elif position + rows - 1 <= start:  # the sample misled: before the bracket
+            inside, n = inside.filter(skip), start
+        elif position > end:
+            inside, position, n = inside.filter(~keep), position - end, n - end
+        # Where the rows straddle a bound, or nothing was cut off: sample again.
+        width = 3.0 if n < before else width / 2 if (start, end) == (0, n) else width + 1
+    return inside.orderBy(*[o.column() for o in order]).offset(position - 1).limit(rows).collect()
+
+
+def first_tile(df: DataFrame, order: list[Order], n: int, k: int) -> Column:
+    """Rows of the first NTILE(k) of ``df``, a written table of ``n`` rows."""
+    size = n // k + (1 if n % k else 0)
+    return up_to(order, rows_at(df, order, size, n)[0]) if size else F.lit(False)
+
+
 def percentile_cont(df: DataFrame, value: str, fraction: float = 0.5,
                     tie_break: list[str] | None = None) -> float | None:
     """Exact PERCENTILE_CONT(fraction) WITHIN GROUP (ORDER BY value), nulls
     ignored, linear interpolation, as a double.
 
-    Built on the distributed rank: no group of values is collected into one
-    task; the driver receives the two neighbouring values only.
+    Built on selection over a written table: the driver receives the two
+    neighbouring values (and a sample, if the table is large).
     """
     vals = df.select(value, *(tie_break or [])).filter(F.col(value).isNotNull())
-    order = [F.col(value).asc()] + [F.col(c).asc() for c in (tie_break or [])]
-    ranked, n = global_rank(vals, order, rank_col="_r")
+    n = vals.count()
     if n == 0:
         return None
     pos = (n - 1) * fraction
     lo = int(pos)
-    hi = min(lo + 1, n - 1) if pos > lo else lo
-    got = {int(r["_r"]): r[value] for r in
-           ranked.filter(F.col("_r").isin(lo + 1, hi + 1)).select("_r", value).collect()}
-    lo_v, hi_v = float(got[lo + 1]), float(got[hi + 1])
+    both = 2 if pos > lo and lo + 1 < n else 1
+    got = rows_at(vals, [Order(value), *[Order(c) for c in tie_break or []]], lo + 1, n, both)
+    lo_v, hi_v = float(got[0][value]), float(got[-1][value])
     return lo_v + (hi_v - lo_v) * (pos - lo)
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.measures import dec, with_period
-from ...operators.ranking import global_rank, ntile_of
+from ...operators.ranking import Order, first_tile
+from ...session import stage_table
 from ..warehouse import Warehouse
 from ._common import dated, with_country, with_description
 
@@ -94,7 +95,7 @@ def high_revenue_risk_matrix(wh: Warehouse, tiles: int = 4) -> DataFrame:
     rate (the reference's unused second NTILE is not computed)."""
     pm = _product_sales_and_cancels(wh).withColumn(
         "cancellation_rate", _rate("total_cancelled", "total_sold"))
-    ranked, n = global_rank(pm, [F.col("total_revenue").desc_nulls_first(),
-                                 F.col("stock_code").asc()], "_r")
-    return (ranked.filter(ntile_of(F.col("_r"), n, tiles) == 1)
+    pm = stage_table(pm, "product-risk")
+    order = [Order("total_revenue", descending=True, nulls_first=True), Order("stock_code")]
+    return (pm.filter(first_tile(pm, order, pm.count(), tiles))
             .select("description", "total_revenue", "total_sold", "total_cancelled", "cancellation_rate"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.measures import dec, ratio
-from ...operators.ranking import global_rank, ntile_of, percentile_cont
+from ...operators.ranking import Order, first_tile, percentile_cont
 from ...session import stage_table
 from ..warehouse import Warehouse
 from ._common import dated, known_customers
@@ -59,11 +59,10 @@ def purchase_frequency(wh: Warehouse) -> DataFrame:
 
 def revenue_concentration(wh: Warehouse, tiles: int = 10) -> DataFrame:
     """Revenue share of the first NTILE(10) by revenue (exact, distributed)."""
-    per = revenue_summary(wh)
-    ranked, n = global_rank(per, [F.col("total_customer_revenue").desc_nulls_first(),
-                                  F.col("customer_id").asc()], "_r")
-    top = F.when(ntile_of(F.col("_r"), n, tiles) == 1, F.col("total_customer_revenue")).otherwise(F.lit(0))
-    s = ranked.agg(F.sum(top).alias("top"), F.sum("total_customer_revenue").alias("total"))
+    per = stage_table(revenue_summary(wh), "customer-revenue")
+    order = [Order("total_customer_revenue", descending=True, nulls_first=True), Order("customer_id")]
+    top = F.when(first_tile(per, order, per.count(), tiles), F.col("total_customer_revenue")).otherwise(F.lit(0))
+    s = per.agg(F.sum(top).alias("top"), F.sum("total_customer_revenue").alias("total"))
     return s.select(F.round("top", 2).alias("top_10_percent_revenue"),
                     F.round("total", 2).alias("grand_total_revenue"),
                     ratio(F.col("top"), F.col("total"), 2, pct=True).alias("percentage_of_total_revenue"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ...functions.measures import before_after, dec, ratio
 from ...operators.basket import basket_pairs
-from ...operators.ranking import global_rank, ntile_of, top_k_share
+from ...operators.ranking import Order, first_tile, top_k_share
 from ...session import stage_table
 from ..warehouse import Warehouse
 from ._common import dated, with_description
@@ -78,17 +78,13 @@ def _by_description(wh: Warehouse) -> DataFrame:
 
 
 def _quadrant(wh: Warehouse, volume_desc: bool, k: int = 4) -> DataFrame:
-    # Ranked twice (by volume, by revenue): aggregate the facts once.
+    # Cut twice (by volume, by revenue): aggregate the facts once.
     stats = stage_table(_by_description(wh), "description-totals")
-    vol = F.col("total_volume").desc_nulls_first() if volume_desc else F.col("total_volume").asc_nulls_last()
-    rev = F.col("total_revenue").asc_nulls_last() if volume_desc else F.col("total_revenue").desc_nulls_first()
-    tie = F.col("description").asc_nulls_last()
-    r1, n = global_rank(stats, [vol, tie], "_rv")
-    first_vol = r1.filter(ntile_of(F.col("_rv"), n, k) == 1).drop("_rv")
-    r2, n2 = global_rank(stats, [rev, tie], "_rr")
-    first_rev = r2.filter(ntile_of(F.col("_rr"), n2, k) == 1).select("description")
-    return first_vol.join(first_rev, "description", "left_semi") \
-        .select("description", "total_volume", "total_revenue")
+    n = stats.count()
+    high_first, low_first = {"descending": True, "nulls_first": True}, {}
+    volume = first_tile(stats, [Order("total_volume", **(high_first if volume_desc else low_first)), Order("description")], n, k)
+    revenue = first_tile(stats, [Order("total_revenue", **(low_first if volume_desc else high_first)), Order("description")], n, k)
+    return stats.filter(volume & revenue).select("description", "total_volume", "total_revenue")
 
 
 def high_volume_low_revenue_quadrant(wh: Warehouse) -> DataFrame:

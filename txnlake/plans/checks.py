@@ -108,8 +108,8 @@ def _resumed(spark: SparkSession, sf: str):
         for name in FACT_TABLES:
             rows = getattr(wh, name).withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
             rows.write.partitionBy(MONTH).parquet(dead.target(name))
-            if moved:
-                dead.settle(name)
+        if moved:
+            dead.settle(*FACT_TABLES)
     return run(spark, raw.filter(F.col("_ord") % 2 == 1), path)
 
 

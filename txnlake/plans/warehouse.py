@@ -248,11 +248,9 @@ FACTS = FACT_TABLES
 
 LINES = "_lines"
 LINE_KEY = "line_key"
-GROUPS, BITS = "_line_groups", "_line_group_bits"
+GROUPS = "_line_groups"
 GROUP_HASH = "group_hash"
 _GROUPS_SCHEMA = T.StructType([T.StructField(GROUP_HASH, T.LongType()), T.StructField(MONTH, T.IntegerType())])
-_BITS_SCHEMA = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("bitmap", T.BinaryType()),
-                             T.StructField("log_bits", T.IntegerType()), T.StructField(MONTH, T.IntegerType())])
 #: Columns that make two lines exact copies (T5), as processed lines hold them.
 _IDENTITY = ["InvoiceNo", "StockCode", "Description", "SignedQuantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "OriginalType"]
 _GROUP = ["InvoiceNo", "StockCode", "SignedQuantity"]
@@ -265,37 +263,13 @@ def _keyed_lines(lines: DataFrame) -> DataFrame:
                               MONTH: (X.date_key(F.col("InvoiceDate")) / 100).cast("int")})
 
 
-def _log_bits(n: int) -> int:
-    """Size (log 2) of the bit table of ``n`` groups: some 16 bits for each."""
-    return max(15, min(36, (16 * max(n, 1)).bit_length()))
-
-
-def _group_bits(groups: DataFrame, n: int) -> DataFrame:
-    """A Bloom filter (one bit per group) of each month of ``groups``, in
-    Spark's bitmaps of 32,768 bits: month, log_bits, bucket, bitmap."""
-    size = _log_bits(n)
-    place = F.shiftrightunsigned(F.col(GROUP_HASH), 64 - size) + 1
-    return groups.select(MONTH, place.alias("place")).groupBy(MONTH, F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")).withColumn("log_bits", F.lit(size))
-
-
 def touched_months(spark: SparkSession, path: str, snapshot: V.Snapshot, groups: DataFrame) -> list[int]:
-    """Months that hold stored lines of any of ``groups`` (column group_hash).
-
-    The months' Bloom filters leave few months, whose index (group, month) is
-    then compared exactly; lines are not read. Both are stored by month."""
-    bits = _files(spark, path, BITS, _BITS_SCHEMA, snapshot)
-    sizes = [r[0] for r in bits.select("log_bits").distinct().collect()]  # powers of two: a few values
-    if not sizes:
-        return []
-    place = [F.struct(F.lit(b).alias("log_bits"), (F.shiftrightunsigned(F.col(GROUP_HASH), 64 - b) + 1).alias("place")) for b in sizes]
-    asked = groups.select(F.explode(F.array(*place)).alias("a")).select(
-        "a.log_bits", F.bitmap_bucket_number("a.place").alias("bucket"), F.bitmap_bit_position("a.place").cast("int").alias("at")).distinct()
-    byte = F.conv(F.hex(F.substring("bitmap", (F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.expr("shiftright(byte, at % 8) & 1") == 1
-    maybe = [r[0] for r in asked.join(bits, ["log_bits", "bucket"]).withColumn("byte", byte).filter(hit).select(MONTH).distinct().collect()]
-    index = _files(spark, path, GROUPS, _GROUPS_SCHEMA, snapshot, maybe)
-    return [r[0] for r in index.join(groups, GROUP_HASH, "left_semi").select(MONTH).distinct().collect()]
+    """Months that hold stored lines of any of ``groups`` (column group_hash):
+    a join with the narrow index (group, month); lines are not read. (A Bloom
+    filter of each month would let nearly all months through as soon as a
+    batch has some hundred groups, so there is none.)"""
+    index = _files(spark, path, GROUPS, _GROUPS_SCHEMA, snapshot)
+    return [r[0] for r in index.join(groups, GROUP_HASH, "left_semi").select(MONTH).distinct().collect()]  # a calendar's worth
 
 
 def _stored_lines(spark: SparkSession, path: str, snapshot: V.Snapshot, months: list[int], like: DataFrame) -> DataFrame:
@@ -384,9 +358,6 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
         index = lines.select(GROUP_HASH, MONTH).distinct()
         jobs.append((index.hint("rebalance", MONTH), "append", attempt.target(GROUPS)))
     done |= _write_all(jobs)
-    if keep_lines and done[GROUPS][0]:
-        index = spark.read.schema(_GROUPS_SCHEMA).parquet(attempt.target(GROUPS))
-        done |= _write_all([(_group_bits(index, done[GROUPS][0]).hint("rebalance", MONTH), "append", attempt.target(BITS))])
     for name, (n, _) in done.items():
         if not n:  # an empty table may still have a file
             drop_path(spark, attempt.target(name))

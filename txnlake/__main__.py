@@ -5,6 +5,10 @@
     python -m txnlake export --warehouse wh/ --out analytics/ [--only V1,V3]
     python -m txnlake run --ids ids.csv --features data.csv --warehouse wh/ --out analytics/
     python -m txnlake audit --warehouse wh/
+    python -m txnlake views --warehouse wh/ --out views/ [--only V1,V3]
+
+``export`` writes one ordered CSV file per view; ``views`` refreshes the views
+as tables of their own schemas (``customer.rfm_segments``) for SQL sessions.
 
 Paths are anything Spark can read and write (shared storage on a cluster).
 """
@@ -17,6 +21,7 @@ import sys
 
 from .operators.transform import from_lines, transform
 from .plans import catalog
+from .plans.published import attach_views, publish_views
 from .plans.warehouse import LAST_LOAD_REPORT, audit_integrity, load, open_warehouse
 from .session import get_spark
 from .sources import files as IO
@@ -32,7 +37,7 @@ def _load(spark, processed: str, warehouse: str) -> dict:
 
 
 def _export(spark, warehouse: str, out: str, only: list[str] | None) -> dict:
-    return catalog.export_all(open_warehouse(spark, warehouse), out, only=only)
+    return catalog.export_all(open_warehouse(spark, warehouse), out, only=only, single_file=True)
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
@@ -59,9 +64,13 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     r.add_argument("--only", default="")
     a = sub.add_parser("audit")
     a.add_argument("--warehouse", required=True)
+    pv = sub.add_parser("views")
+    pv.add_argument("--warehouse", required=True)
+    pv.add_argument("--out", required=True)
+    pv.add_argument("--only", default="")
     args = p.parse_args(argv)
 
-    spark = spark or get_spark()
+    spark = spark or get_spark(**{"spark.scheduler.mode": "FAIR"})
     only = [x for x in getattr(args, "only", "").split(",") if x] or None
     result: dict = {}
     if args.cmd == "transform":
@@ -76,6 +85,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         result["inserted"] = _load(spark, processed, args.warehouse)
         if args.out:
             result["export"] = _export(spark, args.warehouse, args.out, only)
+    elif args.cmd == "views":
+        version = publish_views(open_warehouse(spark, args.warehouse), args.out, only)
+        result["views"] = {"version": version, "attached": attach_views(spark, args.out)}
     elif args.cmd == "audit":
         result["violations"] = {f"{r['table_name']}.{r['check_type']}.{r['column_name']}": r["violations"]
                                 for r in audit_integrity(open_warehouse(spark, args.warehouse)).collect()

@@ -44,7 +44,7 @@ def _compare(spark, con, key):
 @needs_data
 @pytest.mark.parametrize("key", ["V3", "V4", "V7", "V14", "V22", "V24", "V32", "V36", "V39", "V47",
                                  "T13_routing", "L3_dim_product", "L5_dim_country", "L9_fact_sales",
-                                 "R1_ntile", "P19_cluster_summary"])
+                                 "R1_ntile", "P19_cluster_summary", "S9_published_views", "S10_single_file_export"])
 def test_matches_oracle_sf0001(spark, key):
     con = duckdb.connect()
     for t in "nation customer part orders lineitem".split():

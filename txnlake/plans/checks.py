@@ -22,7 +22,9 @@ from ..operators.ranking import global_rank, ntile_global
 from ..session import scratch_path
 from ..sources.files import read_raw
 from . import snapshots
+from .catalog import BY_ID, export_all
 from .etl import processed_for, raw_for, run, warehouse_for
+from .published import attach_views, publish_views
 from .views import diagnostics as DG
 from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, MONTH, NOT_NULL, UNIQUE_KEYS, audit_integrity, reset
 
@@ -145,6 +147,24 @@ def _ids(spark: SparkSession, sf: str) -> DataFrame:
     return each.groupBy("table_name").agg(F.sum("count").alias("rows"), F.max("count").alias("rows_per_id"), (F.min("id") > 0).alias("positive"))
 
 
+def _published(spark: SparkSession, sf: str) -> DataFrame:
+    """Two views published, then joined by SQL under their own names in another session."""
+    path = scratch_path(spark, "views")
+    publish_views(warehouse_for(spark, sf), path, only=["V19", "V24"])
+    other = spark.newSession()
+    attach_views(other, path)
+    return _dbl(other.sql("SELECT r.*, o.number_of_orders FROM customer.rfm_segments r JOIN customer.order_counts o USING (customer_id)"))
+
+
+def _exported(spark: SparkSession, sf: str) -> DataFrame:
+    """A view exported to one CSV file, read back."""
+    path = scratch_path(spark, "export")
+    report = export_all(warehouse_for(spark, sf), path, only=["V19"], single_file=True)
+    if report["failed"] or report["folders"]:
+        raise RuntimeError(f"export: {report}")
+    return spark.read.option("header", True).schema("customer_id int, number_of_orders long").csv(f"{path}/{BY_ID['V19'].export}")
+
+
 def _raw_files(spark: SparkSession, sf: str, tail: str = ' 36" wide, "large" \\', multi_line: bool = False) -> DataFrame:
     """S1 + S2: the raw feed written as two CSV files with quotes, commas and
     ``6.0`` numbers (and line ends), read back through the raw reader."""
@@ -217,6 +237,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L15_resumed_sales": _incremental_fact("fact_sales", "sale_id", loaded=_resumed),
         "L15_after_reset_audit": _audit_of(_after_reset),
         "L15_groups_across_months": _audit_of(_across_months),
+        "S9_published_views": _published,
+        "S10_single_file_export": _exported,
         "S1_S2_raw_files": _raw_files,
         "S1_quoted_line_ends": lambda s, sf: _raw_files(s, sf, ' two\n\n"lines",\nend', multi_line=True),
         "T1_T2_types": _types,
@@ -324,6 +346,10 @@ def oracle_sql() -> dict[str, str]:
         "L15_incremental_audit": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
         "L15_after_reset_audit": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
         "L15_groups_across_months": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq", moved=True),
+        "S9_published_views": O.sql(f"""SELECT r.*, o.number_of_orders FROM ({O.VIEW_SQL['V24']}) r
+            JOIN (SELECT customer_id, COUNT(DISTINCT invoice_no) AS number_of_orders FROM fact_sales GROUP BY ALL) o USING (customer_id)"""),
+        "S10_single_file_export": O.sql("""SELECT customer_id, COUNT(DISTINCT invoice_no) AS number_of_orders
+            FROM fact_sales WHERE customer_id IS NOT NULL GROUP BY ALL"""),
         "S1_S2_raw_files": O.sql("""SELECT InvoiceNo, StockCode, Description || ' 36" wide, "large" \\' AS Description,
             Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM raw"""),
         "S1_quoted_line_ends": O.sql("""SELECT InvoiceNo, StockCode, Description || ' two' || chr(10) || chr(10) || '"lines",' || chr(10) || 'end' AS Description,

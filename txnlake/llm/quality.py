@@ -73,25 +73,24 @@ LABELLERS = {
 }
 
 
-def votes(text: str | None) -> list[int]:
-    s = statistics(text or "")
-    return [label(s) for label in LABELLERS.values()]
+def pattern(stats: dict[str, float]) -> str:
+    """The labellers' votes as one string of -, 0 and +."""
+    return "".join("-0+"[label(stats) + 1] for label in LABELLERS.values())
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str, stats: dict[str, float]) -> np.ndarray:
     """Hashed distinct byte pairs and hashed bins of the statistics."""
-    text = text or ""
     b = np.frombuffer(f" {text} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64)
     pairs = np.unique(b[:-1] << 8 | b[1:])
     bins = [(i + 1) * 40503 + int(np.clip(np.log2(v + 1e-3) * 2, -20, 40)) + 20
-            for i, v in enumerate(statistics(text).values())]
+            for i, v in enumerate(stats.values())]
     h = np.concatenate([pairs, np.array(bins) + (1 << 20)]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return np.unique(h >> np.uint64(50)).astype(np.int64)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cast = pa.array(["".join("-0+"[v + 1] for v in votes(t.as_py())) for t in batch.column(0)], pa.string())
+        cast = pa.array([pattern(statistics(t.as_py() or "")) for t in batch.column(0)], pa.string())
         yield pa.RecordBatch.from_arrays([cast], names=["votes"])
 
 
@@ -139,18 +138,20 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], np.n
 
 def _vote_and_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t.as_py() for t in batch.column(0)]
+        texts = [t.as_py() or "" for t in batch.column(0)]
+        stats = [statistics(t) for t in texts]
         yield pa.RecordBatch.from_pydict({
-            "votes": pa.array(["".join("-0+"[v + 1] for v in votes(t)) for t in texts], pa.string()),
-            "features": pa.array([features(t).tolist() for t in texts], pa.list_(pa.int64()))})
+            "votes": pa.array([pattern(s) for s in stats], pa.string()),
+            "features": pa.array([features(t, s).tolist() for t, s in zip(texts, stats)], pa.list_(pa.int64()))})
 
 
 def _score(posterior: dict[str, float], model: np.ndarray, cut: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
-            weak = [posterior["".join("-0+"[v + 1] for v in votes(t))] for t in texts]
-            p = np.array([float(sigmoid(model[0] + model[1:][features(t)].sum())) for t in texts])
+            texts = [t.as_py() or "" for t in batch.column(1)]
+            stats = [statistics(t) for t in texts]
+            weak = [posterior[pattern(s)] for s in stats]
+            p = np.array([float(sigmoid(model[0] + model[1:][features(t, s)].sum())) for t, s in zip(texts, stats)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weak, pa.float64()), pa.array(p, pa.float64()),
                                               pa.array(p >= cut, pa.bool_())],
                                              names=["doc_id", "p_weak", "score", "is_good"])

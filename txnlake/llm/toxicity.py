@@ -12,7 +12,9 @@ The cut-off of the last category is the one with the best F1 on its
 out-of-fold probabilities.
 
 Defined results: a null text has no words; null labels and labels of unknown
-documents are left out; repeated rows are scored alike; without both classes
+documents are left out; of several labels of one id the maximum of each
+category counts, and an id of several texts trains with the least of them (null
+only if all are null); repeated rows are scored alike; without both classes
 in the sample a category has its constant rate; an empty table gives no
 rows; other columns are not read.
 """
@@ -54,14 +56,18 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, str],
                     sample: int = SAMPLE) -> DataFrame:
-    """fold, labels, features of about ``sample`` labelled documents, drawn by id."""
-    known = labels.select("doc_id", F.array(*[F.expr(c).cast("int") for c in categories.values()]).alias("labels")) \
-        .filter(F.col("doc_id").isNotNull() & ~F.exists("labels", lambda x: x.isNull()))
-    n = known.count()
-    drawn = known.filter(uniform("toxicity", F.col("doc_id")) < sample / max(n, 1)).dropDuplicates(["doc_id"])
+    """fold, labels, features of about ``sample`` labelled documents, drawn by id:
+    one row per id, of its least text and the maximum of each of its labels."""
+    own = F.array(*[F.expr(c).cast("int") for c in categories.values()])
+    known = labels.select("doc_id", own.alias("own")).filter(F.col("doc_id").isNotNull() & ~F.exists("own", lambda x: x.isNull()))
+    once = known.groupBy("doc_id").agg(F.array(*[F.max(F.col("own")[i]) for i in range(len(categories))]).alias("labels"))
+    n = once.count()
+    drawn = once.filter(uniform("toxicity", F.col("doc_id")) < sample / max(n, 1))
     fold = F.floor(uniform("fold", F.col("doc_id")) * FOLDS).cast("int").alias("fold")
-    # About ``sample`` ids: small enough to broadcast by construction.
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select(fold, "labels", "text")
+    # About ``sample`` ids: small enough to broadcast by construction. Rows that
+    # repeat an id are combined before the shuffle, so a hot id stays one row.
+    found = (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+             .groupBy("doc_id", "labels").agg(F.min("text").alias("text")).select(fold, "labels", "text"))
     return staged(found.mapInArrow(_featurise, "fold int, labels array<int>, features array<bigint>"), "toxicity-sample")
 
 

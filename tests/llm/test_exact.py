@@ -320,3 +320,26 @@ def test_rice_code_is_near_the_entropy():
 
 def test_helpers_cover_clashes():
     assert {"row", "body", "cut", "rate", "fp", "sid"} <= set(CLASHING)
+
+
+def test_exact_dedup_shuffles_suspects_only(spark, monkeypatch):
+    """A full bit table lets every text through and a sparse one few others: same rows."""
+    from txnlake.llm import bits
+
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 30)) for i in range(400)]
+    rows += [(1000 + i, rows[i % 40][1].upper()) for i in range(120)] + [(5000, None), (5001, "")]
+    df, want = documents(spark, rows).repartition(5), brute_dedup(rows)
+    left = []
+    pick = exact_dedup._suspect_texts
+
+    def counted(table):
+        left.append(sum(bits.passes(table.value, exact_dedup._leading([hashlib.sha256((t or "").lower().encode()).digest()]))[0]
+                        for _, t in rows))
+        return pick(table)
+
+    monkeypatch.setattr(exact_dedup, "_suspect_texts", counted)
+    assert collected(exact_dedup.exact_dedup(df)) == want
+    monkeypatch.setattr(exact_dedup, "bit_table", lambda *_: (48, np.full(1 << 13, 255, np.uint8)))
+    assert collected(exact_dedup.exact_dedup(df)) == want
+    assert 162 <= left[0] <= 170 and left[1] == len(rows)  # 40 texts with 120 copies, and the two empty ones

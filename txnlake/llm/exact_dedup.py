@@ -8,10 +8,13 @@
    it holds more than once. Equal fingerprints meet at their owner at most
    once per partition, so a text that fills a third of the rows stays small.
 3. Owners answer with one bit per fingerprint: seen elsewhere or twice.
-4. Partitions turn the bits into suspect fingerprints. Only documents with a
-   suspect fingerprint are read again, and grouped by their normalised text
-   itself: the byte verification. It is a partial aggregate, so copies
-   collapse before the shuffle.
+4. Partitions turn the bits into suspect fingerprints, which set the bits of
+   a table of at most 16 MB. The texts are read again, and only those whose
+   fingerprint passes the table leave the reading task, grouped by their
+   normalised bytes: the byte verification. It is a partial aggregate, so
+   copies collapse before the shuffle, and what passes by chance is a group of
+   one. (From some ten million suspects on the table fills up and more passes;
+   results do not change.)
 
 Of equal texts the row with the largest doc_id stays (exactly one row, also
 among repeated rows of the same id; a null id only if all are null).
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expand import expand
+from .bits import bit_table, passes
 from .common import shuffle_partitions, staged
 from .golomb import rice_decode, rice_encode
 
@@ -41,11 +45,14 @@ def _normal(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() touches A-Z only
 
 
+def _leading(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64)
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = [hashlib.sha256(_normal(t.as_py())).digest() for t in batch.column(1)]
-        fp = np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), pa.array(digests, pa.binary())],
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_leading(digests).view(np.int64)), pa.array(digests, pa.binary())],
                                          names=["doc_id", "fp", "digest"])
 
 
@@ -107,23 +114,27 @@ def suspect_fingerprints(prints: DataFrame) -> DataFrame:
             .mapInArrow(_suspects, "fp long").distinct())
 
 
-def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_normal(t.as_py()) for t in batch.column(1)]
-        digests = [hashlib.sha256(t).digest() for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(texts, pa.binary())],
-                                         names=["doc_id", "digest", "normal"])
+def _suspect_texts(table):
+    """digest and bytes of the normalised texts whose fingerprint passes ``table``."""
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_normal(t.as_py()) for t in batch.column(1)]
+            digests = [hashlib.sha256(t).digest() for t in texts]
+            at = np.flatnonzero(passes(table.value, _leading(digests)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)), pa.array([digests[i] for i in at], pa.binary()),
+                 pa.array([texts[i] for i in at], pa.binary())], names=["doc_id", "digest", "normal"])
+    return pick
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, one row per row of ``docs``."""
     prints = staged(fingerprints(docs), "fingerprints")
     suspects = staged(suspect_fingerprints(prints), "suspects")
-    ids = prints.join(suspects, "fp", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
-    again = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(suspects, "fp", 64, suspects.count()))
     schema = T.StructType([docs.schema["doc_id"], T.StructField("digest", T.BinaryType()),
                            T.StructField("normal", T.BinaryType())])
-    groups = (again.mapInArrow(_normalised, schema)
+    groups = (docs.select("doc_id", "text").mapInArrow(_suspect_texts(table), schema)
               .groupBy("digest", "normal")  # equal bytes, not only equal digests
               .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .filter("group_size > 1").select("digest", "keep_id", "group_size"))

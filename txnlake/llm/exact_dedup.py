@@ -40,6 +40,8 @@ from .bits import bit_table, passes
 from .common import shuffle_partitions, staged
 from .golomb import rice_decode, rice_encode
 
+PIECE = 256  # rows of a batch whose suspects are passed on together
+
 
 def _normal(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() touches A-Z only
@@ -118,12 +120,14 @@ def _suspect_texts(table):
     """digest and bytes of the normalised texts whose fingerprint passes ``table``."""
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_normal(t.as_py()) for t in batch.column(1)]
-            digests = [hashlib.sha256(t).digest() for t in texts]
-            at = np.flatnonzero(passes(table.value, _leading(digests)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), pa.array([digests[i] for i in at], pa.binary()),
-                 pa.array([texts[i] for i in at], pa.binary())], names=["doc_id", "digest", "normal"])
+            for start in range(0, batch.num_rows, PIECE):  # only suspects' texts are held, a piece at a time
+                ids, texts = (c.slice(start, PIECE) for c in batch.columns)
+                digests = [hashlib.sha256(_normal(t.as_py())).digest() for t in texts]
+                at = np.flatnonzero(passes(table.value, _leading(digests)))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(at)), pa.array([digests[i] for i in at], pa.binary()),
+                         pa.array([_normal(texts[i].as_py()) for i in at], pa.binary())], names=["doc_id", "digest", "normal"])
     return pick
 
 

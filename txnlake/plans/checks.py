@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from .. import oracle as O
 from ..operators import classify as C
 from ..operators import profile as P
+from ..operators.facts import with_keys
 from ..operators.ranking import global_rank, ntile_global
 from ..session import scratch_path
 from ..sources.files import read_raw
@@ -26,7 +27,7 @@ from .catalog import BY_ID, export_all
 from .etl import processed_for, raw_for, run, warehouse_for
 from .published import attach_views, publish_views
 from .views import diagnostics as DG
-from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, MONTH, NOT_NULL, UNIQUE_KEYS, audit_integrity, reset
+from .warehouse import FACT_TABLES, FOREIGN_KEYS, ID_COLUMNS, MONTH, NOT_NULL, UNIQUE_KEYS, audit_integrity, reset, validation_report
 
 
 def _dbl(df: DataFrame) -> DataFrame:
@@ -147,6 +148,14 @@ def _ids(spark: SparkSession, sf: str) -> DataFrame:
     return each.groupBy("table_name").agg(F.sum("count").alias("rows"), F.max("count").alias("rows_per_id"), (F.min("id") > 0).alias("positive"))
 
 
+def _validation(spark: SparkSession, sf: str) -> DataFrame:
+    """L12 where it finds something: the processed lines, some without a date, keyed by half of the countries."""
+    lines = processed_for(spark, sf).lines
+    undated = lines.withColumn("InvoiceDate", F.when(F.col("Quantity") % 7 != 0, F.col("InvoiceDate")))
+    known = warehouse_for(spark, sf).dim_country.filter(F.col("country") < "J")
+    return validation_report(with_keys(undated, known)).drop("months")
+
+
 def _published(spark: SparkSession, sf: str) -> DataFrame:
     """Two views published, then joined by SQL under their own names in another session."""
     path = scratch_path(spark, "views")
@@ -226,6 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "L9_fact_adjustment": _table("fact_adjustment", ("adjustment_id",)),
         "L10_fact_non_sale": _table("fact_non_sale", ("non_sale_id", "row_hash")),
         "L11_audit_table": _table("data_quality_potential_duplicates", ("quality_issue_id",)),
+        "L12_validation": _validation,
         "L13_integrity": lambda s, sf: audit_integrity(warehouse_for(s, sf)),
         "L13_planted_violations": _violations,
         "L14_ids": _ids,
@@ -333,6 +343,10 @@ def oracle_sql() -> dict[str, str]:
                                     "CAST(revenue AS DOUBLE) AS revenue) FROM fact_adjustment"),
         "L10_fact_non_sale": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM fact_non_sale"),
         "L11_audit_table": O.sql("SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price) FROM dq"),
+        "L12_validation": O.sql("""SELECT CASE kind WHEN 'sales' THEN 'fact_sales' WHEN 'cancellations' THEN 'fact_cancellations'
+              WHEN 'adjustments' THEN 'fact_adjustment' WHEN 'non_sales' THEN 'fact_non_sales' END AS "table", COUNT(*) AS rows,
+            COUNT(*) FILTER (WHERE Country IS NULL OR Country >= 'J') AS missing_country_keys,
+            COUNT(*) FILTER (WHERE Quantity % 7 = 0) AS missing_date_keys FROM tx GROUP BY ALL"""),
         "L13_integrity": O.sql(_integrity_sql()),
         "L13_planted_violations": O.sql(_planted_sql()),
         "L14_ids": O.sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS rows_per_id, true AS positive FROM {t}"

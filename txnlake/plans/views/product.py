@@ -87,14 +87,14 @@ def _quadrant(wh: Warehouse, volume_desc: bool, k: int = 4) -> DataFrame:
     return stats.filter(volume & revenue).select("description", "total_volume", "total_revenue")
 
 
-def high_volume_low_revenue_quadrant(wh: Warehouse) -> DataFrame:
-    """V9: top volume quartile and bottom revenue quartile, by description."""
-    return _quadrant(wh, volume_desc=True)
+def high_volume_low_revenue_quadrant(wh: Warehouse, tiles: int = 4) -> DataFrame:
+    """V9: top volume quartile and bottom revenue quartile (of ``tiles``), by description."""
+    return _quadrant(wh, volume_desc=True, k=tiles)
 
 
-def high_revenue_low_volume_quadrant(wh: Warehouse) -> DataFrame:
-    """Bottom volume quartile and top revenue quartile, by description."""
-    return _quadrant(wh, volume_desc=False)
+def high_revenue_low_volume_quadrant(wh: Warehouse, tiles: int = 4) -> DataFrame:
+    """Bottom volume quartile and top revenue quartile (of ``tiles``), by description."""
+    return _quadrant(wh, volume_desc=False, k=tiles)
 
 
 def consistency_trends(wh: Warehouse) -> DataFrame:

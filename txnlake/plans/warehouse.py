@@ -61,20 +61,24 @@ FACT_OF_KIND = {"sales": "fact_sales", "cancellations": "fact_cancellations",
                 "adjustments": "fact_adjustment", "non_sales": "fact_non_sales"}
 
 
-def validate_facts(keyed: DataFrame) -> list[int]:
-    """Rows, missing country keys and missing date keys per fact table,
-    in one pass over the keyed lines, with the months present (at most one value
-    per calendar month); raises naming the first failing table."""
+def validation_report(keyed: DataFrame) -> DataFrame:
+    """Rows, missing country keys and missing date keys per fact table, in
+    one pass over the keyed lines, with the months present (at most one value
+    per calendar month)."""
     table = F.lit(None).cast("string")
     for kind, name in FACT_OF_KIND.items():
         table = F.when(F.col("kind") == kind, F.lit(name)).otherwise(table)
-    report = keyed.select(table.alias("table"), "country_key", "date_key").groupBy("table").agg(
+    return keyed.select(table.alias("table"), "country_key", "date_key").groupBy("table").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("country_key").isNull()).alias("missing_country_keys"),
         F.count_if(F.col("date_key").isNull()).alias("missing_date_keys"),
         F.collect_set((F.col("date_key") / 100).cast("int")).alias("months"),
     )
-    rows = report.collect()  # one row per fact table
+
+
+def validate_facts(keyed: DataFrame) -> list[int]:
+    """The months of the keyed lines; raises, naming the first table with a missing key."""
+    rows = validation_report(keyed).collect()  # one row per fact table
     for r in rows:
         if r["missing_country_keys"]:
             raise ValidationError(f"{r['table']}: {r['missing_country_keys']} of {r['rows']} rows have no country key")

@@ -343,3 +343,18 @@ def test_exact_dedup_shuffles_suspects_only(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "bit_table", lambda *_: (48, np.full(1 << 13, 255, np.uint8)))
     assert collected(exact_dedup.exact_dedup(df)) == want
     assert 162 <= left[0] <= 170 and left[1] == len(rows)  # 40 texts with 120 copies, and the two empty ones
+
+
+def test_line_dedup_marks_little_more_than_the_documents_with_cuts(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"own line {i}\nshared" if i % 20 == 0 else f"own line {i}", f"s{i % 200}") for i in range(2000)]
+    rows += [(None, "shared", "x"), (None, None, None)]
+    docs = documents(spark, rows)
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("body"))
+    found = line_dedup.cuts(docs).select(F.col("doc_id").alias("id"), F.col("body").alias("of"), "cut")
+    may = {(r.row.doc_id, r.row.text) for r in line_dedup._marked(own, found).filter("may").collect()}
+    cut = {(i, t) for i, t, _ in rows if "shared" in (t or "") and i != 0}
+    assert found.count() == len(cut) and cut <= may and len(may) <= len(cut) + 80
+    none = found.limit(0)
+    assert line_dedup._marked(own, none).filter("may").count() == 0 and line_dedup._marked(own, none).count() == len(rows)

@@ -10,7 +10,8 @@ from all others, so no text is lost altogether.
 All grouping is by the line's 128-bit hash or by document, with partial
 aggregates, so a line in a third of all documents is combined before the
 shuffle. A document is put together again without regrouping its lines: only
-the positions to cut travel.
+documents that may have cuts (by a bitmap of bounded size) are shuffled, to
+meet the positions to cut; all others stay in the task that read them.
 
 Defined results: a null text has no lines and stays null; a null source is a
 site of its own; null ids never keep a boilerplate line unless all are null;
@@ -27,6 +28,7 @@ from .common import staged
 
 MIN_SITES = 5
 SKETCH_BITS = 12  # 4096 registers: relative standard error 1.6 %
+MARK_BITS = 27  # at most, 16 MB: beyond some ten million documents with cuts, more of the others are shuffled too
 MARGIN = 0.05  # three standard errors; at least one site
 BLANKS = " \t\r\x0b\x0c"
 
@@ -74,10 +76,31 @@ def _with_cuts(docs: DataFrame, min_sites: int) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.xxhash64("text").alias("body"))
     found = staged(cuts(docs, min_sites), "line-cuts").select(F.col("doc_id").alias("id"), F.col("body").alias("of"), "cut")
-    joined = own.join(found, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left")
+    marked = _marked(own, found)
+    touched = marked.filter("may").select("row", "body")
+    cut = touched.join(found, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left")
+    # Documents without a mark stay where they were read.
+    joined = cut.select("row", "cut").unionByName(marked.filter("not may").select("row", F.lit(None).cast("array<int>").alias("cut")))
     return joined.select("row", "cut", F.when(F.col("cut").isNotNull(), F.split("row.text", "\n")).alias("lines"))
 
 
+def _marked(own: DataFrame, found: DataFrame) -> DataFrame:
+    """``own`` and ``may``: false only for documents that are not in ``found``. The
+    marks are bitmaps of 4 KB, at most ``2 ** MARK_BITS`` bits together, whatever the input."""
+    bits = max(15, min(MARK_BITS, (64 * max(found.count(), 1)).bit_length()))
+
+    def place(doc_id: str, body: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(doc_id, body), 64 - bits) + 1
+    marks = (found.select(place("id", "of").alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")))
+    at = own.select("*", place("row.doc_id", "body").alias("place"))
+    at = at.select("row", "body", F.bitmap_bucket_number("place").alias("bucket"),
+                   F.bitmap_bit_position("place").cast("int").alias("bit"))
+    byte = "cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)"
+    may = F.expr(f"coalesce(shiftright({byte}, bit % 8) & 1, 0) = 1")
+    return at.join(F.broadcast(marks), "bucket", "left").select("row", "body", may.alias("may"))
+
+
 def _cleaned(docs: DataFrame, min_sites: int) -> DataFrame:
     text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(_kept_text(F.col("lines"), F.col("cut")))
     return _with_cuts(docs, min_sites).select("row", "cut", text.alias("kept_text"))

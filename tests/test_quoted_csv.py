@@ -81,3 +81,25 @@ def test_plan_has_no_python_and_no_multi_line(spark, tmp_dir):
         f.write('a,b,n\n1,"two\nlines",2\n')
     plan = IO.read_quoted_csv(spark, f"{tmp_dir}/a.csv", SCHEMA)[0]._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "multiLine" not in plan
+
+
+def test_lines_are_neither_shuffled_nor_sorted(spark, tmp_dir):
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write('a,b,n\n1,"two\nlines",2\n')
+    plan = Q.records(spark, f"{tmp_dir}/a.csv")[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(file" in plan  # pieces at the edges of splits
+
+
+def test_batches_cut_records_anywhere(spark, tmp_dir):
+    rng = random.Random(7)
+    want = _rows(rng, 80)
+    with open(f"{tmp_dir}/a.csv", "w", newline="", encoding="utf-8") as f:
+        f.write(_text(want, "\n"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = IO.read_quoted_csv(spark, f"{tmp_dir}/a.csv", SCHEMA)[0].orderBy("_ord").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert [(r.a, r.b, r.n) for r in got] == want

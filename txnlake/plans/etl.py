@@ -18,7 +18,8 @@ from ..sources import files as IO
 from ..sources.testdata import long_ordinal, raw_lines
 from .warehouse import Warehouse, load
 
-_CACHE: dict[tuple, tuple[Processed, Warehouse]] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+_PROCESSED: dict[tuple, Processed] = {}
 _RAW: dict[tuple, DataFrame] = {}
 
 
@@ -46,35 +47,42 @@ def stage_raw(spark: SparkSession, raw: DataFrame, path: str | None = None) -> D
     return spark.read.parquet(path)
 
 
-def built_for(spark: SparkSession, sf_dir: str, describe: str = "name",
-              timings: dict[str, float] | None = None) -> tuple[Processed, Warehouse]:
-    """(processed lines, warehouse) built from the driver's test tables, once
-    per session. ``timings`` receives the seconds of each stage."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), describe)
-    if key not in _CACHE:
-        t = {} if timings is None else timings
-        t0 = time.perf_counter()
-        raw = stage_raw(spark, long_ordinal(raw_lines(spark, sf_dir, describe)))
-        _RAW[key] = raw
-        t1 = time.perf_counter()
-        processed = process(spark, raw)
-        t2 = time.perf_counter()
-        wh = load(spark, processed, scratch_path(spark, "warehouse"), fresh=True, keep_lines=False)
-        t3 = time.perf_counter()
-        t.update(raw_feed=t1 - t0, transform=t2 - t1, load=t3 - t2)
-        _CACHE[key] = (processed, wh)
-    return _CACHE[key]
+def _key(spark: SparkSession, sf_dir: str, describe: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), describe
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Warehouse:
-    return built_for(spark, sf_dir, describe)[1]
+def raw_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFrame:
+    """The raw feed from the driver's test tables, written once per session.
+    Each stage is built on its own, so a query of the feed builds no warehouse."""
+    key = _key(spark, sf_dir, describe)
+    if key not in _RAW:
+        _RAW[key] = stage_raw(spark, long_ordinal(raw_lines(spark, sf_dir, describe)))
+    return _RAW[key]
 
 
 def processed_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Processed:
-    return built_for(spark, sf_dir, describe)[0]
+    """The feed's processed lines, written once per session."""
+    key = _key(spark, sf_dir, describe)
+    if key not in _PROCESSED:
+        _PROCESSED[key] = process(spark, raw_for(spark, sf_dir, describe))
+    return _PROCESSED[key]
 
 
-def raw_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFrame:
-    """The raw feed written by ``built_for`` (built first if needed)."""
-    built_for(spark, sf_dir, describe)
-    return _RAW[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), describe)]
+def warehouse_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Warehouse:
+    """The warehouse loaded from them, once per session."""
+    key = _key(spark, sf_dir, describe)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = load(spark, processed_for(spark, sf_dir, describe), scratch_path(spark, "warehouse"), fresh=True, keep_lines=False)
+    return _WAREHOUSES[key]
+
+
+def built_for(spark: SparkSession, sf_dir: str, describe: str = "name",
+              timings: dict[str, float] | None = None) -> tuple[Processed, Warehouse]:
+    """(processed lines, warehouse) built from the driver's test tables, once
+    per session. ``timings`` receives the seconds of each stage."""
+    t = {} if timings is None else timings
+    for name, stage in (("raw_feed", raw_for), ("transform", processed_for), ("load", warehouse_for)):
+        began = time.perf_counter()
+        stage(spark, sf_dir, describe)
+        t[name] = time.perf_counter() - began
+    return processed_for(spark, sf_dir, describe), warehouse_for(spark, sf_dir, describe)

@@ -161,8 +161,11 @@ def _published(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "views")
     publish_views(warehouse_for(spark, sf), path, only=["V19", "V24"])
     other = spark.newSession()
-    attach_views(other, path)
-    return _dbl(other.sql("SELECT r.*, o.number_of_orders FROM customer.rfm_segments r JOIN customer.order_counts o USING (customer_id)"))
+    names = attach_views(other, path)
+    joined = other.sql("SELECT r.*, o.number_of_orders FROM customer.rfm_segments r JOIN customer.order_counts o USING (customer_id)")
+    for name in names:  # sessions share the catalog; the files stay
+        other.sql(f"DROP TABLE {name}")
+    return _dbl(joined)
 
 
 def _exported(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,0 +1,81 @@
+"""The build moves every line as few times as it can, with the same results."""
+
+from __future__ import annotations
+
+import datetime
+import random
+
+from pyspark.sql import functions as F
+
+from txnlake.operators import classify as C
+from txnlake.operators import quality as Q
+from txnlake.operators.transform import transform
+from txnlake.plans import etl
+from txnlake.plans.warehouse import build, load
+from txnlake.sources import testdata as A
+
+DAY = datetime.datetime(2011, 1, 31, 8, 0)
+
+
+def _tables(spark, where, factor=1):
+    """Orders of several lines, with repeated, null-ridden and equal rows."""
+    rng = random.Random(3)
+    li = [(rng.choice([1, 2, 3, 50, 61, None]) or None, rng.choice([1, 2, None]), rng.randrange(3), rng.randrange(2), float(rng.randrange(1, 4)),
+           rng.choice([10.0, 20.5]), rng.choice([0.0, 0.1]), 0.0, rng.choice("RN"), "O", DAY) for _ in range(300)]
+    li = [(k * factor if k else k, n or 1, *rest) for k, n, *rest in li]
+    spark.createDataFrame(li, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                              "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{where}/lineitem.parquet")
+    spark.createDataFrame([(k * factor, 7, DAY, "1-URGENT") for k in (1, 2, 50, 61)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string") \
+        .write.parquet(f"{where}/orders.parquet")
+    spark.createDataFrame([(7, 0)], "c_custkey long, c_nationkey int").write.parquet(f"{where}/customer.parquet")
+    spark.createDataFrame([(0, "HERE")], "n_nationkey int, n_name string").write.parquet(f"{where}/nation.parquet")
+    spark.createDataFrame([(k, f"part {k}") for k in range(3)], "p_partkey long, p_name string").write.parquet(f"{where}/part.parquet")
+    return where
+
+
+def _in_order(raw):
+    return [tuple(r)[:-1] for r in raw.orderBy("_ord").collect()]
+
+
+def test_feed_is_numbered_in_file_order_without_a_global_sort(spark, tmp_dir):
+    where = _tables(spark, tmp_dir)
+    feed = A.raw_feed(spark, where)
+    assert "rangepartitioning" not in feed._jdf.queryExecution().executedPlan().toString()
+    assert _in_order(feed) == _in_order(A.raw_lines(spark, where))
+
+
+def test_feed_of_keys_too_large_for_a_long_is_sorted(spark, tmp_dir):
+    where = _tables(spark, tmp_dir, factor=1 << 50)
+    feed = etl.stage_raw(spark, A.raw_feed(spark, where))
+    assert _in_order(feed) == _in_order(A.raw_lines(spark, where))
+
+
+def test_lines_are_shuffled_once_by_the_transform(spark, tmp_dir):
+    raw = etl.raw_for(spark, _tables(spark, tmp_dir))
+    holes = F.when(F.col("InvoiceNo") != "2", F.col("InvoiceNo"))
+    raw = etl.stage_raw(spark, raw.withColumn("InvoiceNo", holes))
+    lines = transform(raw).lines
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    cols = ["InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID", "_ord", "IsExactDuplicate", "IsPotentialDuplicateLine", "duplicate_group_count"]
+    classified = C.classify(raw)
+    plain = Q.flag_potential_duplicates(Q.drop_exact_duplicates(classified)).select(*cols)
+    got = Q.flag_duplicates(classified).select(*cols)
+    assert 0 < got.filter("InvoiceNo IS NULL AND IsPotentialDuplicateLine").count()
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+def test_first_load_equals_the_unwritten_warehouse(spark, tmp_dir):
+    processed = etl.processed_for(spark, _tables(spark, f"{tmp_dir}/in"))
+    wh, lazy = load(spark, processed, f"{tmp_dir}/wh"), build(processed)
+    for name in ("fact_sales", "fact_cancellations", "fact_adjustment"):
+        a, b = (getattr(w, name).drop("sale_id", "cancel_id", "adjustment_id") for w in (wh, lazy))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+
+
+def test_positions_are_unique_where_keys_repeat(spark, tmp_dir):
+    where = _tables(spark, tmp_dir)
+    orders = spark.read.parquet(f"{where}/orders.parquet").collect()
+    spark.createDataFrame(orders, spark.read.parquet(f"{where}/orders.parquet").schema).write.mode("append").parquet(f"{where}/orders.parquet")
+    feed = A.raw_feed(spark, where)
+    assert feed.count() == feed.select("_ord").distinct().count() == A.raw_lines(spark, where).count()

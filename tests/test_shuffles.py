@@ -7,10 +7,14 @@ import random
 
 from pyspark.sql import functions as F
 
+from txnlake.functions import codes as K
 from txnlake.operators import classify as C
+from txnlake.operators import dims as D
+from txnlake.operators import facts as X
 from txnlake.operators import quality as Q
 from txnlake.operators.transform import transform
 from txnlake.plans import etl
+from txnlake.plans import warehouse as W
 from txnlake.plans.warehouse import build, load
 from txnlake.sources import testdata as A
 
@@ -79,3 +83,52 @@ def test_positions_are_unique_where_keys_repeat(spark, tmp_dir):
     spark.createDataFrame(orders, spark.read.parquet(f"{where}/orders.parquet").schema).write.mode("append").parquet(f"{where}/orders.parquet")
     feed = A.raw_feed(spark, where)
     assert feed.count() == feed.select("_ord").distinct().count() == A.raw_lines(spark, where).count()
+
+
+def _task_input(spark, tmp_dir):
+    """Processed lines of several months, some of which share a row hash."""
+    processed = etl.processed_for(spark, _tables(spark, f"{tmp_dir}/in"))
+    later = F.expr("CAST(InvoiceDate + make_dt_interval(CAST(abs(Quantity) AS int) * 40) AS timestamp_ntz)")
+    lines = processed.lines.withColumn("InvoiceDate", later)
+    again = lines.withColumns({"CustomerID": F.lit(9), "_ord": F.col("_ord") + (1 << 40)})
+    return etl.from_lines(etl.stage_raw(spark, lines.unionByName(again)))
+
+
+def test_first_load_deals_facts_without_sampling_or_a_second_pass(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(W, "_TASK_ROWS", 20)  # several tasks
+    processed = _task_input(spark, tmp_dir)
+    countries = spark.createDataFrame([(1, "HERE")], "country_key int, country string").hint("broadcast")
+    fact = W.stage_facts(processed, countries, by_range=True)["fact_sales"]
+    plan = W._numbered(fact, "fact_sales", 0)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Union" not in plan
+    assert plan.count("shufflepartitionidpassthrough") == 1 and "hashpartitioning" not in plan
+    wh, lazy = load(spark, processed, f"{tmp_dir}/wh"), build(processed)
+    for name in ("fact_sales", "fact_cancellations", "fact_adjustment"):
+        a, b = (getattr(w, name).drop("sale_id", "cancel_id", "adjustment_id") for w in (wh, lazy))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+    assert wh.fact_sales.count() > 0 and wh.fact_sales.filter("customer_id = 9").isEmpty()
+
+
+def test_dimensions_combine_lines_by_hash_before_they_sort(spark, tmp_dir):
+    tx = W._tx(_task_input(spark, tmp_dir))
+    plan = D.dim_product(tx)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan[plan.rindex("HashAggregate"):] and plan.count("HashAggregate(") == 2
+    plain = tx.filter("StockCode IS NOT NULL").groupBy("StockCode").agg(F.min_by("Description", F.struct(*D.FIRST_ORDER)))
+    assert sorted(map(tuple, D.dim_product(tx).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_processed_lines_need_no_written_feed(spark, tmp_dir):
+    where = _tables(spark, f"{tmp_dir}/in")
+    direct = etl.processed_for(spark, where).lines
+    assert not [k for k in etl._RAW if k[1] == where]
+    staged = transform(etl.raw_for(spark, where)).lines.select(*direct.columns)
+    assert direct.exceptAll(staged).isEmpty() and staged.exceptAll(direct).isEmpty()
+
+
+def test_day_keys_and_trimming_are_as_before(spark):
+    days = spark.sql("SELECT explode(array(timestamp_ntz'2010-12-01 08:26:00', timestamp_ntz'0001-01-02 00:00:00', "
+                     "timestamp_ntz'0000-03-02 00:00:00', timestamp_ntz'-0005-03-02 00:00:00', NULL)) AS t")
+    assert days.filter(~X.date_key(F.col("t")).eqNullSafe(F.date_format("t", "yyyyMMdd").cast("int"))).isEmpty()
+    texts = ["", " ", "\t\n x y 　", "\u0085b\x1c", "a​", "é  ", "plain"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", K.strip(F.col("t")).alias("s")).collect()
+    assert [r["s"] for r in rows] == [t.strip() for t in texts]

@@ -42,9 +42,9 @@ def is_fin_adj_code(code: Column) -> Column:
     return F.coalesce(code.isin(*FIN_ADJ_CODES) | code.startswith(FIN_ADJ_PREFIX), F.lit(False))
 
 
-_WS = r"[\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u001c-\u001f]"
+_WS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace, as Python's str.strip does."""
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+    return F.btrim(c, F.lit(_WS))

@@ -35,13 +35,19 @@ def all_transactions(lines: DataFrame) -> DataFrame:
 
 def dim_product(tx: DataFrame) -> DataFrame:
     """L3: first description per stock code (sales, cancellations,
-    adjustments, non-sales, then file order). ``min_by`` is a partial
-    aggregate: no sort, no window."""
-    return (tx.filter(F.col("StockCode").isNotNull())
+    adjustments, non-sales, then file order). Lines are combined by a hash
+    aggregate per code, description and rank; the few rows that are left are
+    the only ones sorted for ``min_by``."""
+    return (_earliest(tx.filter(F.col("StockCode").isNotNull()), "StockCode", "Description")
             .groupBy(F.col("StockCode").alias("stock_code"))
             .agg(F.min_by("Description", F.struct(*FIRST_ORDER)).alias("description")))
 
 
+def _earliest(tx: DataFrame, *keys: str) -> DataFrame:
+    """The first position of every key and rank (a struct would make it a sort aggregate)."""
+    return tx.groupBy(*keys, "src_rank", "sub_rank").agg(F.min("_ord").alias("_ord"))
+
+
 def dim_customer(tx: DataFrame) -> DataFrame:
     """L4: distinct known customers."""
     return (tx.filter(F.col("CustomerID").isNotNull())
@@ -55,7 +61,7 @@ def new_countries(tx: DataFrame, existing: DataFrame | None = None) -> DataFrame
     Country is free text, so the names are numbered by the distributed rank
     and not by a window in one task.
     """
-    first = (tx.groupBy(F.col("Country").alias("country"))
+    first = (_earliest(tx, "Country").groupBy(F.col("Country").alias("country"))
              .agg(F.min(F.struct(*FIRST_ORDER)).alias("_first")))
     base = F.lit(0)
     if existing is not None:

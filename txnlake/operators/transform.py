@@ -40,9 +40,11 @@ def transform(raw: DataFrame) -> Processed:
     their group. A group is sorted within its task, which may spill.
     """
     typed = C.cast_customer(C.parse_ts(raw))
-    classified = C.classify(typed)
-    flagged = Q.flag_duplicates(classified)
-    lines = C.route(flagged.withColumns({
+    # The type follows from the raw columns, so it need not be shuffled.
+    flagged = Q.flag_duplicates(typed)
+    classified = C.classify(flagged).select(*[c for c in Q.ROW_COLUMNS if c in (*flagged.columns, "TransactionType")],
+                                            *[c for c in flagged.columns if c not in Q.ROW_COLUMNS])
+    lines = C.route(classified.withColumns({
         "OriginalType": F.col("TransactionType"),
         "SignedQuantity": F.col("Quantity"),
     }))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.transform import Processed, from_lines, transform
 from ..session import COMPRESSION, drop_path, scratch_path
 from ..sources import files as IO
-from ..sources.testdata import raw_feed
+from ..sources.testdata import numbered_feed, raw_feed
 from .warehouse import Warehouse, load
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}
@@ -61,10 +61,12 @@ def raw_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFra
 
 
 def processed_for(spark: SparkSession, sf_dir: str, describe: str = "name") -> Processed:
-    """The feed's processed lines, written once per session."""
+    """The feed's processed lines, written once per session. The transform reads
+    its input once, so a feed that nothing else has written is not written for it."""
     key = _key(spark, sf_dir, describe)
     if key not in _PROCESSED:
-        _PROCESSED[key] = process(spark, raw_for(spark, sf_dir, describe))
+        raw = _RAW[key] if key in _RAW else numbered_feed(spark, sf_dir, describe)
+        _PROCESSED[key] = process(spark, raw if raw is not None else raw_for(spark, sf_dir, describe))
     return _PROCESSED[key]
 
 

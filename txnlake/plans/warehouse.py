@@ -63,28 +63,31 @@ FACT_OF_KIND = {"sales": "fact_sales", "cancellations": "fact_cancellations",
 
 def validation_report(keyed: DataFrame) -> DataFrame:
     """Rows, missing country keys and missing date keys per fact table, in
-    one pass over the keyed lines, with the months present (at most one value
-    per calendar month)."""
+    one pass over the keyed lines, with the months present and their rows (at
+    most one value per calendar month)."""
     table = F.lit(None).cast("string")
     for kind, name in FACT_OF_KIND.items():
         table = F.when(F.col("kind") == kind, F.lit(name)).otherwise(table)
-    return keyed.select(table.alias("table"), "country_key", "date_key").groupBy("table").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("country_key").isNull()).alias("missing_country_keys"),
-        F.count_if(F.col("date_key").isNull()).alias("missing_date_keys"),
-        F.collect_set((F.col("date_key") / 100).cast("int")).alias("months"),
-    )
-
-
-def validate_facts(keyed: DataFrame) -> list[int]:
-    """The months of the keyed lines; raises, naming the first table with a missing key."""
+    monthly = keyed.select(table.alias("table"), (F.col("date_key") / 100).cast("int").alias("month"), "country_key", "date_key") \
+        .groupBy("table", "month").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("country_key").isNull()).alias("missing_country_keys"),
+            F.count_if(F.col("date_key").isNull()).alias("missing_date_keys"))
+    return monthly.groupBy("table").agg(
+        *[F.sum(c).alias(c) for c in ("rows", "missing_country_keys", "missing_date_keys")],
+        F.collect_list(F.when(F.col("month").isNotNull(), F.struct("month", "rows"))).alias("months"))
+
+
+def validate_facts(keyed: DataFrame) -> dict[str, dict[int, int]]:
+    """The months of the keyed lines and their rows, per fact table; raises,
+    naming the first table with a missing key."""
     rows = validation_report(keyed).collect()  # one row per fact table
     for r in rows:
         if r["missing_country_keys"]:
             raise ValidationError(f"{r['table']}: {r['missing_country_keys']} of {r['rows']} rows have no country key")
         if r["missing_date_keys"]:
             raise ValidationError(f"{r['table']}: {r['missing_date_keys']} of {r['rows']} rows have no date key")
-    return sorted({m for r in rows for m in r["months"]})
+    return {r["table"]: {m["month"]: m["rows"] for m in r["months"]} for r in rows}
 
 
 def _months(keyed: DataFrame) -> list[int]:
@@ -110,11 +113,12 @@ def stage_dimensions(processed: Processed, existing: Warehouse | None = None,
     """New dimension rows (L3-L6), insert-ignore against ``existing``. Numbering
     the new countries is a job of its own, unless ``dim_country`` holds them."""
     tx, old = _tx(processed), existing
+    # Each is one row per key by its own aggregate.
     return DimensionRows(
-        dim_product=X.insert_ignore(D.dim_product(tx), old and old.dim_product, ["stock_code"]),
-        dim_customer=X.insert_ignore(D.dim_customer(tx), old and old.dim_customer, ["customer_id"]),
+        dim_product=X.not_in(D.dim_product(tx), old and old.dim_product, ["stock_code"]),
+        dim_customer=X.not_in(D.dim_customer(tx), old and old.dim_customer, ["customer_id"]),
         dim_country=dim_country if dim_country is not None else D.new_countries(tx, old and old.dim_country),
-        dim_date=X.insert_ignore(D.dim_date(tx), old and old.dim_date, ["date_key"]),
+        dim_date=X.not_in(D.dim_date(tx), old and old.dim_date, ["date_key"]),
     )
 
 
@@ -139,14 +143,15 @@ def stage(processed: Processed, existing: Warehouse | None = None,
 def stage_facts(processed: Processed, dim_country: DataFrame, existing: Warehouse | None = None,
                 validate: bool = True, by_range: bool = False) -> dict[str, DataFrame]:
     """The rows of the facts and the audit table. ``by_range``: equal rows of
-    a first load are found in ranges of (month, row hash), so what is written
-    by month needs no shuffle of its own."""
+    a first load are found in runs of months, so what is written by month
+    needs no shuffle of its own; these tables carry their month, and their row
+    hash as bytes (``_numbered`` writes it as text)."""
     tx, old = _tx(processed), existing
     keyed = X.with_keys(tx, dim_country)
     seen = validate_facts(keyed) if validate else None
     months = None
     if old is not None and old.path:
-        months = seen if seen is not None else _months(keyed)
+        months = sorted({m for sizes in seen.values() for m in sizes}) if seen is not None else _months(keyed)
 
     def target_of(table: str) -> DataFrame | None:
         """Existing rows that a row of the batch can conflict with."""
@@ -157,20 +162,44 @@ def stage_facts(processed: Processed, dim_country: DataFrame, existing: Warehous
     facts: dict[str, DataFrame] = {}
     for table, (kind, id_col) in FACT_KINDS.items():
         rows, target = X.standard_fact(keyed.filter(F.col("kind") == kind)), target_of(table)
-        if by_range and target is None:
-            # Hashes move as 16 bytes. Equal ones have equal timestamps, so equal months.
-            rows = rows.withColumns({"row_hash": F.unhex("row_hash"), MONTH: F.coalesce((F.col("date_key") / 100).cast("int"), F.lit(0))})
-            new = X.first_per_key(rows.repartitionByRange(MONTH, "row_hash"), [MONTH, "row_hash"], ["sub_rank", "_ord"]) \
-                .withColumn("row_hash", F.lower(F.hex("row_hash")))
+        columns = [c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col]
+        if by_range and seen is not None and target is None:
+            facts[table] = _first_by_month(rows, seen.get(table, {})).select(*columns, MONTH)
         else:
-            new = X.insert_ignore(rows, target, ["row_hash"], ["sub_rank", "_ord"])
-        facts[table] = new.select(*[c for c in S.WAREHOUSE_SCHEMAS[table].fieldNames() if c != id_col])
+            facts[table] = X.insert_ignore(rows, target, ["row_hash"], ["sub_rank", "_ord"]).select(*columns)
     ns = X.non_sale_fact(keyed.filter(F.col("kind") == "non_sales"))
     facts["fact_non_sale"] = X.multiset_insert(ns, target_of("fact_non_sale"), X.NON_SALE_COLUMNS)
     facts[AUDIT] = X.audit_rows(D.clean(processed.audit))
     return facts
 
 
+#: Rows of a first load's fact that make a write task of their own.
+_TASK_ROWS = 100_000
+
+
+def _first_by_month(rows: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """One row per row hash, the first by file order, dealt to the tasks in
+    even runs of months (``sizes``: rows per month, as validation has counted
+    them, so nothing is sampled) and sorted by month and hash. Equal hashes
+    have equal timestamps, so equal months. Hashes move as 16 bytes."""
+    total = max(sum(sizes.values()), 1)
+    tasks = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // _TASK_ROWS))
+    known, before = sorted(sizes), 0
+    starts = []
+    for m in known:
+        starts.append(before)
+        before += sizes[m]
+    at = lambda values: F.element_at(F.map_from_arrays(F.lit(known), F.lit(values)), F.col(MONTH))
+    share = F.pmod(F.xxhash64("row_hash"), F.lit(1 << 20)) / F.lit(float(1 << 20))  # the row's place in its month
+    place = F.floor((at(starts) + share * at([sizes[m] for m in known])) * F.lit(tasks / total)).cast("int")
+    task = F.greatest(F.least(place, F.lit(tasks - 1)), F.lit(0)) if known else F.lit(0)
+    dealt = (rows.withColumns({"row_hash": F.unhex("row_hash"), MONTH: (F.col("date_key") / 100).cast("int")}).withColumn("_task", task)
+             .drop("date_key", MONTH).repartitionById(tasks, "_task").withColumn(MONTH, month_of("invoice_date")))
+    rest = [c for c in dealt.columns if c not in ("row_hash", MONTH, "_task", "sub_rank", "_ord")]
+    return (dealt.groupBy(MONTH, "row_hash", "_task").agg(F.min_by(F.struct(*rest), F.struct("sub_rank", "_ord")).alias("_row"))
+            .select(MONTH, "row_hash", "_row.*").withColumn("date_key", X.date_key(F.col("invoice_date"))))
+
+
 def _conform(df: DataFrame, name: str, *extra: str) -> DataFrame:
     schema = S.WAREHOUSE_SCHEMAS[name]
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
@@ -221,7 +250,7 @@ def try_open(spark: SparkSession, path: str) -> Warehouse | None:
 ID_COLUMNS = {name: schema.fieldNames()[0] for name, schema in S.WAREHOUSE_SCHEMAS.items() if name in PARTITIONED}
 
 
-def _numbered(rows: DataFrame, name: str, start_after: int, by_range: bool = False) -> DataFrame:
+def _numbered(rows: DataFrame, name: str, start_after: int) -> DataFrame:
     """Rows ready for a month-partitioned write, with surrogate ids.
 
     The REBALANCE hint shuffles by month so each task writes few month
@@ -229,13 +258,16 @@ def _numbered(rows: DataFrame, name: str, start_after: int, by_range: bool = Fal
     merges small ones). Ids come after that shuffle, in a fixed order within
     the writing task: nothing is moved afterwards, and only one attempt of a
     task is committed, so a lost executor cannot make an id repeat. Rows that
-    come in ranges of months (``by_range``) are dealt already.
+    come with their month (``_first_by_month``) are dealt already.
     """
     day = X.date_key(F.col("invoice_date")) if name == AUDIT else F.col("date_key")
     order = "row_hash" if name != AUDIT else "invoice_no"
-    dealt = rows.withColumn(MONTH, (day / 100).cast("int"))
-    dealt = (dealt if by_range else dealt.hint("rebalance", MONTH)).sortWithinPartitions(MONTH, order)
-    numbered = X.with_ids(dealt, ID_COLUMNS[name], start_after)
+    if MONTH in rows.columns:
+        dealt = rows.sortWithinPartitions(MONTH, order)  # as the aggregate leaves them
+        numbered = X.with_ids(dealt, ID_COLUMNS[name], start_after).withColumn("row_hash", F.lower(F.hex("row_hash")))
+    else:
+        dealt = rows.withColumn(MONTH, (day / 100).cast("int")).hint("rebalance", MONTH).sortWithinPartitions(MONTH, order)
+        numbered = X.with_ids(dealt, ID_COLUMNS[name], start_after)
     return _conform(numbered, name, MONTH)
 
 
@@ -371,7 +403,7 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
         found = spark.read.schema(rows[AUDIT].schema).parquet(f"{scratch}/{AUDIT}")
         rows[AUDIT], months = _audit_months(existing.by_month[AUDIT], found, groups)
         attempt.replace(AUDIT, {f"{MONTH}={m}" for m in months})
-    jobs = [(_numbered(df, n, base.top_ids.get(n, 0), existing is None and n in FACT_KINDS), "append", attempt.target(n)) for n, df in rows.items()]
+    jobs = [(_numbered(df, n, base.top_ids.get(n, 0)), "append", attempt.target(n)) for n, df in rows.items()]
     if keep_lines:
         # The lines' digests are taken after the shuffle by month.
         dealt = processed.lines.select(*_IDENTITY, "kind", month_of("InvoiceDate").alias(MONTH)).hint("rebalance", MONTH)

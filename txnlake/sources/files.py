@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.codes import KINDS
 from ..operators.classify import parse_timestamp
 from ..session import COMPRESSION, scratch_path
 from . import quoted_csv
@@ -157,10 +158,16 @@ def write_processed(lines: DataFrame, path: str, fmt: str = "parquet") -> None:
     """S3: the processed tables as one table partitioned by kind (a reader of
     one kind prunes the others), written in one job."""
     w = lines.write.mode("overwrite").partitionBy("kind")
-    if fmt == "csv":
-        w.options(header=True, escape='"', quoteAll=False, emptyValue='""', nullValue="").csv(path)
-    else:
-        w.option("compression", COMPRESSION).parquet(path)
+    conf, key = lines.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(len(KINDS)))
+    try:
+        if fmt == "csv":
+            w.options(header=True, escape='"', quoteAll=False, emptyValue='""', nullValue="").csv(path)
+        else:
+            w.option("compression", COMPRESSION).parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def _holds(spark: SparkSession, path: str, pattern: str) -> bool:

@@ -63,12 +63,17 @@ def _fits_a_long(spark: SparkSession, sf_dir: str) -> bool:
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFrame:
-    """``raw_lines`` with a long ``_ord``. Lines are numbered within their order
-    by the shuffle that joins them with the orders; an order has so few lines
-    (checked) that its sort is small. Otherwise all lines are sorted."""
-    if _fits_a_long(spark, sf_dir):
-        return raw_lines(spark, sf_dir, describe, numbered=True)
-    return long_ordinal(raw_lines(spark, sf_dir, describe))
+    """``raw_lines`` with a long ``_ord``: ``numbered_feed``, or all lines sorted
+    where it has none (then write the result once and read it back)."""
+    numbered = numbered_feed(spark, sf_dir, describe)
+    return numbered if numbered is not None else long_ordinal(raw_lines(spark, sf_dir, describe))
+
+
+def numbered_feed(spark: SparkSession, sf_dir: str, describe: str = "name") -> DataFrame | None:
+    """Lines are numbered within their order by the shuffle that joins them with
+    the orders; an order has so few lines (checked) that its sort is small.
+    Deterministic, so it may be read without being written first."""
+    return raw_lines(spark, sf_dir, describe, numbered=True) if _fits_a_long(spark, sf_dir) else None
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, describe: str = "name", numbered: bool = False) -> DataFrame:
@@ -109,7 +114,9 @@ def raw_lines(spark: SparkSession, sf_dir: str, describe: str = "name", numbered
     j = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     ordinal = F.struct(*[F.col(c) for c in ORDINAL_FIELDS], F.col("copy_no"))
     if numbered:
-        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ORDINAL_FIELDS[1:], "copy_no"))
+        # Where keys repeat, the joined columns tell lines apart: every run numbers them alike.
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(
+            *ORDINAL_FIELDS[1:], "copy_no", "o_custkey", "o_orderdate", "o_orderpriority", "n_name", desc))
         j = j.withColumn("_place", F.col("l_orderkey") * (1 << _PLACE_BITS) + place)
         ordinal = F.col("_place")
 

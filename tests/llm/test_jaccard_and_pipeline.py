@@ -174,3 +174,17 @@ def test_language_stage_keeps_lettered_texts_whatever_the_labels(spark, lang):
     stage = dict(corpus_pipeline.STAGES)["language_id"]
     got = stage(spark, documents(spark, rows), SF).select("doc_id", "text", "source")
     assert collected(got) == sorted((r[:3] for r in rows if re.search(r"[^\W\d_]", r[1] or "")), key=repr)
+
+
+def test_similarity_of_large_buckets_makes_no_row_per_member_and_byte(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, bytes(rng.integers(0, 4, J.SKETCH, dtype=np.uint8))) for i in range(60)]
+    members = [(i, key) for i in range(60) for key in (1, 2) if key == 1 or i % 3]
+    sets = spark.createDataFrame([(i, bytearray(s)) for i, s in rows], "row long, sketch binary")
+    got = J._alike(spark.createDataFrame(members, "rep long, key long"), sets)
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    for r in got.collect():
+        held = [s for i, s in rows if (i, r["key"]) in members]
+        shares = [sum(a[b] == c[b] for a in held for c in held) / len(held) ** 2 for b in range(0, J.SKETCH, J.SKETCH // 4)]
+        assert abs(r["alike"] - sum(shares) / 4) < 1e-12
+    assert got.count() == 2

@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -154,12 +155,14 @@ def shingle_sets(docs: DataFrame, runs: int, depth: int) -> DataFrame:
 
 def _alike(members: DataFrame, sets: DataFrame) -> DataFrame:
     """key, alike: average similarity of the bucket's members, from how often
-    four sketch bytes agree (a sum of squared counts per bucket and byte)."""
-    bins = F.posexplode(F.array(*[F.substring("sketch", i + 1, 1) for i in range(0, SKETCH, SKETCH // 4)]))
-    seen = members.join(sets.select(F.col("row").alias("rep"), "sketch"), "rep").select("key", bins.alias("bin", "byte"))
-    counts = seen.groupBy("key", "bin", "byte").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    return (counts.groupBy("key", "bin").agg((F.sum(F.col("c") * F.col("c")) / F.pow(F.sum("c"), 2)).alias("s"))
-            .groupBy("key").agg(F.avg("s").alias("alike")))
+    four sketch bytes agree (a sum of squared counts per bucket and byte).
+    Members stay one row each; a byte's counts are taken per bucket."""
+    places = range(0, SKETCH, SKETCH // 4)
+    seen = staged(members.join(sets.select(F.col("row").alias("rep"), "sketch"), "rep")
+                  .select("key", *[F.substring("sketch", i + 1, 1).alias(f"byte{i}") for i in places]), "bucket-bytes")
+    agree = [seen.groupBy("key", f"byte{i}").agg(F.count(F.lit(1)).cast("double").alias("c"))
+             .groupBy("key").agg((F.sum(F.col("c") * F.col("c")) / F.pow(F.sum("c"), 2)).alias("s")) for i in places]
+    return reduce(DataFrame.unionByName, agree).groupBy("key").agg(F.avg("s").alias("alike"))
 
 
 def leaves(sets: DataFrame, reps: DataFrame, depth: int) -> DataFrame:

@@ -17,6 +17,7 @@ from txnlake.plans import etl
 from txnlake.plans import warehouse as W
 from txnlake.plans.warehouse import build, load
 from txnlake.sources import testdata as A
+from txnlake.sources.files import read_raw
 
 DAY = datetime.datetime(2011, 1, 31, 8, 0)
 
@@ -132,3 +133,14 @@ def test_day_keys_and_trimming_are_as_before(spark):
     texts = ["", " ", "\t\n x y 　", "\u0085b\x1c", "a​", "é  ", "plain"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", K.strip(F.col("t")).alias("s")).collect()
     assert [r["s"] for r in rows] == [t.strip() for t in texts]
+
+
+def test_raw_files_are_joined_as_numbers_and_timestamps(spark, tmp_dir):
+    for name, lines in (("ids", ["InvoiceNo,StockCode", "1,a", "2,b"]),
+                        ("data", ["Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country", "x,1,12/1/2010 8:26,1.5,17850.0,U", "y,2.0,no date,2,,U"])):
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{tmp_dir}/{name}")
+    raw = read_raw(spark, f"{tmp_dir}/ids", f"{tmp_dir}/data")
+    assert [tuple(r) for r in raw.orderBy("_ord").collect()] == [
+        ("1", "a", "x", 1, datetime.datetime(2010, 12, 1, 8, 26), 1.5, 17850, "U", 0), ("2", "b", "y", 2, None, 2.0, None, "U", 1)]
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestamp_ntz" not in plan[:plan.index("Join")]

@@ -20,7 +20,7 @@ from ..operators import classify as C
 from ..operators import profile as P
 from ..operators.facts import with_keys
 from ..operators.ranking import global_rank, ntile_global
-from ..session import scratch_path
+from ..session import COMPRESSION, scratch_path
 from ..sources.files import read_raw
 from . import snapshots
 from .catalog import BY_ID, export_all
@@ -196,7 +196,7 @@ def _raw_files(spark: SparkSession, sf: str, tail: str = ' 36" wide, "large" \\'
 def staged_order(raw: DataFrame) -> DataFrame:
     """The feed in file order, written so that both files are cut alike."""
     path = scratch_path(raw.sparkSession, "ordered")
-    raw.repartitionByRange("_ord").sortWithinPartitions("_ord").write.parquet(path)
+    raw.repartitionByRange("_ord").sortWithinPartitions("_ord").write.option("compression", COMPRESSION).parquet(path)
     return raw.sparkSession.read.parquet(path)
 
 

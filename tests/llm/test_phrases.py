@@ -108,3 +108,15 @@ def test_exact_scores_beyond_64_bits(spark):
 def test_phrases_of_nothing(spark):
     assert phrases.collocations(documents(spark, [])).collect() == []
     assert phrases.collocations(documents(spark, [(1, None), (2, "too few words")])).collect() == []
+
+
+def test_each_length_is_counted_in_one_pass(spark, monkeypatch):
+    """A pass sends what the a-priori rule lets through, whether it turns out frequent or not: no row count jumps with the threshold."""
+    passes = []
+    count = phrases._count
+    monkeypatch.setattr(phrases, "_count", lambda n, *a: passes.append(n) or count(n, *a))
+    monkeypatch.setattr(phrases, "_count_buckets", lambda n, *a: pytest.fail("a second pass"), raising=False)
+    rows = texts(7, 60)
+    got = phrases.collocations(documents(spark, rows), min_count=9)
+    assert collected(got) == brute(rows, 9)
+    assert passes == [1, 2, 3, 4, 5]

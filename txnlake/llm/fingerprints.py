@@ -16,7 +16,7 @@ import numpy as np
 from .tokens import mix
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-SLICE = 1 << 20  # bytes hashed at a time, cut between words
+SLICE = 1 << 18  # bytes hashed at a time, cut between words
 
 _WORD, _SPACE, _BREAK = 0, 1, 2
 

@@ -1,14 +1,12 @@
 """Operator 13, phrase collocation mining by Rabin-Karp fingerprints.
 
-Phrases are counted by length, in two passes of the texts each. Numpy prefix
-polynomials fingerprint every n-gram. The first pass only counts the leading
-40 bits of the fingerprints, of those n-grams of which both (n-1)-grams may be
-frequent (the a-priori rule). The second sends, for each fingerprint whose
-leading bits are frequent, its count, a check value and an occurrence pointer
-(the hash of a document that has it), and a shuffle aggregates them: a phrase
-that cannot be frequent costs a narrow row or none. Which leading bits are
-frequent, tasks read from a bit table of at most 16 MB without false
-negatives; where it is saturated more is sent, and nothing is lost.
+Phrases are counted by length, in one pass of the texts each. Numpy prefix
+polynomials fingerprint every n-gram. A pass sends, for each fingerprint of
+which both (n-1)-grams may be frequent (the a-priori rule), its count, a check
+value and an occurrence pointer (the hash of a document that has it), combined
+in the task, and a shuffle aggregates them. Which (n-1)-grams are frequent,
+tasks read from a bit table of at most 16 MB without false negatives; where it
+is saturated more is sent, and nothing is lost.
 
 Collisions are verified against the text: fingerprints of frequent groups
 whose check values differ are looked up in the texts again and counted phrase
@@ -16,7 +14,7 @@ by phrase. All others are frequent phrases; only these are read, each from
 the one document that its pointer names. Parts of phrases are fingerprints of
 their own, so their counts are joined, and the rest is SQL.
 
-No group is collected, all counting is by partial aggregation, and a task
+No group is collected, counts are combined in the task before they move, and a task
 holds a slice of texts: long texts are hashed in parts that overlap by four
 words (only a word of many MB is held whole).
 
@@ -48,9 +46,10 @@ SPACES, BREAKS = b"\x20\x09", b".,;:!?\x0A\x0B\x0C\x0D"
 WORDS = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FLUSH = 1 << 20  # n-grams that a task aggregates at a time
-_POINTER_BITS = _BUCKET_BITS = 40
+_ROWS = 1024  # texts that a task decodes at a time
+_POINTER_BITS, _BUCKET_BITS = 32, 40
 
-_COUNTS = "fp long, check int, n long, doc long"
+_COUNTS = "fp long, tag long, n long"  # tag: check value and pointer, 32 bits each
 _FOUND = "fp long, check int, words int, n long, lang string, phrase string, cuts array<struct<k:int,lf:long,lc:int,rf:long,rc:int>>"
 
 
@@ -79,19 +78,23 @@ def _bucket(fp: np.ndarray, bits: int) -> np.ndarray:
     return (fp << np.uint64(64 - bits)) >> np.uint64(64 - _BUCKET_BITS)
 
 
-def _runs(keys: np.ndarray) -> np.ndarray:
+def _runs(*keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal rows (of one or more sorted arrays)."""
-    differ = np.ones(keys.shape[-1], bool)
-    differ[1:] = (keys[..., 1:] != keys[..., :-1]).any(axis=0) if keys.ndim > 1 else keys[1:] != keys[:-1]
+    differ = np.ones(len(keys[0]), bool)
+    differ[1:] = False
+    for k in keys:
+        differ[1:] |= k[1:] != k[:-1]
     return np.flatnonzero(differ)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[Words, tuple, np.ndarray]]:
     slicer = Slicer(SPACES, BREAKS, n - 1)
-    for batch in batches:
-        seeds, pointer = _seeds(batch), _numbers(batch, "doc")
-        for words in slicer(_texts(batch)):
-            yield words, seeds, pointer
+    for whole in batches:
+        for at in range(0, len(whole), _ROWS):
+            batch = whole.slice(at, _ROWS)
+            seeds, pointer = _seeds(batch), _numbers(batch, "doc")
+            for words in slicer(_texts(batch)):
+                yield words, seeds, pointer
 
 
 def _flushed(found: Iterator[tuple[np.ndarray, ...]], row) -> Iterator[pa.RecordBatch]:
@@ -107,41 +110,26 @@ def _flushed(found: Iterator[tuple[np.ndarray, ...]], row) -> Iterator[pa.Record
         yield row(*(np.concatenate(p) for p in zip(*parts)))
 
 
-def _count_buckets(n: int, bits: int, shorter):
-    """Counts the leading bits of the n-grams of which both (n-1)-grams pass ``shorter``."""
-    def row(bucket: np.ndarray) -> pa.RecordBatch:
-        bucket = np.sort(bucket)
-        first = _runs(bucket)
-        size = np.diff(np.append(first, len(bucket)))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[first].view(np.int64)), pa.array(size.astype(np.int64))], names=["bucket", "n"])
+def _count(n: int, bits: int, shorter):
+    """Counts the n-grams of which both (n-1)-grams pass ``shorter``."""
+    def row(fp: np.ndarray, tag: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(fp)
+        fp, tag = fp[order], tag[order]
+        first = _runs(fp, tag >> np.uint64(_POINTER_BITS))
+        size = np.diff(np.append(first, len(fp)))
+        arrays = [fp[first].view(np.int64), np.minimum.reduceat(tag, first).view(np.int64), size.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["fp", "tag", "n"])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-        for words, seeds, _ in _slices(batches, n):
+        for words, seeds, pointer in _slices(batches, n):
             ok = words.whole(n)
             if shorter is not None and len(ok):
                 may = passes(shorter.value, _bucket(words.grams(n - 1, seeds, bits)[0], bits))
                 ok &= may[:-1] & may[1:]
-            yield (_bucket(words.grams(n, seeds, bits)[0][ok], bits),)
-
-    return lambda batches: _flushed(found(batches), row)
-
-
-def _count(n: int, bits: int, frequent):
-    """Counts the n-grams whose leading bits pass ``frequent``."""
-    def row(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(fp)
-        fp, check, doc = fp[order], check[order], doc[order]
-        first = _runs(np.stack([fp, check]))
-        size = np.diff(np.append(first, len(fp)))
-        arrays = [fp[first].view(np.int64), check[first].astype(np.uint32).view(np.int32), size.astype(np.int64),
-                  np.minimum.reduceat(doc, first).view(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["fp", "check", "n", "doc"])
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-        for words, seeds, pointer in _slices(batches, n):
             fp, check = words.grams(n, seeds, bits)
-            at = np.flatnonzero(words.whole(n) & passes(frequent.value, _bucket(fp, bits)))
-            yield fp[at], check[at], pointer[words.doc[at]]
+            at = np.flatnonzero(ok)
+            tag = check[at] << np.uint64(_POINTER_BITS)
+            yield fp[at], tag | pointer[words.doc[at]] if n > 1 else tag  # single words are never read
 
     return lambda batches: _flushed(found(batches), row)
 
@@ -230,16 +218,19 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     clean_key = (F.col("low") == F.col("high"))
     marks, known, alone, written = None, [], [], []
     for n in range(1, longest + 1):
-        buckets = source.mapInArrow(_count_buckets(n, bits, marks), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("a"))
-        buckets = staged(buckets.filter(F.col("a") >= min_count), f"phrase-buckets-{n}")
-        marks = spark.sparkContext.broadcast(bit_table(buckets, "bucket", _BUCKET_BITS, buckets.count()))
-        pointer = F.min("doc") if n > 1 else F.max(F.lit(0)).cast("long")  # single words are never read
-        counted = source.mapInArrow(_count(n, bits, marks), _COUNTS).groupBy("fp").agg(
-            F.sum("n").alias("a"), F.min("check").alias("low"), F.max("check").alias("high"), pointer.alias("doc"))
+        # The tasks have combined their rows; dealt as they are, they are narrower than partial aggregates.
+        check = [f(F.shiftright("tag", _POINTER_BITS).cast("int")).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
+        counted = source.mapInArrow(_count(n, bits, marks), _COUNTS).repartition("fp").groupBy("fp").agg(
+            F.sum("n").alias("a"), *check, F.min(F.col("tag").bitwiseAND((1 << _POINTER_BITS) - 1)).alias("doc"))
         level = staged(counted.filter(F.col("a") >= min_count).withColumn("words", F.lit(n)), f"phrases-{n}")
+        if marks is not None:
+            marks.unpersist()
         seen = level.agg(F.count(F.lit(1)).alias("all"), F.count_if(~clean_key).alias("shared")).first()
         if not seen["all"]:
             break
+        bucket = F.shiftrightunsigned(F.shiftleft("fp", 64 - bits), 64 - _BUCKET_BITS).alias("bucket")
+        if n < longest:
+            marks = spark.sparkContext.broadcast(bit_table(level.select(bucket), "bucket", _BUCKET_BITS, seen["all"]))
         clean = level.filter(clean_key).select("fp", F.col("low").alias("check"), "a", "words", "doc")
         known.append(clean.select("fp", "check", "a"))
         if n > 1:
@@ -247,8 +238,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
         if seen["shared"]:
             # Collisions: every occurrence is read and counted by its text.
             shared = level.filter(~clean_key).select("fp")
-            again = shared.select(F.shiftrightunsigned(F.shiftleft("fp", 64 - bits), 64 - _BUCKET_BITS).alias("bucket"))
-            collided = spark.sparkContext.broadcast(bit_table(again, "bucket", _BUCKET_BITS, seen["shared"]))
+            collided = spark.sparkContext.broadcast(bit_table(shared.select(bucket), "bucket", _BUCKET_BITS, seen["shared"]))
             read = source.mapInArrow(_occurrences(n, bits, collided), _FOUND).join(shared, "fp", "left_semi")
             by_text = read.groupBy("fp", "check", "words", "lang", "phrase", "cuts").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count)
             by_text = staged(by_text, f"phrases-{n}-by-text")

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -188,3 +189,36 @@ def test_similarity_of_large_buckets_makes_no_row_per_member_and_byte(spark):
         shares = [sum(a[b] == c[b] for a in held for c in held) / len(held) ** 2 for b in range(0, J.SKETCH, J.SKETCH // 4)]
         assert abs(r["alike"] - sum(shares) / 4) < 1e-12
     assert got.count() == 2
+
+
+def test_small_buckets_are_compared_together(monkeypatch):
+    """Buckets that cross batches, parts of a large one, earlier shared buckets: as pair by pair, and many at once."""
+    rng = np.random.default_rng(4)
+    rows, bases = [], rng.integers(0, 5, (6, J.SKETCH), dtype=np.uint8)
+    for key in range(300):
+        cross = key % 3 == 0
+        for rep in range(rng.integers(1, 7) if key != 150 else 90):
+            s = bases[rng.integers(6)].copy()
+            s[rng.integers(0, J.SKETCH, 20)] = rng.integers(0, 5, 20)
+            rows.append({"key": key, "pair": key % 2, "cross": cross, "rep": rep, "n": int(rng.integers(40, 60)), "part": int(rng.integers(2)),
+                         "sketch": s.tobytes(), "keys": sorted({key, *rng.integers(0, 300, 12).tolist()})})
+
+    def likely(x, y):
+        a, b = (np.frombuffer(r["sketch"], np.uint8) for r in (x, y))
+        return (x["key"] == y["key"] and x["rep"] != y["rep"] and not (x["cross"] and x["part"] == y["part"])
+                and min(x["n"], y["n"]) >= J.THRESHOLD * max(x["n"], y["n"]) - 1e-9
+                and ((a == b) & (a > 0)).sum() >= J.LIKELY * (J.SKETCH - ((a == 0) & (b == 0)).sum())
+                and not any(k < x["key"] for k in set(x["keys"]) & set(y["keys"])))
+
+    calls = []
+    pairs = getattr(J, "_alike_pairs", None)  # one call for many buckets
+    monkeypatch.setattr(J, "_alike_pairs", lambda *a: calls.append(1) or pairs(*a), raising=False)
+    schema = pa.schema([("key", pa.int64()), ("pair", pa.int64()), ("cross", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()),
+                        ("part", pa.int32()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    table = pa.Table.from_pylist(rows, schema=schema)
+    got = [(r["key"], r["rep"]) for b in J._likely(iter(table.to_batches(max_chunksize=37))) for r in b.to_pylist()]
+    want = [(x["key"], x["rep"]) for x in rows if any(likely(x, y) for y in rows)]
+    assert 100 < len(want) < len(rows) and got == want
+    calls.clear()
+    list(J._likely(iter(table.to_batches())))
+    assert len(calls) == 2  # the last bucket comes alone

@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -56,6 +56,7 @@ LIKELY = 0.55  # sketch estimate from which a pair is compared exactly: five sta
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 20
 ALIKE = 0.5
+_PAIRS = 1 << 18  # pairs of rows listed at a time (more only for one bucket)
 
 
 def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -196,9 +197,8 @@ def leaves(sets: DataFrame, reps: DataFrame, depth: int) -> DataFrame:
     return staged(found, "leaves")
 
 
-def _links(rows: list[dict], key: int, cross: bool, likely: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs to link, pairs owned here) of a bucket, as boolean matrices.
-    ``likely``: by sketches; otherwise by the exact sets."""
+def _links(rows: list[dict], key: int, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs to link, pairs owned here) of a bucket, as boolean matrices."""
     n = np.array([r["n"] for r in rows], np.int64)
     size = len(rows)
     near = np.minimum(n[:, None], n[None, :]) >= THRESHOLD * np.maximum(n[:, None], n[None, :]) - 1e-9
@@ -220,7 +220,7 @@ def _links(rows: list[dict], key: int, cross: bool, likely: bool) -> tuple[np.nd
     for i, ks in enumerate(lists):
         earlier[i, [number[k] for k in ks]] = 1
     owned = near & (earlier @ earlier.T == 0)
-    if likely or not owned.any():
+    if not owned.any():
         return owned, owned
     sets = [unpack(r["tokens"]) for r in rows]
     flat = np.concatenate(sets)
@@ -260,28 +260,93 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dic
         yield at, rows
 
 
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, the buckets' starts), cut where a bucket ends."""
+    def starts(batch: pa.RecordBatch) -> np.ndarray:
+        new = np.ones(len(batch), bool)
+        new[1:] = False
+        for name in ("key", "pair", "cross"):
+            v = batch.column(name).to_numpy(zero_copy_only=False)
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    def joined(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray]:
+        whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        return whole, starts(whole)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        last = int(starts(batch)[-1]) if len(batch) else 0
+        if last:
+            yield joined([*held, batch.slice(0, last)])
+            held = []
+        if len(batch):
+            held.append(batch.slice(last))
+    if held:
+        yield joined(held)
+
+
+def _alike_pairs(end: np.ndarray, n: np.ndarray, part: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i < j) of rows whose sizes and sketches allow a link, in order of
+    i. Row i is paired with the rows before ``end[i]`` of another part (-1: of any)."""
+    partners = end - np.arange(len(end)) - 1
+    i = np.repeat(np.arange(len(end)), partners)
+    j = i + 1 + np.arange(len(i)) - (np.cumsum(partners) - partners)[i]
+    near = np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j]) - 1e-9
+    near &= (part[i] < 0) | (part[i] != part[j])
+    i, j = i[near], j[near]
+    ok = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 14):  # 1 MB of sketches
+        a, b = sketches[i[at:at + (1 << 14)]], sketches[j[at:at + (1 << 14)]]
+        same, empty = np.count_nonzero((a == b) & (a > 0), axis=1), np.count_nonzero((a | b) == 0, axis=1)
+        ok[at:at + (1 << 14)] = same >= LIKELY * (SKETCH - empty)
+    return i[ok], j[ok]
+
+
+def _owned(i: np.ndarray, j: np.ndarray, key: int, keys: Callable[[int], np.ndarray]) -> np.ndarray:
+    """Which pairs of a bucket share no bucket that comes before it (``keys``: a row's buckets)."""
+    rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    lists = [ks[ks < key] for ks in map(keys, rows.tolist())]
+    known, number = np.unique(np.concatenate(lists), return_inverse=True)
+    earlier = np.zeros((len(rows), len(known)), np.float32)
+    earlier[np.repeat(np.arange(len(rows)), [len(ks) for ks in lists]), number] = 1
+    return (earlier @ earlier.T == 0)[at[:len(i)], at[len(i):]]
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members with a likely partner that this bucket owns."""
-    out: list[dict] = []
-    for (key, _, cross), rows in _groups(batches):
-        if len(rows) > 1:
-            owned, _ = _links(rows, key, cross, True)
-            out.extend(rows[i] for i in np.flatnonzero(owned.any(1)))
-        if len(out) > 2000:
-            yield pa.RecordBatch.from_pylist(out, schema=_LIKELY_ARROW)
-            out = []
-    yield pa.RecordBatch.from_pylist(out, schema=_LIKELY_ARROW)
+    """Members with a likely partner that this bucket owns. All pairs of many
+    small buckets are compared at once."""
+    for batch, start in _whole_buckets(batches):
+        key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
+        cross = batch.column("cross").to_numpy(zero_copy_only=False)
+        part = np.where(cross, batch.column("part").to_numpy(), -1)
+        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        values, offsets = batch.column("keys").values.to_numpy(), batch.column("keys").offsets.to_numpy()
+        size = np.diff(np.append(start, len(batch)))
+        pairs = np.cumsum(size * (size - 1) // 2)
+        keep, at = np.zeros(len(batch), bool), 0
+        while at < len(start):  # whole buckets, as many as have some pairs
+            to = max(at + 1, int(np.searchsorted(pairs, (pairs[at - 1] if at else 0) + _PAIRS, "right")))
+            low, high = int(start[at]), int(start[to - 1] + size[to - 1])
+            span = slice(low, high)
+            i, j = _alike_pairs(np.repeat(start[at:to] + size[at:to] - low, size[at:to]), n[span], part[span], sketches[span])
+            bucket = np.searchsorted(start, i + low, "right")
+            for some in np.split(np.arange(len(i)), np.flatnonzero(np.diff(bucket)) + 1) if len(i) else []:
+                a, b = i[some] + low, j[some] + low
+                owned = _owned(a, b, int(key[a[0]]), lambda r: values[offsets[r]:offsets[r + 1]])
+                keep[a[owned]] = keep[b[owned]] = True
+            at = to
+        if keep.any():
+            yield batch.filter(pa.array(keep))
 
 
-_LIKELY_ARROW = pa.schema([("key", pa.int64()), ("pair", pa.int64()), ("cross", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()),
-                           ("part", pa.int32()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
 _LIKELY = "key bigint, pair bigint, cross boolean, rep bigint, n bigint, part int, sketch binary, keys array<bigint>"
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """rep, links owned here, root: least member of its linked group here."""
     for (key, _, cross), rows in _groups(batches):
-        linked, owned = _links(rows, key, cross, False)
+        linked, owned = _links(rows, key, cross)
         some = linked.any(1)
         if not some.any():
             continue

@@ -121,3 +121,31 @@ def test_merge_path_divides_the_merge(a, b):
     merged = sorted([(x, 0) for x in a] + [(x, 1) for x in b])
     got = align.merge_path(np.array(a), np.array(b), np.arange(len(merged) + 1))
     assert got.tolist() == [sum(1 for _, side in merged[:d] if side == 0) for d in range(len(merged) + 1)]
+
+
+def _row_groups(df):
+    import pyarrow.parquet as pq
+
+    return [g for f in df.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata]
+            for g in [m.row_group(i).num_rows for i in range(m.num_row_groups)]]
+
+
+def test_a_task_never_holds_many_blocks(spark, monkeypatch):
+    """A task with many blocks writes, reads and answers them one at a time."""
+    monkeypatch.setattr(align, "SLICE", 300)
+    monkeypatch.setattr(align, "BLOCK_PAIRS", 50)
+    rows = texts()
+    docs = documents(spark, rows).coalesce(1)
+    blocks = align.token_blocks(docs)
+    assert blocks.count() > 20 and set(_row_groups(blocks)) == {1}
+    got = align.alignment(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan  # a block's answers are sorted, not one object of the JVM
+    assert got.rdd.getNumPartitions() >= blocks.count()
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
+
+
+@given(st.lists(st.integers(0, 2**40), max_size=20))
+def test_narrow_numbers_come_back(numbers):
+    numbers = np.array(numbers, np.int64)
+    assert align._wide(align._narrow(numbers), len(numbers)).tolist() == numbers.tolist()

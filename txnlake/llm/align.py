@@ -17,7 +17,9 @@ sums them per document. Nothing is broadcast.
 
 A task holds a slice of texts (half a MB, or one longer text) and a block of
 at most some two million pairs; the links of a large group are made from its
-distinct ids, a bounded number at a time.
+distinct ids, a bounded number at a time. However many blocks a task meets, it
+holds one or two: blocks are written as row groups of their own, and in the last
+pass each comes behind the counts of its pairs, sorted and never collected.
 
 Defined results: texts that are null, empty, or that a tokenizer does not
 give back byte by byte have no tokens: zeros, and '' as digest. Strings of
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import shuffle_partitions, staged
 
 FIRST = "/opt/tokenizers/byte_bpe_50k.json"
 SECOND = "/opt/tokenizers/piece_bpe_32k.model"
@@ -238,8 +240,35 @@ class Aligner:
         return out | {"keys": keys, "sizes": sizes}
 
 
-_BLOCK = ("block long, pairs array<long>, held array<int>, doc_ids array<long>, n_a array<long>, n_b array<long>, "
-          "n_groups array<long>, n_links array<long>, sha array<string>, entries array<int>, places binary, sizes binary")
+_BLOCK = "block long, pairs array<long>, held array<int>, body binary"
+#: Columns of the table of documents in a block's body, and how many entries each document has.
+_DOCS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "entries"]
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """The numbers in as few bytes each as the largest needs (1, 2, 4 or 8)."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
+
+
+def _wide(data: memoryview, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_narrow``."""
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _body(docs: pa.RecordBatch, places: bytes, sizes: bytes) -> bytes:
+    """One value (a row of many columns costs a task several times as much): lengths, documents, places, sizes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema) as out:
+        out.write_batch(docs)
+    table = sink.getvalue().to_pybytes()
+    return np.array([len(table), len(places)], np.int64).tobytes() + table + places + sizes
+
+
+def _unpacked(body: memoryview) -> tuple[pa.RecordBatch, memoryview, memoryview]:
+    table, places = np.frombuffer(body[:16], np.int64).tolist()
+    with pa.ipc.open_stream(pa.py_buffer(body[16:16 + table])) as source:
+        docs = source.read_next_batch()
+    return docs, body[16 + table:16 + table + places], body[16 + table + places:]
 
 
 def _block(number: int, docs: list[dict]) -> pa.RecordBatch:
@@ -247,16 +276,13 @@ def _block(number: int, docs: list[dict]) -> pa.RecordBatch:
     pair = np.concatenate([d["keys"] & ((1 << 2 * _ID_BITS) - 1) for d in docs])
     pairs, place = np.unique(pair, return_inverse=True)
     entries = np.concatenate([np.bincount(d["keys"] >> (2 * _ID_BITS), minlength=len(d["doc_ids"])) for d in docs])
-    numbers = {n: np.concatenate([d[n] for d in docs]) for n in ("n_a", "n_b", "n_groups", "n_links")}
-    ids = [i for d in docs for i in d["doc_ids"]]
+    columns = [pa.array([i for d in docs for i in d["doc_ids"]], pa.int64())]
+    columns += [pa.array(np.concatenate([d[n] for d in docs])) for n in ("n_a", "n_b", "n_groups", "n_links")]
+    columns += [pa.array([s for d in docs for s in d["sha"]], pa.string()), pa.array(entries, pa.int64())]
+    sizes = np.concatenate([d["sizes"] for d in docs])
     row = {"block": pa.array([number], pa.int64()), "pairs": pa.array([pairs], pa.list_(pa.int64())),
            "held": pa.array([np.bincount(place, minlength=len(pairs)).astype(np.int32)], pa.list_(pa.int32())),
-           "doc_ids": pa.array([ids], pa.list_(pa.int64()))}
-    row |= {n: pa.array([v], pa.list_(pa.int64())) for n, v in numbers.items()}
-    row["sha"] = pa.array([[s for d in docs for s in d["sha"]]], pa.list_(pa.string()))
-    row["entries"] = pa.array([entries.astype(np.int32)], pa.list_(pa.int32()))
-    row["places"] = pa.array([place.astype(np.uint32).tobytes()], pa.binary())
-    row["sizes"] = pa.array([np.concatenate([d["sizes"] for d in docs]).astype(np.int64).tobytes()], pa.binary())
+           "body": pa.array([_body(pa.RecordBatch.from_arrays(columns, names=_DOCS), _narrow(place), _narrow(sizes))], pa.binary())}
     return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
 
@@ -296,37 +322,44 @@ def _tokenize(first: str, second: str):
 _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
+def _summed(body: memoryview, n_pairs: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Sums over the links of each of a block's documents; ``held``: places and values (twice the count, and best) of its pairs."""
+    value = np.zeros(n_pairs, np.int64)
+    for at, values in held:
+        value[at] = values
+    docs, places, sizes = _unpacked(body)
+    entries = docs.column("entries").to_numpy()
+    ends = np.cumsum(entries)
+    n = int(entries.sum())
+    place, size = _wide(places, n), _wide(sizes, n)
+    sums = {}
+    for name, each in (("n_best", value & 1), ("count_sum", value >> 1)):
+        up_to = np.concatenate([[0], np.cumsum(size * each[place])])
+        sums[name] = pa.array(up_to[ends] - up_to[ends - entries], pa.int64())
+    names = [c.split(" ")[0] for c in _RESULT.split(", ")]
+    return pa.RecordBatch.from_arrays([sums[c] if c in sums else docs.column(c) for c in names], names=names)
+
+
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over each document's links, from the counts of its block's pairs."""
+    """Sorted rows: the answers of a block's pairs, then the block (``place`` is null, ``value`` its number of pairs)."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        for row in range(batch.num_rows):
-            def flat(name: str, row: int = row) -> np.ndarray:
-                return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
-
-            n_pairs = len(batch.column("pairs")[row])
-            count, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
-            if batch.column("answers")[row].is_valid:
-                answers = batch.column("answers")[row].values
-                at = answers.field("place").to_numpy()
-                count[at] = answers.field("n").to_numpy()
-                best[at] = answers.field("best").to_numpy()
-            place = np.frombuffer(batch.column("places")[row].as_py(), np.uint32)
-            size = np.frombuffer(batch.column("sizes")[row].as_py(), np.int64)
-            doc = np.repeat(np.arange(len(batch.column("doc_ids")[row])), flat("entries"))
-            sums = {}
-            for name, value in (("n_best", best), ("count_sum", count)):
-                sums[name] = np.zeros(len(batch.column("doc_ids")[row]), np.int64)
-                np.add.at(sums[name], doc, size * value[place])
-            columns = [batch.column(c)[row].values for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")]
-            columns += [pa.array(sums["n_best"]), pa.array(sums["count_sum"]), batch.column("sha")[row].values]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split(" ")[0] for c in _RESULT.split(", ")])
+        place, value = batch.column("place"), batch.column("value")
+        start = 0
+        for row in [*np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False)).tolist(), batch.num_rows]:
+            if row > start:  # copies: a slice would keep its batch, with the blocks in it
+                held.append(tuple(c.slice(start, row - start).to_numpy(zero_copy_only=False).copy() for c in (place, value)))
+            if row < batch.num_rows:
+                yield _summed(memoryview(batch.column("body")[row].as_buffer()), value[row].as_py(), held)
+                held.clear()
+            start = row + 1
 
 
 def linked_pairs(blocks: DataFrame) -> DataFrame:
     """pair, a, b, n (documents that hold it linked), best (n is the highest of its a)."""
-    each = blocks.select(F.explode(F.arrays_zip("pairs", "held")).alias("p")).groupBy("p.pairs").agg(F.sum("p.held").alias("n"))
-    counts = each.select(F.col("pairs").alias("pair"), F.shiftright("pairs", _ID_BITS).alias("a"),
-                         F.col("pairs").bitwiseAND(F.lit(_MASK)).alias("b"), "n")
+    each = blocks.select("held", F.posexplode("pairs").alias("place", "pair")).select("pair", F.get("held", F.col("place")).alias("held"))
+    counts = each.groupBy("pair").agg(F.sum("held").alias("n")) \
+        .select("pair", F.shiftright("pair", _ID_BITS).alias("a"), F.col("pair").bitwiseAND(F.lit(_MASK)).alias("b"), "n")
     counts = staged(counts, "linked-pairs")
     tops = counts.groupBy("a").agg(F.max("n").alias("top"))
     return counts.join(tops, "a").select("pair", "a", "b", "n", (F.col("n") == F.col("top")).alias("best"))
@@ -334,13 +367,19 @@ def linked_pairs(blocks: DataFrame) -> DataFrame:
 
 def token_blocks(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFrame:
     """Every document tokenized and aligned, in blocks; a written table."""
-    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenize(first, second), _BLOCK), "token-blocks")
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenize(first, second), _BLOCK)
+    # A writer holds a row group (100 rows before it looks at their size), and a reader decodes its rows at once.
+    return staged(blocks, "token-blocks", **{"parquet.block.row.count.limit": "1"})
 
 
 def alignment(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     blocks = token_blocks(docs, first, second)
-    pairs = linked_pairs(blocks).select("pair", "n", F.col("best").cast("int").alias("best"))
+    pairs = linked_pairs(blocks).select("pair", (F.col("n") * 2 + F.col("best").cast("int")).alias("value"))
     asked = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
-    answers = asked.join(pairs, "pair").groupBy("block").agg(F.collect_list(F.struct("place", "n", "best")).alias("answers"))
-    return blocks.drop("held").join(answers, "block", "left").mapInArrow(_answered, _RESULT)
+    bodies = blocks.select("block", F.size("pairs").cast("long").alias("value"), "body")
+    rows = asked.join(pairs, "pair").drop("pair").unionByName(bodies, allowMissingColumns=True)
+    # A task for every block, so that what a task reads does not grow with the input.
+    tasks = max(shuffle_partitions(docs.sparkSession), blocks.count())
+    dealt = rows.repartition(tasks, "block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
+    return dealt.select("place", "value", "body").mapInArrow(_answered, _RESULT)

@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.transform import Processed, from_lines, transform
-from ..session import COMPRESSION, drop_path, scratch_path
+from ..session import COMPRESSION, drop_path, scratch_path, shuffles_dropped
 from ..sources import files as IO
 from ..sources.testdata import numbered_feed, raw_feed
 from .warehouse import Warehouse, load
@@ -26,7 +26,8 @@ _RAW: dict[tuple, DataFrame] = {}
 def process(spark: SparkSession, raw: DataFrame, path: str | None = None) -> Processed:
     """Transform and persist the processed lines (S3), then read them back."""
     path = path or scratch_path(spark, "processed")
-    IO.write_processed(transform(raw).lines, path)
+    with shuffles_dropped(spark):
+        IO.write_processed(transform(raw).lines, path)
     return from_lines(IO.read_processed(spark, path))
 
 
@@ -43,7 +44,8 @@ def stage_raw(spark: SparkSession, raw: DataFrame, path: str | None = None) -> D
     table (as it would scan the raw files in production) instead of
     re-deriving the rows in each of its branches."""
     path = path or scratch_path(spark, "raw")
-    raw.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    with shuffles_dropped(spark):
+        raw.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return spark.read.parquet(path)
 
 

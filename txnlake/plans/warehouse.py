@@ -15,7 +15,7 @@ from ..operators import dims as D
 from ..operators import facts as X
 from ..operators import quality as Q
 from ..operators.transform import Processed
-from ..session import COMPRESSION, drop_path, scratch_path
+from ..session import COMPRESSION, drop_path, scratch_path, shuffles_dropped
 from . import snapshots as V
 
 
@@ -455,6 +455,12 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     ``LAST_LOAD_REPORT`` holds the rows inserted per table, as the writes
     count them.
     """
+    with shuffles_dropped(spark):
+        _load(spark, processed, path, fresh, keep_lines)
+    return open_warehouse(spark, path)
+
+
+def _load(spark: SparkSession, processed: Processed, path: str, fresh: bool, keep_lines: bool) -> None:
     if not fresh:
         V.sweep(spark, path)
     attempt = V.Attempt(spark, path)
@@ -496,7 +502,6 @@ def load(spark: SparkSession, processed: Processed, path: str, fresh: bool = Fal
     LAST_LOAD_REPORT.update({n: done.get(n, (0, 0))[0] for n in S.WAREHOUSE_SCHEMAS})
     if scratch is not None:
         drop_path(spark, scratch)
-    return open_warehouse(spark, path)
 
 
 LAST_LOAD_REPORT: dict[str, int] = {}

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +84,31 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_DROPS: dict[str, list] = {}  # by session: how many blocks are open, and the setting before the first
+_DROPS_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes (and other actions on frames made) in here delete their shuffle
+    files when they end. Left alone these stay until the driver's garbage
+    collector finds them unreachable, so a run of many stages holds all of them
+    on disk at once. Should a frame made in here be evaluated again, Spark
+    computes the missing files again. Return no such frame to a caller."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    session = spark._jsparkSession.sessionUUID()
+    with _DROPS_LOCK:
+        _DROPS.setdefault(session, [0, spark.conf.get(key)])[0] += 1
+        spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        with _DROPS_LOCK:  # views run in threads: the last block to end restores
+            _DROPS[session][0] -= 1
+            if not _DROPS[session][0]:
+                spark.conf.set(key, _DROPS.pop(session)[1])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -10,6 +10,7 @@ from builders import line, raw_rows
 from pyspark.sql import functions as F
 
 from txnlake.plans import etl
+from txnlake.plans.published import publish_views
 from txnlake.session import shuffles_dropped
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -38,6 +39,8 @@ def test_loads_leave_no_shuffle_files(spark, tmp_dir):
     for part in (0, 1):
         wh = etl.run(spark, raw.filter(F.col("_ord") % 2 == part), f"{tmp_dir}/wh")
     assert not _left(spark, before)
+    publish_views(wh, f"{tmp_dir}/views", only=["V24"])
+    assert not _left(spark, before)
     assert wh.fact_sales.count() > 0
 
 

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
-from ..session import drop_path
+from ..session import drop_path, shuffles_dropped
 from . import catalog
 from . import snapshots as V
 from .warehouse import Warehouse
@@ -54,7 +54,7 @@ def publish_views(wh: Warehouse, path: str, only: list[str] | None = None, paral
         v.fn(wh).write.parquet(f"{folder}/{v.namespace}/{v.name}")
         return f"{v.namespace}.{v.name}"
 
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
+    with shuffles_dropped(spark), ThreadPoolExecutor(max_workers=parallel) as pool:
         names = list(pool.map(write, chosen))
     V._write_text(spark, f"{folder}/{COMPLETE}", "\n".join(names))
     done = [v for v in _versions(spark, path) if COMPLETE in V._names(spark, _folder(path, v))]

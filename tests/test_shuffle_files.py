@@ -9,6 +9,7 @@ import pytest
 from builders import line, raw_rows
 from pyspark.sql import functions as F
 
+from txnlake.operators.ranking import global_rank
 from txnlake.plans import etl
 from txnlake.plans.published import publish_views
 from txnlake.session import shuffles_dropped
@@ -44,6 +45,14 @@ def test_loads_leave_no_shuffle_files(spark, tmp_dir):
     assert wh.fact_sales.count() > 0
 
 
+def test_a_rank_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    ranked, n = global_rank(spark.range(1000).withColumn("v", F.col("id") % 7), [F.col("v").desc(), F.col("id").asc()])
+    assert not _left(spark, before) and n == 1000
+    for _ in range(2):  # what is returned may be evaluated again
+        assert [r["id"] for r in ranked.orderBy("rank").limit(3).collect()] == [6, 13, 20]
+
+
 def test_the_setting_is_restored(spark):
     was = spark.conf.get(CLEANUP)
     with pytest.raises(KeyError), shuffles_dropped(spark):

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shuffles_dropped
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -37,15 +37,16 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     checkpoint_dir(spark)
     # Without an explicit count AQE may coalesce the range partitions; it only
     # merges neighbouring ranges, so partition order is still the sort order.
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions \
-        else df.repartitionByRange(*order)
-    numbered = (ranged
-                .sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    sizes = sorted((r[0], r[1]) for r in
-                   numbered.groupBy(pid.alias("_pid")).count().collect())
+    with shuffles_dropped(spark):
+        ranged = df.repartitionByRange(num_partitions, *order) if num_partitions \
+            else df.repartitionByRange(*order)
+        numbered = (ranged
+                    .sortWithinPartitions(*order)
+                    .withColumn("_mid", F.monotonically_increasing_id())
+                    .checkpoint(eager=True))
+        pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+        sizes = sorted((r[0], r[1]) for r in
+                       numbered.groupBy(pid.alias("_pid")).count().collect())
     offsets, running = [], 0
     for p, c in sizes:
         offsets.append((int(p), running))

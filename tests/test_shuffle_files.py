@@ -10,7 +10,7 @@ from builders import line, raw_rows
 from pyspark.sql import functions as F
 
 from txnlake.operators.ranking import global_rank
-from txnlake.plans import etl
+from txnlake.plans import checks, etl
 from txnlake.plans.published import publish_views
 from txnlake.session import shuffles_dropped
 
@@ -53,6 +53,18 @@ def test_a_rank_leaves_no_shuffle_files(spark):
         assert [r["id"] for r in ranked.orderBy("rank").limit(3).collect()] == [6, 13, 20]
 
 
+def test_the_ordered_copy_goes_with_its_shuffle_files(spark, tmp_dir, monkeypatch):
+    before, paths = _shuffle_files(spark), []
+    monkeypatch.setattr(checks, "raw_for", lambda s, sf: _raw(s))
+    monkeypatch.setattr(checks, "scratch_path", lambda s, name: paths.append(f"{tmp_dir}/{name}") or paths[-1])
+    monkeypatch.setattr(checks, "read_raw", lambda s, ids, data, multi_line: s.read.csv(ids).withColumn("_ord", F.lit(0)))
+    assert len(checks._raw_files(spark, "").collect()) > 60
+    assert not _left(spark, before)
+    from txnlake.session import path_exists
+
+    assert {p: path_exists(spark, p) for p in paths} == {f"{tmp_dir}/raw-files": True, f"{tmp_dir}/ordered": False}
+
+
 def test_the_setting_is_restored(spark):
     was = spark.conf.get(CLEANUP)
     with pytest.raises(KeyError), shuffles_dropped(spark):
